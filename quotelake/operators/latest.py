@@ -37,9 +37,7 @@ def keep_latest(quotes: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def latest_per_day(
-    quotes: DataFrame, keys: Sequence[str] = ("coin_id", "dt")
-) -> DataFrame:
+def latest_per_day(quotes: DataFrame, keys: Sequence[str] = ("dt", "coin_id")) -> DataFrame:
     """The last quote of each coin and day."""
     return keep_latest(quotes, keys, _by_time(quotes))
 
@@ -50,13 +48,9 @@ def current_snapshot(latest: DataFrame, keys: Sequence[str] = ("coin_id",)) -> D
 
 
 def dedup_quotes(
-    quotes: DataFrame, keys: Sequence[str] = ("event_time_ts", "coin_id", "dt")
+    quotes: DataFrame, keys: Sequence[str] = ("dt", "coin_id", "event_time_ts")
 ) -> DataFrame:
-    """One row per coin and event time: the one updated, then ingested, last.
-
-    The most selective key comes first, which lets the sort decide most
-    comparisons on its eight-byte prefix.
-    """
+    """One row per coin and event time: the one updated, then ingested, last."""
     order = [c for c in ("last_updated_ts", "ingestion_time") if c in quotes.columns]
     return keep_latest(quotes, keys, order)
 

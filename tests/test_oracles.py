@@ -1,0 +1,41 @@
+"""Every query against its SQL over the same tables."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from tests.conftest import TESTDATA
+
+QUERIES = contract.queries()
+ORACLES = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def database(sf_dir):
+    connection = duckdb.connect()
+    for file in sorted((TESTDATA / "sf0.01").glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    yield connection
+    connection.close()
+
+
+def test_each_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_sql(spark, sf_dir, database, name):
+    result = QUERIES[name](spark, sf_dir)
+    expected = database.sql(ORACLES[name])
+    columns = sorted(result.columns)
+    assert columns == sorted(expected.columns)
+    got = [tuple(r) for r in result.select(*columns).collect()]
+    want = expected.project(", ".join(f'"{c}"' for c in columns)).fetchall()
+    assert got, "the query has to return rows at this scale"
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_entry_returns_rows(spark):
+    assert contract.entry(spark).count() > 0
