@@ -89,6 +89,11 @@ class LakeConfig:
         """Deduplicated quotes of the last gold run, checked before publishing."""
         return self.path("staging/gold_quotes")
 
+    @property
+    def latest_staging(self) -> str:
+        """Latest rows of the days the last micro-batch touched."""
+        return self.path("staging/silver_latest")
+
     @property
     def quarantine(self) -> str:
         return self.path("quarantine/bronze")

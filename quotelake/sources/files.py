@@ -18,6 +18,9 @@ def _json_reader(reader, schema: T.StructType, multi_line: bool = False):
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .option("multiLine", multi_line)
+        # The sink's partition=N folders are no column of an event. Without this
+        # a stream started on an empty folder ends when the first one appears.
+        .option("recursiveFileLookup", True)
     )
 
 
@@ -53,7 +56,6 @@ def stream_pages(
 
 
 def _with_lineage(files: DataFrame, schema: T.StructType, ingestion_time: Column) -> DataFrame:
-    # By name: the sink's partition=N folders would add a column of their own.
     return files.select(
         *schema.fieldNames(),
         CORRUPT_RECORD,
@@ -117,7 +119,11 @@ def stream_table(
     *,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    """``read_table`` as a stream of the rows of new files."""
+    # The partition column last, where Spark puts it once there are folders.
+    reader = spark.readStream.schema(
+        T.StructType(sorted(schema.fields, key=lambda field: field.name == "dt"))
+    )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*schema.fieldNames())

@@ -46,16 +46,22 @@ def stream_topic(
 
 
 def decode_events(records: DataFrame, *, ingestion_time: Column | None = None) -> DataFrame:
-    """Topic records to the rows ``read_events`` gives for the same JSON texts."""
+    """Topic records to the rows ``read_events`` gives for the same JSON texts.
+
+    A filter on a parsed field would move below a plain projection and parse
+    each text once more; it does not move below ``inline``.
+    """
     parsed = F.from_json(
         F.col("value").cast("string"),
         with_corrupt_record(BRONZE_SCHEMA),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD},
     )
-    return records.select(parsed.alias("event"), "topic", "partition", "offset").select(
-        "event.*",
+    stamped = records.select(
         F.concat_ws("/", "topic", "partition", "offset").alias("source_file"),
         (F.current_timestamp() if ingestion_time is None else ingestion_time).alias(
             "ingestion_time"
         ),
+        F.inline(F.array(parsed)),
     )
+    lineage = ("source_file", "ingestion_time")
+    return stamped.select(*[c for c in stamped.columns if c not in lineage], *lineage)

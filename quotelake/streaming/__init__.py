@@ -1,6 +1,6 @@
 """The lake as continuous queries, each with its own checkpoint."""
 
-from quotelake.streaming.gold import start_gold
+from quotelake.streaming.gold import start_gold, start_serving
 from quotelake.streaming.ingest import (
     landed_records,
     poll_events,
@@ -9,17 +9,26 @@ from quotelake.streaming.ingest import (
     start_polls,
     start_rejects,
 )
-from quotelake.streaming.silver import start_history, start_latest, start_quarantine
+from quotelake.streaming.lake import start_lake
+from quotelake.streaming.silver import (
+    refresh_latest,
+    start_history,
+    start_latest,
+    start_quarantine,
+)
 
 __all__ = [
     "landed_records",
     "poll_events",
+    "refresh_latest",
     "rejected_records",
     "start_gold",
     "start_history",
+    "start_lake",
     "start_landing",
     "start_latest",
     "start_polls",
     "start_quarantine",
     "start_rejects",
+    "start_serving",
 ]

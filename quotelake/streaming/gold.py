@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.config import LakeConfig
-from quotelake.operators import touched_days
 from quotelake.plans.gold import build_snapshot, publish_quotes
 from quotelake.schemas import SILVER_SCHEMA
 from quotelake.sources import stream_table
+from quotelake.streaming.silver import days_to_refresh, refresh_latest
 from quotelake.streaming.triggers import trigger
 
 
@@ -18,30 +18,63 @@ def start_gold(
     config: LakeConfig,
     *,
     available_now: bool = False,
+    every_seconds: int | None = None,
     as_of: Column | None = None,
-    snapshot: bool = True,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Publish touched days after their checks, and refresh the snapshot.
+    """Publish the quotes and daily metrics of touched days after their checks.
 
     A batch that fails its checks ends the query before anything of it is
-    published; it is tried again at the next start.
+    published; it is tried again at the next start. Each batch recomputes its
+    days from history: a longer ``every_seconds`` does that less often.
     """
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
-        days = touched_days(batch)
-        if isinstance(days, list) and not days:
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        days = days_to_refresh(batch, batch_id)
+        if days != []:
+            publish_quotes(spark, config, days=days, as_of=as_of)
+
+    new_rows = stream_table(
+        spark, config.history, SILVER_SCHEMA, files_per_batch=files_per_batch
+    )
+    return (
+        new_rows.select("dt")
+        .writeStream.foreachBatch(refresh)
+        .option("checkpointLocation", config.checkpoint("gold"))
+        .trigger(**trigger(config, available_now, every_seconds))
+        .start()
+    )
+
+
+def start_serving(
+    spark: SparkSession,
+    config: LakeConfig,
+    *,
+    available_now: bool = False,
+    every_seconds: int | None = None,
+    as_of: Column | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Latest rows, quotes, daily metrics and snapshot in one query, in turn.
+
+    The snapshot reads the latest rows, so one query has to do both: it would
+    lose files under its hands if another replaced them.
+    """
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        days = days_to_refresh(batch, batch_id)
+        if days == []:
             return
+        refresh_latest(config, batch, batch_id, days)
         publish_quotes(spark, config, days=days, as_of=as_of)
-        if snapshot:
-            build_snapshot(spark, config)
+        build_snapshot(spark, config)
 
     new_rows = stream_table(
         spark, config.history, SILVER_SCHEMA, files_per_batch=files_per_batch
     )
     return (
         new_rows.writeStream.foreachBatch(refresh)
-        .option("checkpointLocation", config.checkpoint("gold"))
-        .trigger(**trigger(config, available_now))
+        .option("checkpointLocation", config.checkpoint("serving"))
+        .trigger(**trigger(config, available_now, every_seconds))
         .start()
     )

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.config import LakeConfig
@@ -14,7 +18,7 @@ from quotelake.operators import (
     touched_days,
 )
 from quotelake.schemas import SILVER_SCHEMA
-from quotelake.sinks.tables import cluster_by_day, replace_days
+from quotelake.sinks.tables import cluster_by_day, replace_days, replace_table
 from quotelake.sources import read_table, stream_table
 from quotelake.streaming.triggers import trigger
 
@@ -51,6 +55,49 @@ def start_quarantine(
     )
 
 
+def days_to_refresh(batch: DataFrame, batch_id: int) -> list[date] | DataFrame | None:
+    """Days a micro-batch touches; None, for all days, in the first batch.
+
+    The first batch holds all there was at the start, and a micro-batch is
+    always read with all its columns: looking for its days would be one more
+    pass over everything.
+    """
+    return None if batch_id == 0 else touched_days(batch)
+
+
+def refresh_latest(
+    config: LakeConfig,
+    batch: DataFrame,
+    batch_id: int,
+    days: list[date] | DataFrame | None,
+) -> None:
+    """Bring the latest rows of ``days``, which ``batch`` touches, up to date.
+
+    The batch is merged with the old latest rows of those days, one per coin,
+    by way of a staging table that carries the batch id. Staging that is absent
+    or not older than this batch means that an earlier attempt may have been
+    cut off while it replaced days: then the days are made from history.
+    """
+    spark = batch.sparkSession
+    staged_id = None if days is None else _staged_batch(spark, config.latest_staging)
+    if staged_id is not None and staged_id < batch_id:
+        old = in_days(read_table(spark, config.latest, SILVER_SCHEMA), days)
+        rows = batch.select(*SILVER_SCHEMA.fieldNames()).unionByName(old)
+    else:
+        rows = in_days(read_table(spark, config.history, SILVER_SCHEMA), days)
+    merged = latest_per_day(rows).withColumn("batch_id", F.lit(batch_id))
+    replace_table(merged, config.latest_staging)
+    staged = spark.read.parquet(config.latest_staging)
+    replace_days(staged.select(*SILVER_SCHEMA.fieldNames()), config.latest)
+
+
+def _staged_batch(spark: SparkSession, path: str) -> int | None:
+    try:
+        return spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    except AnalysisException:
+        return None
+
+
 def start_latest(
     spark: SparkSession,
     config: LakeConfig,
@@ -58,19 +105,12 @@ def start_latest(
     available_now: bool = False,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Recompute the latest rows of the days that new history touches.
-
-    The days are recomputed from history instead of being merged into the old
-    latest rows: that holds no state, and running a batch again after a failure
-    repairs whatever the failure left behind.
-    """
+    """Keep the latest row of each coin and day as the history grows."""
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
-        days = touched_days(batch)
-        if isinstance(days, list) and not days:
-            return
-        history = in_days(read_table(spark, config.history, SILVER_SCHEMA), days)
-        replace_days(latest_per_day(history), config.latest)
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        days = days_to_refresh(batch, batch_id)
+        if days != []:
+            refresh_latest(config, batch, batch_id, days)
 
     new_rows = stream_table(
         spark, config.history, SILVER_SCHEMA, files_per_batch=files_per_batch

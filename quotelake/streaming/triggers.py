@@ -1,11 +1,13 @@
-"""When a query runs: at each poll interval, or once over what is there now."""
+"""When a query runs: at each interval, or once over what is there now."""
 
 from __future__ import annotations
 
 from quotelake.config import LakeConfig
 
 
-def trigger(config: LakeConfig, available_now: bool) -> dict[str, object]:
+def trigger(
+    config: LakeConfig, available_now: bool, seconds: int | None = None
+) -> dict[str, object]:
     if available_now:
         return {"availableNow": True}
-    return {"processingTime": f"{config.poll_seconds} seconds"}
+    return {"processingTime": f"{seconds or config.poll_seconds} seconds"}

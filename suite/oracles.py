@@ -21,7 +21,7 @@ events_view AS (
            substr(event_type, 1, 3) AS symbol,
            upper(event_type) AS name,
            CAST(event_id % 50 + 1 AS INTEGER) AS market_cap_rank,
-           value AS price_usd,
+           greatest(value, 0.01::DOUBLE) AS price_usd,
            CAST(event_id % 21 - 10 AS DOUBLE) AS price_change_percentage_24h,
            CAST(event_id % 1000 AS DOUBLE) AS market_cap_usd,
            CAST(event_id % 777 AS DOUBLE) AS total_volume_usd

@@ -446,7 +446,7 @@ def stream_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _half in _by_halves(spark, sf_dir, lake):
         events = stream_events(spark, lake.bronze)
         start_history(events, lake, available_now=True).awaitTermination()
-        start_gold(spark, lake, available_now=True, snapshot=False).awaitTermination()
+        start_gold(spark, lake, available_now=True).awaitTermination()
     return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
 
 

@@ -32,7 +32,7 @@ def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "symbol": F.substring("event_type", 1, 3),
         "name": F.upper("event_type"),
         "market_cap_rank": (F.col("event_id") % 50 + 1).cast("int"),
-        "price_usd": F.col("value"),
+        "price_usd": F.greatest("value", F.lit(0.01)),
         "price_change_percentage_24h": (F.col("event_id") % 21 - 10).cast("double"),
         "market_cap_usd": (F.col("event_id") % 1000).cast("double"),
         "total_volume_usd": (F.col("event_id") % 777).cast("double"),

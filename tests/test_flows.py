@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 from dataclasses import replace
 from pathlib import Path
 
@@ -22,10 +23,12 @@ from quotelake.sources import read_events, read_table, stream_events
 from quotelake.streaming import (
     start_gold,
     start_history,
+    start_lake,
     start_landing,
     start_latest,
     start_quarantine,
     start_rejects,
+    start_serving,
 )
 from tests.conftest import at, event, plan_of, rows_of, silver, write_lines
 
@@ -76,7 +79,15 @@ def stream_all(spark, lake, **options):
     events = stream_events(spark, lake.bronze, **options)
     start_history(events, lake, available_now=True).awaitTermination()
     start_latest(spark, lake, available_now=True, files_per_batch=4).awaitTermination()
-    start_gold(spark, lake, available_now=True, snapshot=False).awaitTermination()
+    start_gold(spark, lake, available_now=True).awaitTermination()
+
+
+def uncommit(lake, stream):
+    """Undo the last commit of a stream, as if its driver had been lost before it."""
+    commits = Path(lake.checkpoint(stream)) / "commits"
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        (commits / name).unlink(missing_ok=True)
 
 
 @pytest.mark.parametrize("files_per_batch", [None, 2, 1])
@@ -104,10 +115,7 @@ def test_a_batch_that_was_not_committed_is_replayed(spark, lake, stream):
     for n, lines in enumerate(deliveries()):
         write_lines(lake.bronze, f"{n}.json", *lines)
     stream_all(spark, lake)
-    commits = Path(lake.checkpoint(stream)) / "commits"
-    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
-    for name in (last, f".{last}.crc"):
-        (commits / name).unlink(missing_ok=True)
+    uncommit(lake, stream)
     stream_all(spark, lake)
     assert tables(spark, lake) == batch_results(spark, lake)
 
@@ -213,7 +221,7 @@ def test_gold_stream_stops_at_a_failed_check_and_tries_again(spark, lake):
     write_lines(lake.bronze, "0.json", event(price_usd=-1))
     start_history(stream_events(spark, lake.bronze), lake, available_now=True).awaitTermination()
     for _attempt in range(2):
-        query = start_gold(spark, lake, available_now=True, snapshot=False)
+        query = start_gold(spark, lake, available_now=True)
         with pytest.raises(StreamingQueryException, match="price_usd_null_or_non_positive"):
             query.awaitTermination()
     assert not Path(lake.quotes).exists()
@@ -350,6 +358,71 @@ def test_unknown_start_is_refused(spark, lake):
         build_lake(spark, lake, start="somewhere")
 
 
+def test_continuous_queries_keep_the_whole_lake(spark, lake):
+    lake = replace(lake, poll_seconds=1)
+    files = deliveries(3)
+    write_records(lake, "0.json", *as_values(files[0]))
+    queries = start_lake(spark, lake, topic(spark, lake))
+    try:
+        for n, lines in enumerate(files):
+            write_records(lake, f"{n}.json", *as_values(lines))
+            for query in queries:
+                query.processAllAvailable()
+        # What one query wrote last, the next may see one interval later.
+        for query in queries[1:]:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert tables(spark, lake) == batch_results(spark, lake)
+    assert read_table(spark, lake.snapshot).count() == 2
+
+
+def as_values(lines):
+    return [line if isinstance(line, str) else json.dumps(line) for line in lines]
+
+
+def test_serving_equals_batch_and_survives_a_cut_off_replace(spark, lake):
+    files = deliveries()
+    for n, lines in enumerate(files[:3]):
+        write_lines(lake.bronze, f"{n}.json", *lines)
+
+    def serve():
+        events = stream_events(spark, lake.bronze)
+        start_history(events, lake, available_now=True).awaitTermination()
+        start_serving(spark, lake, available_now=True, files_per_batch=4).awaitTermination()
+
+    serve()
+    for n, lines in enumerate(files[3:], 3):
+        write_lines(lake.bronze, f"{n}.json", *lines)
+    serve()
+    expected = batch_results(spark, lake)
+    assert tables(spark, lake) == expected
+
+    # A driver lost while it replaced days: one is gone, the batch not committed.
+    shutil.rmtree(Path(lake.latest) / "dt=2024-01-02")
+    uncommit(lake, "serving")
+    serve()
+    assert tables(spark, lake) == expected
+
+
+def test_latest_reads_history_once_and_then_only_new_rows(spark, lake):
+    """After the first batch the merge no longer needs the old history."""
+    write_lines(lake.bronze, "0.json", *deliveries(1)[0])
+    run = {"available_now": True}
+    start_history(stream_events(spark, lake.bronze), lake, **run).awaitTermination()
+    start_latest(spark, lake, **run).awaitTermination()
+    first = set(Path(lake.history).rglob("*.parquet"))
+    write_lines(lake.bronze, "1.json", event(coin_id="c", event_time="2024-01-01T07:00:00Z"))
+    start_history(stream_events(spark, lake.bronze), lake, **run).awaitTermination()
+    for file in first:
+        file.write_bytes(b"not parquet any more")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    start_latest(spark, lake, **run).awaitTermination()
+    latest = read_table(spark, lake.latest, SILVER_SCHEMA).collect()
+    assert len(latest) == 7 and {r.coin_id for r in latest} == {"a", "b", "c"}
+
+
 def test_quarantine_stream_takes_each_file_once(spark, lake):
     write_lines(lake.bronze, "0.json", "broken", event())
     for _run in range(2):
