@@ -103,11 +103,17 @@ class LakeConfig:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> LakeConfig:
-        """Read the settings from environment variables; only the bucket is required."""
+        """Read the settings from environment variables.
+
+        Only the place is required: a bucket, or any root path as ``LAKE_ROOT``.
+        """
         env = os.environ if env is None else env
-        bucket = env.get("S3_BUCKET_NAME")
-        if not bucket:
-            raise ValueError("Missing env var S3_BUCKET_NAME")
+        root = env.get("LAKE_ROOT")
+        if not root:
+            bucket = env.get("S3_BUCKET_NAME")
+            if not bucket:
+                raise ValueError("Missing env var S3_BUCKET_NAME")
+            root = f"s3a://{bucket}"
 
         # Variable names, each with the field it sets and its type.
         known = {
@@ -124,6 +130,7 @@ class LakeConfig:
             "VS_CURRENCY": ("vs_currency", str),
             "PER_PAGE": ("per_page", int),
             "PAGE": ("page", int),
+            "GOLD_DAYS_PER_JOB": ("days_per_job", int),
         }
         given = {
             field: convert(env[name])
@@ -131,4 +138,4 @@ class LakeConfig:
             if env.get(name)
         }
         ids = tuple(part.strip() for part in env.get("COIN_IDS", "").split(",") if part.strip())
-        return cls(root=f"s3a://{bucket}", coin_ids=ids, **given)
+        return cls(root=root, coin_ids=ids, **given)

@@ -13,6 +13,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from quotelake import QualityError
+from quotelake.__main__ import main as command_line
 from quotelake.functions import utc_literal
 from quotelake.operators import clean_events, daily_metrics, days, dedup_quotes, latest_per_day
 from quotelake.operators.days import in_days, last_day, touched_days
@@ -429,3 +430,18 @@ def test_quarantine_stream_takes_each_file_once(spark, lake):
         events = stream_events(spark, lake.bronze)
         start_quarantine(events, lake, available_now=True).awaitTermination()
     assert spark.read.parquet(lake.quarantine).count() == 1
+
+
+def test_runs_from_the_command_line(spark, lake, monkeypatch, capsys):
+    monkeypatch.setenv("LAKE_ROOT", lake.root)
+    monkeypatch.setenv("GOLD_FRESHNESS_MAX_LAG_MINUTES", str(10**9))
+    for n, lines in enumerate(deliveries(2)):
+        write_lines(lake.bronze, f"{n}.json", *lines)
+    command_line(["silver", "--quarantine"])
+    command_line(["gold", "--days", "2024-01-02"])
+    assert {str(r.dt) for r in read_table(spark, lake.daily, GOLD_DAILY_SCHEMA).collect()} == {
+        "2024-01-02"
+    }
+    command_line(["lake"])
+    assert tables(spark, lake) == batch_results(spark, lake)
+    assert f"written: {lake.snapshot}" in capsys.readouterr().out
