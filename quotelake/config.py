@@ -28,8 +28,6 @@ class LakeConfig:
     vs_currency: str = "usd"
     source: str = "market_api"
     poll_seconds: int = 60
-    page: int = 1
-    per_page: int = 50
     coin_ids: tuple[str, ...] = ()
     max_lag_minutes: int = 20000
     # None leaves the session's own number of shuffle partitions in place.
@@ -112,7 +110,7 @@ class LakeConfig:
         if not root:
             bucket = env.get("S3_BUCKET_NAME")
             if not bucket:
-                raise ValueError("Missing env var S3_BUCKET_NAME")
+                raise ValueError("set LAKE_ROOT or S3_BUCKET_NAME")
             root = f"s3a://{bucket}"
 
         # Variable names, each with the field it sets and its type.
@@ -128,8 +126,6 @@ class LakeConfig:
             "KAFKA_TOPIC": ("topic", str),
             "POLL_SECONDS": ("poll_seconds", int),
             "VS_CURRENCY": ("vs_currency", str),
-            "PER_PAGE": ("per_page", int),
-            "PAGE": ("page", int),
             "GOLD_DAYS_PER_JOB": ("days_per_job", int),
         }
         given = {

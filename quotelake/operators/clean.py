@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from quotelake.functions import parse_instant
 from quotelake.schemas import BRONZE_SCHEMA, CORRUPT_RECORD, SILVER_SCHEMA
+from quotelake.session import require_utc
 
 
 def parse_events(events: DataFrame) -> DataFrame:
-    """Add both timestamps and the day; unreadable times become null."""
+    """Add both timestamps and the UTC day; unreadable times become null."""
+    require_utc(events.sparkSession)
     return events.withColumns(
         {
             "event_time_ts": parse_instant("event_time"),

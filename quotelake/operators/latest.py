@@ -71,14 +71,14 @@ def ranked_page(
     """Page ``page`` of ``per_page`` rows of a ranking, per group of ``keys``.
 
     Without keys this is one sorted limit. A page too deep for Spark to cut
-    before the shuffle is ranked in slices first: a row within the first n of
-    its group is within the first n of its slice.
+    before the shuffle is ranked in slices first, whose sorts can spill: a row
+    within the first n of its group is within the first n of its slice.
     """
     if page < 1 or per_page < 1:
         raise ValueError("page and per_page start at 1")
     before = (page - 1) * per_page
     last = page * per_page
-    if not keys:
+    if not keys and last <= MAX_PUSHED_RANK:
         return quotes.orderBy(*order).offset(before).limit(per_page)
 
     rows = quotes

@@ -39,6 +39,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session in whose zone days and texts without offset mean others."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 @contextmanager
 def shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
     """Run a block with another number of shuffle partitions."""

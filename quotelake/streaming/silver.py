@@ -24,14 +24,21 @@ from quotelake.streaming.triggers import trigger
 
 
 def start_history(
-    events: DataFrame, config: LakeConfig, *, available_now: bool = False
+    events: DataFrame,
+    config: LakeConfig,
+    *,
+    available_now: bool = False,
+    cluster: bool = True,
 ) -> StreamingQuery:
     """Append each raw file once to the history, however often this is started.
 
     Late rows land in their own day: there is no watermark that could drop them.
+    Without ``cluster`` nothing is shuffled, and each task writes a file for
+    each day it meets: for batches that hold large files of one day each.
     """
+    cleaned = clean_events(events)
     return (
-        cluster_by_day(clean_events(events))
+        (cluster_by_day(cleaned) if cluster else cleaned)
         .writeStream.format("parquet")
         .partitionBy("dt")
         .option("path", config.history)

@@ -6,6 +6,7 @@ import json
 import math
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quotelake import QualityError
@@ -19,7 +20,8 @@ from quotelake.operators import (
     tag_events,
 )
 from quotelake.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
-from quotelake.sources import decode_events, read_events, read_pages
+from quotelake.sinks import publish_stream, publish_topic
+from quotelake.sources import decode_events, read_events, read_pages, read_topic, stream_topic
 from tests.conftest import at, event, rows_of, silver, write_lines
 
 FAULTS = [
@@ -210,3 +212,21 @@ def test_contract_reports_missing_columns_first(spark):
     with pytest.raises(QualityError) as error:
         enforce_contract(quotes)
     assert error.value.reasons == ["missing_columns:['symbol', 'price_usd']"]
+
+
+def test_topic_calls_ask_for_the_kafka_connector(spark, events, tmp_path):
+    """Without the connector this is as far as they get."""
+    calls = [
+        lambda: read_topic(spark, "broker:9092", "t"),
+        lambda: stream_topic(spark, "broker:9092", "t", records_per_batch=10, min_partitions=4),
+        lambda: publish_topic(events, "broker:9092", "t"),
+        lambda: publish_stream(
+            spark.readStream.schema(events.schema).json(str(tmp_path)),
+            "broker:9092",
+            "t",
+            str(tmp_path / "c"),
+        ),
+    ]
+    for call in calls:
+        with pytest.raises(AnalysisException, match="(?i)kafka"):
+            call()

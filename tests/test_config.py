@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 
 from quotelake import LakeConfig
-from quotelake.session import scratch_path, shuffle_partitions, use_utc
+from quotelake.operators import clean_events
+from quotelake.session import require_utc, scratch_path, shuffle_partitions, use_utc
 
 
 def test_bucket_is_required():
@@ -64,7 +65,14 @@ def test_scratch_lies_in_the_shared_folder(spark, tmp_path):
         assert first.startswith(shared)
 
 
-def test_use_utc_sets_the_zone(spark):
+def test_other_zones_are_refused_or_set(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    use_utc(spark)
+    try:
+        with pytest.raises(ValueError, match="Asia/Tokyo"):
+            require_utc(spark)
+        with pytest.raises(ValueError, match="UTC"):
+            clean_events(spark.range(1))
+    finally:
+        use_utc(spark)
+    require_utc(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
