@@ -48,9 +48,13 @@ def current_snapshot(latest: DataFrame, keys: Sequence[str] = ("coin_id",)) -> D
 
 
 def dedup_quotes(
-    quotes: DataFrame, keys: Sequence[str] = ("dt", "coin_id", "event_time_ts")
+    quotes: DataFrame, keys: Sequence[str] = ("event_time_ts", "coin_id", "dt")
 ) -> DataFrame:
-    """One row per coin and event time: the one updated, then ingested, last."""
+    """One row per coin and event time: the one updated, then ingested, last.
+
+    The key with most values comes first: sorts compare its first eight bytes
+    without looking at the row.
+    """
     order = [c for c in ("last_updated_ts", "ingestion_time") if c in quotes.columns]
     return keep_latest(quotes, keys, order)
 
