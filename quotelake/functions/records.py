@@ -23,5 +23,19 @@ def event_json() -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """True for any valid JSON text, false for other text, and for null."""
-    return F.try_parse_json(text).isNotNull()
+    """True for any valid JSON text, false for other text, and for null.
+
+    The variant parser refuses an object that repeats a key. That is valid JSON
+    and readable, so what it refuses is parsed once more, as a strict object.
+    """
+    strict = F.from_json(
+        text,
+        "_other string",
+        {
+            "columnNameOfCorruptRecord": "_other",
+            "allowSingleQuotes": "false",
+            "allowNonNumericNumbers": "false",
+        },
+    )
+    is_object = strict.isNotNull() & strict.getField("_other").isNull()
+    return F.try_parse_json(text).isNotNull() | is_object

@@ -219,7 +219,6 @@ def contract_enforce(spark: SparkSession, sf_dir: str) -> DataFrame:
             "unknown_column": event_id,
         }
     )
-    # Instants travel as ISO texts with their offset.
     texts = texts.drop("event_id")
     return t.comparable(ops.enforce_contract(texts).drop("ingestion_time"))
 

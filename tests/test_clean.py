@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quotelake import QualityError
+from quotelake.functions import is_json
 from quotelake.operators import (
     clean_events,
     enforce_contract,
@@ -214,6 +215,33 @@ def test_contract_reports_missing_columns_first(spark):
     assert error.value.reasons == ["missing_columns:['symbol', 'price_usd']"]
 
 
+@pytest.mark.parametrize(
+    "text, valid",
+    [
+        ('{"a": 1}', True),
+        ('  {"a": {"b": [1, 2]}}  ', True),
+        ('{"a": 1, "a": 2}', True),
+        ('{"a": {"b": 1, "b": 2}, "_other": 5}', True),
+        ("[1, 2]", True),
+        ('"t"', True),
+        ("3", True),
+        ('{"a": 1', False),
+        ('{"a": 1, "a": 2', False),
+        ('{"a": 1,}', False),
+        ("{'a': 1}", False),
+        ('{"a": NaN}', False),
+        ('{"a": {"b": [1,2}}', False),
+        ('{"a": "x\ny"}', False),
+        ("oops {", False),
+        ("", False),
+        (None, False),
+    ],
+)
+def test_what_counts_as_json(spark, text, valid):
+    row = spark.createDataFrame([(text,)], "value string").select(is_json(F.col("value"))).first()
+    assert row[0] is valid
+
+
 def test_topic_calls_ask_for_the_kafka_connector(spark, events, tmp_path):
     """Without the connector this is as far as they get."""
     calls = [
