@@ -25,11 +25,13 @@ def _json_reader(reader, schema: T.StructType, multi_line: bool = False):
 
 
 def _paged(files: DataFrame) -> DataFrame:
-    return files.select(
-        *PAGE_SCHEMA.fieldNames(),
+    names = PAGE_SCHEMA.fieldNames()
+    any_field = F.coalesce(*[F.col(c).cast("string") for c in names]).isNotNull()
+    return files.where(F.col(CORRUPT_RECORD).isNull() | any_field).select(
+        *names,
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
-    ).where(F.coalesce(*[F.col(c).cast("string") for c in PAGE_SCHEMA.fieldNames()]).isNotNull())
+    )
 
 
 def read_pages(spark: SparkSession, path: str, *, page_per_file: bool = False) -> DataFrame:

@@ -172,6 +172,23 @@ def test_pages_become_events(spark, tmp_path, page_per_file):
     assert second.symbol is None and second.price_usd == 1.0
 
 
+def test_a_page_loses_fields_but_no_objects(spark, tmp_path):
+    lines = [
+        '[{"id": "a", "current_price": "n/a"}, {"id": "b", "current_price": 1}]',
+        '[{"id": "cut"}, {"id": "off"',
+        '[{}, {"id": "c", "market_cap": 7.5}]',
+        "[]",
+    ]
+    (tmp_path / "pages.json").write_text("\n".join(lines))
+    pages = read_pages(spark, str(tmp_path)).collect()
+    assert sorted((r.id or "", r.current_price, r.market_cap) for r in pages) == [
+        ("", None, None),
+        ("a", None, None),
+        ("b", 1.0, None),
+        ("c", None, 7.5),
+    ]
+
+
 def test_keyed_json_spells_out_nulls(spark):
     events = spark.createDataFrame(
         [
