@@ -28,7 +28,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_fifth(key: Column, modulus: int, remainder: int) -> Column:
+def in_fold(key: Column, modulus: int, remainder: int) -> Column:
     """crc32 of an id as text, modulo; a null id counts as empty text."""
     text = F.coalesce(key.cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % modulus == remainder
