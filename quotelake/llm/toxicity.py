@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from itertools import combinations
 
@@ -34,104 +34,139 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.common import in_fold, small_batches
 
+ORDER = 4
 WINDOW = 9
-DECAY = 0.6
+DECAY = 0.8
 SEED = 20261
 # The fit reads about so many labelled documents of each label, by a hash of the id.
 TRAIN_DOCUMENTS = 10_000
 # Strings, words and landmarks that the driver fits on.
 TELLING_STRINGS = 400
-TELLING_CHI2 = 12.0
+TELLING_CHI2 = 25.0
 TOXIC_WORDS, CLEAN_WORDS = 4000, 20_000
-TOXIC_LANDMARKS, CLEAN_LANDMARKS = 48, 16
+CLEAN_LANDMARKS = 400
+BLURRED_WORDS = 20
 ROUNDS = 3
-PENALTY = 1e-3
+PENALTY = 0.05
+# Decisions below this are as good as none.
+LOWEST = -0.8
 KEPT_WORDS = 1_000_000
 
-LETTERS = 64
+LETTERS = 48
 # Fixed readings of signs that stand for letters.
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 LOOSE_LETTERS = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 
 
 def letter_codes(word: str) -> list[int]:
-    """Letters a to z as 1 to 26, others folded on 27 to 63."""
+    """Letters a to z as 1 to 26, others folded on the codes above."""
     codes = []
     for char in word.lower().translate(LOOKALIKES):
         if "a" <= char <= "z":
             codes.append(ord(char) - 96)
         elif char.isalpha():
-            codes.append(27 + ord(char) % 37)
+            codes.append(27 + ord(char) % (LETTERS - 27))
     return codes
 
 
 @lru_cache(maxsize=1)
-def _triples() -> tuple[np.ndarray, np.ndarray]:
+def _patterns() -> tuple[np.ndarray, np.ndarray]:
     """Places of the subsequences in a window, and their weights by span."""
-    places = np.array(list(combinations(range(WINDOW), 3)))
-    return places, DECAY ** (places[:, 2] - places[:, 0] + 1.0)
+    places = np.array(list(combinations(range(WINDOW), ORDER)))
+    return places, DECAY ** (places[:, -1] - places[:, 0] + 1.0 - ORDER)
 
 
 @lru_cache(maxsize=1)
 def _sizes() -> np.ndarray:
-    """Norm of the weights of a string by its number of letters."""
-    places, weights = _triples()
-    fits = places[:, 2][None, :] < np.arange(WINDOW + 1)[:, None]
+    """Norm of a string of different letters, by their number."""
+    places, weights = _patterns()
+    fits = places[:, -1][None, :] < np.arange(WINDOW + 1)[:, None]
     return np.sqrt((fits * weights**2).sum(axis=1))
 
 
 def windows(word: str) -> np.ndarray:
     """The word's windows as rows of letter codes, shorter words filled with 0."""
     codes = letter_codes(word)
-    if len(codes) < 3:
+    if len(codes) < ORDER:
         return np.zeros((0, WINDOW), np.int64)
     codes += [0] * (WINDOW - len(codes))
     return np.lib.stride_tricks.sliding_window_view(np.array(codes, np.int64), WINDOW)
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code of each subsequence of each window, and its weight by the window's norm."""
-    places, weights = _triples()
-    a, b, c = (rows[:, places[:, k]] for k in range(3))
-    codes = (a * LETTERS + b) * LETTERS + c
-    norm = _sizes()[(rows > 0).sum(axis=1)]
-    return codes, np.where(c > 0, weights[None, :], 0) / np.where(norm > 0, norm, 1)[:, None]
-
+    """Code and weight of each subsequence of each window; weight 0 beyond its end."""
+    places, weights = _patterns()
+    codes = rows[:, places[:, 0]]
+    for place in range(1, ORDER):
+        codes = codes * LETTERS + rows[:, places[:, place]]
+    return codes, np.where(rows[:, places[:, -1]] > 0, weights[None, :], 0)
+
+
+def norms(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Roots of the kernel of each window with itself: equal subsequences add up."""
+    order = np.argsort(codes, axis=1, kind="stable")
+    codes, weights = np.take_along_axis(codes, order, 1), np.take_along_axis(weights, order, 1)
+    first = np.ones(codes.shape, bool)
+    first[:, 1:] = codes[:, 1:] != codes[:, :-1]
+    sums = np.add.reduceat(weights.ravel(), np.flatnonzero(first.ravel()))
+    owner = np.nonzero(first)[0]
+    return np.sqrt(np.bincount(owner, weights=sums**2, minlength=len(codes)))
+
+
+class Landmarks:
+    """Windows to which others are compared, with the subsequences they hold."""
+
+    def __init__(self, rows: np.ndarray):
+        codes, weights = subsequences(rows)
+        weights = weights / norms(codes, weights)[:, None]
+        owner = np.repeat(np.arange(len(rows)), codes.shape[1])
+        used = weights.ravel() > 0
+        order = np.argsort(codes.ravel()[used], kind="stable")
+        self.codes = codes.ravel()[used][order]
+        self.weights = weights.ravel()[used][order]
+        self.owner = owner[used][order]
+        self.count = len(rows)
+        self.known = np.unique(self.codes)
+        self.place = np.zeros(LETTERS**ORDER, np.int32)
+        self.place[self.known] = np.arange(1, len(self.known) + 1)
+
+    def kernel(self, rows: np.ndarray) -> np.ndarray:
+        """Normalised kernel of each window with each landmark."""
+        result = np.zeros((len(rows), self.count))
+        low = np.searchsorted(self.codes, self.known, "left")
+        many = np.searchsorted(self.codes, self.known, "right") - low
+        for at in range(0, len(rows), 4000):
+            codes, weights = subsequences(rows[at : at + 4000])
+            weights = weights / norms(codes, weights)[:, None]
+            place = self.place[codes]
+            row, column = np.nonzero((place > 0) & (weights > 0))
+            feature = place[row, column] - 1
+            sizes = many[feature]
+            start = np.repeat(low[feature] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            target = np.repeat(row, sizes) * self.count + self.owner[start]
+            values = np.repeat(weights[row, column], sizes) * self.weights[start]
+            size = len(codes) * self.count
+            result[at : at + 4000] = np.bincount(target, weights=values, minlength=size).reshape(len(codes), self.count)
+        return result
 
-def kernel(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Kernel of each window with each other one."""
-    codes, weights = subsequences(rows)
-    result = np.zeros((len(rows), len(others)))
-    for column, (own, own_weights) in enumerate(zip(*subsequences(others))):
-        table = np.bincount(own, weights=own_weights, minlength=LETTERS**3)
-        result[:, column] = (table[codes] * weights).sum(axis=1)
-    return result
+    def table(self, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Subsequences and their weights, of the landmarks' sum with these shares."""
+        place = np.searchsorted(self.known, self.codes)
+        return self.known, np.bincount(place, weights=self.weights * shares[self.owner])
 
 
 @dataclass(frozen=True)
 class Machine:
     """Weights of the subsequences, and the map of decisions to scores."""
 
+    codes: np.ndarray | None
     weights: np.ndarray | None
     bias: float
     slope: float
     shift: float
 
-    def decisions(self, words: list[str]) -> np.ndarray:
-        """The worst window of each word; words without windows get -inf."""
-        found = [windows(word) for word in words]
-        owner = np.repeat(np.arange(len(words)), [len(rows) for rows in found])
-        result = np.full(len(words), -np.inf)
-        if len(owner):
-            rows = np.concatenate(found)
-            for at in range(0, len(rows), 20_000):
-                codes, weights = subsequences(rows[at : at + 20_000])
-                values = (self.weights[codes] * weights).sum(axis=1) + self.bias
-                np.maximum.at(result, owner[at : at + 20_000], values)
-        return result
-
     def scores(self, worst: np.ndarray) -> np.ndarray:
-        z = np.clip(self.slope * np.maximum(worst, -4.0) + self.shift, -30, 30)
+        z = np.clip(self.slope * np.maximum(worst, LOWEST) + self.shift, -30, 30)
         return 1 / (1 + np.exp(-z))
 
 
@@ -147,19 +182,38 @@ class Scorer:
     """Worst decision of texts; those of words are kept, as most come again."""
 
     def __init__(self, machine: Machine):
-        self.machine = machine
+        self.bias = machine.bias
+        self.weights = np.zeros(LETTERS**ORDER, np.float32)
+        self.weights[machine.codes] = machine.weights
         self.known: dict[str, float] = {}
 
+    def decisions(self, words: list[str]) -> np.ndarray:
+        """The worst window of each word, ``LOWEST`` at least."""
+        found = [windows(word) for word in words]
+        owner = np.repeat(np.arange(len(words)), [len(rows) for rows in found])
+        result = np.full(len(words), LOWEST)
+        rows = np.concatenate([np.zeros((0, WINDOW), np.int64), *found])
+        for at in range(0, len(rows), 4000):
+            part = rows[at : at + 4000]
+            codes, weights = subsequences(part)
+            sums = (self.weights[codes] * weights).sum(axis=1)
+            # Repeated letters only add to the norm, so this is the most it can be.
+            high = np.flatnonzero(sums / _sizes()[(part > 0).sum(axis=1)] + self.bias > LOWEST)
+            if len(high):
+                exact = sums[high] / norms(codes[high], weights[high]) + self.bias
+                np.maximum.at(result, owner[at : at + 4000][high], exact)
+        return result
+
     def worst(self, texts: list[str]) -> np.ndarray:
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         bags = [words_of(text) for text in texts]
         new = list(set().union(*bags).difference(self.known))
-        self.known.update(zip(new, self.machine.decisions(new).tolist()))
-        return np.array([max(map(self.known.__getitem__, bag), default=-np.inf) for bag in bags])
+        self.known.update(zip(new, self.decisions(new).tolist()))
+        return np.array([max(map(self.known.__getitem__, bag), default=LOWEST) for bag in bags])
 
 
-def squared_hinge(features: np.ndarray, signs: np.ndarray, costs: np.ndarray, penalty: float) -> np.ndarray:
+def squared_hinge(features: np.ndarray, signs: np.ndarray, penalty: float) -> np.ndarray:
     """Weights (the last is the bias) of the linear machine, by Newton steps."""
     data = np.hstack([features, np.ones((len(features), 1))])
     weights = np.zeros(data.shape[1])
@@ -171,57 +225,59 @@ def squared_hinge(features: np.ndarray, signs: np.ndarray, costs: np.ndarray, pe
         if inside is not None and (now == inside).all():
             break
         inside = now
-        part = data[inside] * costs[inside, None]
-        weights = np.linalg.solve(part.T @ data[inside] + ridge, part.T @ signs[inside])
+        part = data[inside]
+        weights = np.linalg.solve(part.T @ part + ridge, part.T @ signs[inside])
     return weights
 
 
-def pick_landmarks(rows: np.ndarray, count: int) -> np.ndarray:
-    """First rows that are least like those before, by the kernel."""
+def spread_out(rows: np.ndarray, count: int) -> np.ndarray:
+    """The first row, then always the one least like those chosen before."""
     if len(rows) <= count:
         return rows
-    likeness = kernel(rows, rows[:1])[:, 0]
+    likeness = Landmarks(rows[:1]).kernel(rows)[:, 0]
     chosen = [0]
     while len(chosen) < count:
         chosen.append(int(likeness.argmin()))
-        likeness = np.maximum(likeness, kernel(rows, rows[chosen[-1:]])[:, 0])
+        likeness = np.maximum(likeness, Landmarks(rows[chosen[-1:]]).kernel(rows)[:, 0])
     return rows[chosen]
 
 
-def train(telling: list[str], toxic: list[str], clean: list[str]) -> tuple[np.ndarray, float]:
-    """Subsequence weights and bias from telling strings and words of either kind."""
-    clean_rows = [windows(word) for word in clean]
-    clean_rows = np.unique(np.concatenate([np.zeros((0, WINDOW), np.int64), *clean_rows]), axis=0)
-    bags = [rows for rows in map(windows, toxic) if len(rows)]
-    heads = [windows(text)[:1] for text in telling]
-    heads = np.concatenate([rows for rows in heads if len(rows)])
-    landmarks = np.concatenate([
-        pick_landmarks(heads, TOXIC_LANDMARKS),
-        pick_landmarks(clean_rows[:: max(1, len(clean_rows) // 2000)], CLEAN_LANDMARKS),
-    ])
-    values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
-    root = vectors / np.sqrt(np.maximum(values, 1e-6 * values.max()))
-    project = root @ vectors.T
-    negative = kernel(clean_rows, landmarks) @ project
-    bag_features = [kernel(rows, landmarks) for rows in bags]
-    worst = [int(each[:, : min(TOXIC_LANDMARKS, len(heads))].max(axis=1).argmax()) for each in bag_features]
-    bag_features = [each @ project for each in bag_features]
+def blurred(word: str) -> list[str]:
+    """The word with one letter doubled, or one strange letter put in."""
+    inner = range(1, len(word))
+    return [word[:at] + more + word[at:] for at in inner for more in (word[at], "x", "q")]
+
+
+def train(telling: list[str], toxic: list[str], clean: list[str]) -> Machine:
+    """The machine, before its decisions are mapped to scores."""
+    none = np.zeros((0, WINDOW), np.int64)
+    # What hides a telling word from a list of words is part of the training.
+    sure = [word for word in telling if word in set(toxic)][:BLURRED_WORDS]
+    hidden = [other for word in sure for other in blurred(word)]
+    bags = [rows for rows in map(windows, [*toxic, *hidden]) if len(rows)]
+    heads = np.unique(np.concatenate([none, *(windows(text)[:1] for text in telling)]), axis=0)
+    negative_rows = np.unique(np.concatenate([none, *map(windows, clean)]), axis=0)
+    apart = negative_rows[:: max(1, len(negative_rows) // CLEAN_LANDMARKS)]
+    landmarks = Landmarks(np.concatenate([heads, apart]))
+    values, vectors = np.linalg.eigh(landmarks.kernel(np.concatenate([heads, apart])))
+    project = (vectors / np.sqrt(np.maximum(values, 1e-6 * values.max()))) @ vectors.T
+    negative = landmarks.kernel(negative_rows) @ project
+    owner = np.repeat(np.arange(len(bags)), [len(rows) for rows in bags])
+    likeness = landmarks.kernel(np.concatenate(bags))
+    inside, judged = likeness @ project, likeness[:, : len(heads)].max(axis=1)
     for _ in range(ROUNDS):
-        positive = np.stack([each[at] for each, at in zip(bag_features, worst)])
-        signs = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-        costs = np.r_[np.full(len(positive), 0.5 / len(positive)), np.full(len(negative), 0.5 / max(1, len(negative)))]
-        solution = squared_hinge(np.vstack([positive, negative]), signs, costs, PENALTY)
-        worst = [int((each @ solution[:-1]).argmax()) for each in bag_features]
-    by_landmark = project @ solution[:-1]
-    weights = np.zeros(LETTERS**3)
-    for share, codes, own in zip(by_landmark, *subsequences(landmarks)):
-        weights += share * np.bincount(codes, weights=own, minlength=LETTERS**3)
-    return weights, float(solution[-1])
+        # The worst window of each bag, the first of equal ones.
+        order = np.lexsort((np.arange(len(owner)), -judged, owner))
+        worst = order[np.r_[True, np.diff(owner[order]) > 0]]
+        signs = np.r_[np.ones(len(worst)), -np.ones(len(negative))]
+        solution = squared_hinge(np.vstack([inside[worst], negative]), signs, PENALTY)
+        judged = inside @ solution[:-1]
+    return Machine(*landmarks.table(project @ solution[:-1]), float(solution[-1]), 1.0, 0.0)
 
 
 def platt(worst: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the logistic map from decisions to scores."""
-    data = np.stack([np.maximum(worst, -4.0), np.ones(len(worst))], axis=1)
+    data = np.stack([np.maximum(worst, LOWEST), np.ones(len(worst))], axis=1)
     positive, total = labels.sum(), len(labels)
     target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (total - positive + 2))
     fit = np.array([1.0, 0.0])
@@ -285,7 +341,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, each: int = TRAI
     totals = {row.toxic: row["count"] for row in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     share = n_toxic / max(1, n_toxic + n_clean)
-    constant = Machine(None, 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
+    constant = Machine(None, None, 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     if not n_toxic or not n_clean:
         return constant
     counts = word_counts(rows).cache()
@@ -307,8 +363,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, each: int = TRAI
     toxic = [row.word for row in toxic.collect()]
     clean = sorted({row.word for part in (common, other) for row in part.collect()})
     counts.unpersist()
-    weights, bias = train(telling, toxic, clean)
-    raw = Machine(weights, bias, 1.0, 0.0)
+    raw = train(telling, toxic, clean)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(raw)
@@ -318,17 +373,17 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, each: int = TRAI
 
     known = rows.mapInArrow(run, "worst double, toxic int").toPandas()
     slope, shift = platt(known.worst.to_numpy(), known.toxic.to_numpy())
-    return Machine(weights, bias, slope, shift)
+    return replace(raw, slope=slope, shift=shift)
 
 
 def score_texts(documents: DataFrame, machine: Machine) -> DataFrame:
     """``doc_id, score``, from 0 to 1, for every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(machine)
+        scorer = None if machine.codes is None else Scorer(machine)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            worst = np.zeros(len(texts)) if machine.weights is None else scorer.worst(texts)
+            worst = scorer.worst(texts) if scorer else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(machine.scores(worst))], names=["doc_id", "score"])
 
     small_batches(documents.sparkSession)
