@@ -2,4 +2,68 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from quotelake.llm.chat import TURN_END, TURN_START
+from quotelake.llm.licenses import COPYRIGHT_LINE, KNOWN_TEXTS, SPELLINGS
+from quotelake.llm.queries import HOSTILE
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _op1() -> str:
+    escape = r"""regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"""
+    role = escape.format(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
+    frame = len(TURN_START) + len(TURN_END) + 2
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{HOSTILE}'
+  UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}'
+)
+SELECT conv_id,
+  count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({frame} + length({role}) + length({escape.format("text")})) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+
+def _op5() -> str:
+    plain = "lower(coalesce(text, ''))"
+    for other, usual in SPELLINGS:
+        plain = f"replace({plain}, {_quoted(other)}, {_quoted(usual)})"
+    known = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN_TEXTS.items())
+
+    def lines(key: str, table: str) -> str:
+        return f"""
+  SELECT {key}, list_filter(list_transform(
+    list_filter(string_split({plain}, chr(10)), lambda l: NOT regexp_matches(l, {_quoted(COPYRIGHT_LINE)})),
+    lambda l: trim(regexp_replace(l, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))), lambda l: l <> '') AS lines
+  FROM {table}"""
+
+    return f"""
+WITH known(license_id, text) AS (VALUES {known}),
+known_lines AS ({lines("license_id", "known")}),
+digests AS (
+  SELECT sha256(array_to_string(lines, ' ')) AS digest, min(license_id) AS license_id
+  FROM known_lines WHERE len(lines) > 0 GROUP BY 1
+),
+canonical AS ({lines("doc_id", "documents")}),
+notices AS (
+  SELECT doc_id, count(license_id) AS n_notices, coalesce(string_agg(DISTINCT license_id, ',' ORDER BY license_id), '') AS notices
+  FROM (SELECT doc_id, unnest(lines) AS line FROM canonical) JOIN digests ON sha256(line) = digest
+  GROUP BY doc_id
+)
+SELECT c.doc_id,
+  CASE WHEN len(lines) > 0 THEN sha256(array_to_string(lines, ' ')) END AS canonical_sha256,
+  d.license_id,
+  coalesce(n_notices, 0) AS n_notices,
+  coalesce(notices, '') AS notices
+FROM canonical c
+LEFT JOIN digests d ON len(lines) > 0 AND sha256(array_to_string(lines, ' ')) = d.digest
+LEFT JOIN notices n ON n.doc_id = c.doc_id"""
+
+
+ORACLES: dict[str, str] = {"op1_chat": _op1(), "op5_licenses": _op5()}
