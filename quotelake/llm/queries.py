@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import chat, language, licenses, quality, secrets, simhash, toxicity
+from quotelake.llm import chat, decontaminate, language, licenses, quality, secrets, simhash, toxicity
 from quotelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = decontaminate.as_items(table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), items)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op4_toxicity": op4_toxicity,
     "op5_licenses": op5_licenses,
+    "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
