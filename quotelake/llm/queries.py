@@ -6,10 +6,11 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import chat, decontaminate, language, licenses, quality, secrets, simhash, toxicity
+from quotelake.llm import chat, decontaminate, language, licenses, packing, quality, secrets, simhash, toxicity
 from quotelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -98,6 +104,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat": op1_chat,
     "op2_quality": op2_quality,
+    "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_licenses": op5_licenses,
     "op6_decontaminate": op6_decontaminate,
