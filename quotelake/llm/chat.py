@@ -75,35 +75,38 @@ def _as_target(steps: DataFrame) -> DataFrame:
     return steps.select([F.col(c).alias(f"up_{c}") for c in steps.columns])
 
 
-def jump_pointers(messages: DataFrame) -> list[DataFrame]:
-    """Tables ``tree, node, above, hops, total``: the k-th reaches 2^k messages up.
+def jump_pointers(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Jumps ``tree, node, above``, the k-th by 2^k messages, and the rooted nodes.
 
-    ``above`` is null where the path ends earlier; the last table has no other
-    rows but those of cycles. ``hops`` and ``total`` count and score the messages
-    from the node to before ``above``.
+    A rooted node has the number and the score of the messages up to its root as
+    ``hops`` and ``total``. A round works on the nodes whose root it has not reached.
     """
     nodes = messages.select("tree", "node", "parent", "score")
     known = nodes.select(F.col("tree").alias("up_tree"), F.col("node").alias("up_node"))
     steps = nodes.join(known, _same(nodes, known, "parent"), "left").select(
         "tree", "node", F.col("up_node").alias("above"), F.lit(1).cast("long").alias("hops"), F.col("score").alias("total")
     )
-    tables, open_before = [], None
+    steps = settle(steps, "chat-steps")
+    rooted = steps.where("above is null")
+    jumps, left_before = [], None
     while True:
-        steps = settle(steps, "chat-steps")
-        tables.append(steps)
-        open_now = steps.where("above is not null").count()
-        # A round closes some path unless only cycles are open.
-        if open_now == 0 or open_now == open_before:
-            return tables
-        open_before = open_now
-        up = _as_target(steps)
-        steps = steps.join(up, _same(steps, up, "above"), "left").select(
+        climbing = steps.where("above is not null")
+        left = climbing.count()
+        # A round reaches some root unless only cycles are left.
+        if left == 0 or left == left_before:
+            return jumps, rooted.drop("above")
+        left_before = left
+        jumps.append(climbing.select("tree", "node", "above"))
+        up = _as_target(climbing.unionByName(rooted))
+        steps = climbing.join(up, _same(climbing, up, "above")).select(
             "tree",
             "node",
             F.col("up_above").alias("above"),
-            (F.col("hops") + F.coalesce("up_hops", F.lit(0))).alias("hops"),
-            (F.col("total") + F.coalesce("up_total", F.lit(0.0))).alias("total"),
+            (F.col("hops") + F.col("up_hops")).alias("hops"),
+            (F.col("total") + F.col("up_total")).alias("total"),
         )
+        steps = settle(steps, "chat-steps")
+        rooted = rooted.unionByName(steps.where("above is null"))
 
 
 def best_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
@@ -111,10 +114,10 @@ def best_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
 
     ``best`` is the number of paths for each tree, None for all.
     """
-    pointers = jump_pointers(messages)
-    ends = pointers[-1].where("above is null")
+    jumps, ends = jump_pointers(messages)
     parents = messages.select(F.col("tree").alias("up_tree"), F.col("parent").alias("up_node"))
-    leaves = ends.join(parents.where("up_node is not null").distinct(), _same(ends, parents, "node"), "left_anti")
+    parents = parents.where("up_node is not null").distinct()
+    leaves = ends.join(parents, _same(ends, parents, "node"), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("hops"), "node")
     leaves = leaves.withColumn("rank", F.row_number().over(order))
     if best is not None:
@@ -123,8 +126,8 @@ def best_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
         "tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("height"), "hops"
     )
     path = settle(path, "chat-leaves")
-    for power, steps in enumerate(pointers[:-1]):
-        up = _as_target(steps.where("above is not null"))
+    for power, jump in enumerate(jumps):
+        up = _as_target(jump)
         higher = path.join(up, _same(path, up, "node")).select(
             "tree", "leaf", "rank", F.col("up_above").alias("node"), (F.col("height") + (1 << power)).alias("height"), "hops"
         )
