@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import chat, decontaminate, language, licenses, packing, quality, secrets, simhash, toxicity
+from quotelake.llm import chat, decontaminate, language, licenses, packing, quality, secrets, simhash, suffixes, toxicity
 from quotelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    left = F.octet_length("kept").cast("long")
+    return rest.select("doc_id", "n_bytes", (F.col("n_bytes") - left).alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -109,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op5_licenses": op5_licenses,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
+    "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
 }
