@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import in_fold, small_batches
+from quotelake.llm.common import in_fold, settle, small_batches
 
 ORDER = 4
 WINDOW = 9
@@ -41,10 +41,10 @@ SEED = 20261
 # The fit reads about so many labelled documents of each label, by a hash of the id.
 TRAIN_DOCUMENTS = 10_000
 # Strings, words and landmarks that the driver fits on.
-TELLING_STRINGS = 400
+TELLING_STRINGS = 300
 TELLING_CHI2 = 25.0
-TOXIC_WORDS, CLEAN_WORDS = 4000, 20_000
-CLEAN_LANDMARKS = 400
+TOXIC_WORDS, CLEAN_WORDS = 3000, 12_000
+CLEAN_LANDMARKS = 200
 BLURRED_WORDS = 20
 ROUNDS = 3
 PENALTY = 0.05
@@ -132,11 +132,11 @@ class Landmarks:
 
     def kernel(self, rows: np.ndarray) -> np.ndarray:
         """Normalised kernel of each window with each landmark."""
-        result = np.zeros((len(rows), self.count))
+        result = np.zeros((len(rows), self.count), np.float32)
         low = np.searchsorted(self.codes, self.known, "left")
         many = np.searchsorted(self.codes, self.known, "right") - low
-        for at in range(0, len(rows), 4000):
-            codes, weights = subsequences(rows[at : at + 4000])
+        for at in range(0, len(rows), 2000):
+            codes, weights = subsequences(rows[at : at + 2000])
             weights = weights / norms(codes, weights)[:, None]
             place = self.place[codes]
             row, column = np.nonzero((place > 0) & (weights > 0))
@@ -146,7 +146,7 @@ class Landmarks:
             target = np.repeat(row, sizes) * self.count + self.owner[start]
             values = np.repeat(weights[row, column], sizes) * self.weights[start]
             size = len(codes) * self.count
-            result[at : at + 4000] = np.bincount(target, weights=values, minlength=size).reshape(len(codes), self.count)
+            result[at : at + 2000] = np.bincount(target, weights=values, minlength=size).reshape(len(codes), self.count)
         return result
 
     def table(self, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +215,7 @@ class Scorer:
 
 def squared_hinge(features: np.ndarray, signs: np.ndarray, penalty: float) -> np.ndarray:
     """Weights (the last is the bias) of the linear machine, by Newton steps."""
-    data = np.hstack([features, np.ones((len(features), 1))])
+    data = np.hstack([features, np.ones((len(features), 1), features.dtype)])
     weights = np.zeros(data.shape[1])
     ridge = penalty * np.eye(data.shape[1])
     ridge[-1, -1] = 1e-6
@@ -226,7 +226,7 @@ def squared_hinge(features: np.ndarray, signs: np.ndarray, penalty: float) -> np
             break
         inside = now
         part = data[inside]
-        weights = np.linalg.solve(part.T @ part + ridge, part.T @ signs[inside])
+        weights = np.linalg.solve((part.T @ part).astype(float) + ridge, part.T @ signs[inside])
     return weights
 
 
@@ -259,8 +259,8 @@ def train(telling: list[str], toxic: list[str], clean: list[str]) -> Machine:
     negative_rows = np.unique(np.concatenate([none, *map(windows, clean)]), axis=0)
     apart = negative_rows[:: max(1, len(negative_rows) // CLEAN_LANDMARKS)]
     landmarks = Landmarks(np.concatenate([heads, apart]))
-    values, vectors = np.linalg.eigh(landmarks.kernel(np.concatenate([heads, apart])))
-    project = (vectors / np.sqrt(np.maximum(values, 1e-6 * values.max()))) @ vectors.T
+    values, vectors = np.linalg.eigh(landmarks.kernel(np.concatenate([heads, apart])).astype(float))
+    project = ((vectors / np.sqrt(np.maximum(values, 1e-6 * values.max()))) @ vectors.T).astype(np.float32)
     negative = landmarks.kernel(negative_rows) @ project
     owner = np.repeat(np.arange(len(bags)), [len(rows) for rows in bags])
     likeness = landmarks.kernel(np.concatenate(bags))
@@ -344,7 +344,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, each: int = TRAI
     constant = Machine(None, None, 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     if not n_toxic or not n_clean:
         return constant
-    counts = word_counts(rows).cache()
+    counts = settle(word_counts(rows), "toxicity-words")
     t, c = F.col("toxic_docs"), F.col("clean_docs")
     a, b = t / n_toxic, c / n_clean
     pooled = (t + c) / (n_toxic + n_clean)
@@ -362,7 +362,6 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, each: int = TRAI
     other = clean.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS // 2)
     toxic = [row.word for row in toxic.collect()]
     clean = sorted({row.word for part in (common, other) for row in part.collect()})
-    counts.unpersist()
     raw = train(telling, toxic, clean)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
