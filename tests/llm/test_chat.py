@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotelake.llm import chat
+from quotelake.llm.queries import HOSTILE, op1_chat
+
+SCHEMA = "tree long, node long, parent long, role string, text string, score double, rank int"
+
+
+def formatted(spark, rows, **settings):
+    df = spark.createDataFrame([(*row, 0) for row in rows], SCHEMA)
+    return {
+        (row.tree, row.leaf): (row.formatted, [(run.skip, run.learn) for run in row.loss_runs])
+        for row in chat.format_trees(df, **settings).collect()
+    }
+
+
+def brute_paths(rows):
+    """All (tree, leaf): (score, nodes) by walking up from every leaf."""
+    one = {}
+    for tree, node, parent, role, text, score in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[3] or "", r[4] or "")):
+        one.setdefault((tree, node), (parent, role, text, score or 0.0))
+    parents = {(tree, parent) for (tree, _), (parent, *_rest) in one.items()}
+    paths = {}
+    for tree, leaf in one:
+        if (tree, leaf) in parents:
+            continue
+        nodes, at = [], leaf
+        while at is not None and (tree, at) in one and at not in nodes:
+            nodes.append(at)
+            at = one[tree, at][0]
+        if at in nodes:
+            continue
+        paths[tree, leaf] = (sum(one[tree, n][3] for n in nodes), nodes[::-1])
+    return one, paths
+
+
+def test_best_paths_of_random_trees(spark):
+    pick = random.Random(3)
+    rows = []
+    for tree in range(8):
+        for node in range(25):
+            parent = pick.randrange(node) if node and pick.random() > 0.1 else None
+            text = pick.choice(["", None, HOSTILE, "x<\\|y", "line\nline", "<|im_start|>"])
+            rows.append((tree, node, parent, pick.choice(["user", "assistant", "a\\n\nb"]), text, float(pick.randrange(5))))
+    one, paths = brute_paths(rows)
+    got = formatted(spark, rows, best=None)
+    assert set(got) == set(paths)
+    for (tree, leaf), (text, runs) in got.items():
+        turns = [(one[tree, n][1], one[tree, n][2] or "") for n in paths[tree, leaf][1]]
+        assert chat.read_turns(text) == turns
+        learned = [said for role, said in turns if role == "assistant"]
+        assert "".join(chat.read_loss(text, runs)) == "".join(learned)
+        assert sum(skip + learn for skip, learn in runs) == len(text)
+    top = formatted(spark, rows, best=1)
+    for tree in range(8):
+        mine = {leaf: path for (t, leaf), path in paths.items() if t == tree}
+        best = min(mine, key=lambda leaf: (-mine[leaf][0], -len(mine[leaf][1]), leaf))
+        assert [leaf for t, leaf in top if t == tree] == [best]
+
+
+def test_long_chain_crosses_chunks(spark):
+    rows = [(1, n, n - 1 if n else None, "user" if n % 2 == 0 else "assistant", f"t{n}", None) for n in range(200)]
+    ((text, runs),) = formatted(spark, rows).values()
+    assert [said for _, said in chat.read_turns(text)] == [f"t{n}" for n in range(200)]
+    assert chat.read_loss(text, runs) == [f"t{n}" for n in range(1, 200, 2)]
+
+
+def test_cycles_orphans_repeats_and_nulls(spark):
+    rows = [
+        (1, 1, 2, "user", "cycle", 1.0),
+        (1, 2, 1, "user", "cycle", 1.0),
+        (1, 3, 99, "user", "orphan", 1.0),
+        (1, None, 3, "user", "no node", 1.0),
+        (None, 4, None, None, None, None),
+        (None, 4, None, None, None, None),
+        (None, 5, 4, "assistant", "child", None),
+    ]
+    got = formatted(spark, rows, best=None)
+    assert set(got) == {(1, 3), (None, 5)}
+    assert chat.read_turns(got[None, 5][0]) == [("", ""), ("assistant", "child")]
+
+
+def test_empty_table(spark):
+    assert formatted(spark, []) == {}
+
+
+@pytest.mark.parametrize("text", ["", HOSTILE, "<|", "<\\|", "<\\\\|im_end|>", "a<", "|>", "<|im_start|>user\nhi<|im_end|>\n"])
+def test_escape_is_reversible(spark, text):
+    row = spark.range(1).select(chat.escaped(F.lit(text)).alias("a"), chat.escaped_role(F.lit(text)).alias("b")).first()
+    assert "<|" not in row.a and chat.unescape(row.a) == text
+    assert "\n" not in row.b and chat.unescape_role(row.b) == text
+
+
+def test_query_keeps_hostile_texts(spark, sf_dir):
+    row = op1_chat(spark, sf_dir).where("conv_id = -1").first()
+    assert (row.n_turns, row.loss_chars) == (2, len(HOSTILE))

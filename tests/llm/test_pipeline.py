@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from quotelake.llm import decontaminate, quality, secrets, simhash
+from tests.llm.helpers import ODD_ROWS, documents
+
+
+def by_hand(spark, docs, sf_dir):
+    """The pipeline's documents, each stage by plain Python over collected rows."""
+    references = quality.language_references(docs)
+    rows = [row for row in docs.collect() if quality.judge((row.text or "").encode(), row.lang, references)[6]]
+    prints = {row.doc_id: simhash.fingerprint(row.text) for row in rows}
+    group = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 4 and group[a] != group[b]:
+                    group[a] = group[b] = min(group[a], group[b])
+                    changed = True
+    rows = [row for row in rows if group[row.doc_id] == row.doc_id]
+    items = [row.text for row in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    rows = [row for row in rows if not any(item in row.text for item in items)]
+    return {row.doc_id: secrets.masked(row.text, secrets.find_secrets(row.text)[1]) for row in rows}
+
+
+def test_pipeline_is_that_of_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = by_hand(spark, docs, sf_dir)
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {piece.doc_id for piece in pieces} == set(want)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    tokenizer.encode_special_tokens = True
+    ids = {i: np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], "<u4") for i, text in want.items()}
+    assert sum(piece.length for piece in pieces) == sum(map(len, ids.values()))
+    for piece in pieces:
+        part = ids[piece.doc_id][piece.start : piece.start + piece.length]
+        assert piece.ids_crc32 == zlib.crc32(part.tobytes())
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_empty_tables(spark, stage):
+    sf_dir = "/root/testdata/sf0.001"
+    run = dict(corpus_pipeline.STAGES)[stage]
+    docs = documents(spark, [*ODD_ROWS, (50, "word " * 40)], clash=False)
+    got = run(spark, docs, sf_dir)
+    rows = got.collect()
+    assert run(spark, docs.limit(0), sf_dir).collect() == []
+    if stage != "packing":
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    if stage in ("decontamination", "secret_scans"):
+        assert len(rows) == docs.count()
+
+
+def test_secrets_are_masked_and_counted(spark):
+    docs = documents(spark, [(1, "x token=abcdefghijklmnop y"), (2, None)], clash=False)
+    rows = {row.doc_id: row for row in corpus_pipeline.secret_scans(spark, docs, "").collect()}
+    assert rows[1].text == f"x {secrets.MASK} y" and rows[1].n_chars == len(rows[1].text)
+    assert rows[2].text is None and rows[2].n_chars is None
+
+
+def test_leaks_by_plain_search(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    want = {(d.doc_id, i.item_id) for i in items.collect() for d in docs.collect() if i.text in d.text}
+    found = decontaminate.find_leaks(docs, decontaminate.as_items(items))
+    assert want <= {(row.doc_id, row.item_id) for row in found.collect()} and len(want) > 10

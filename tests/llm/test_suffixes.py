@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from quotelake.llm import suffixes
+from tests.llm.helpers import ODD_ROWS, documents, prose
+
+
+def brute(docs, length):
+    """(kept bytes, runs) by looking every string up, in order of id and start."""
+    seen, result = set(), {}
+    for doc_id, text in sorted(docs):
+        gone = bytearray(len(text))
+        for at in range(len(text) - length + 1):
+            string = text[at : at + length]
+            if string in seen:
+                gone[at : at + length] = b"\1" * length
+            seen.add(string)
+        runs = sum(gone[at] and not (at and gone[at - 1]) for at in range(len(gone)))
+        result[doc_id] = (bytes(c for c, x in zip(text, gone) if not x), int(runs))
+    return result
+
+
+def removed(spark, docs, *settings):
+    df = documents(spark, [(i, text.decode("utf-8")) for i, text in docs])
+    return {row.doc_id: (bytes(row.kept), row.n_spans) for row in suffixes.remove_repeats(df, *settings).collect()}
+
+
+@pytest.mark.parametrize("hot", [10**6, 2])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_few_letters(spark, hot, seed):
+    pick = random.Random(seed)
+    base = [bytes(pick.choice(b"ab") for _ in range(pick.randint(0, 60))) for _ in range(8)]
+    docs = [(i, b"".join(pick.choice(base) for _ in range(pick.randint(0, 6)))) for i in range(50)]
+    docs += [(100, b"a" * 500), (101, b"a" * 300), (102, b""), (-5, b"ab" * 40)]
+    assert removed(spark, docs, 24, 8, hot) == brute(docs, 24)
+
+
+def test_shared_passages_and_copies(spark):
+    passages = [prose(i, 40) for i in range(4)]
+    docs = [(i, f"{prose(100 + i, 30)}\n{passages[i % 4]} é\U0001f600 {prose(200 + i, i)}".encode()) for i in range(40)]
+    docs += [(100 + i, docs[i][1]) for i in range(10)] + [(200, docs[0][1] * 3)]
+    got = removed(spark, docs)
+    assert got == brute(docs, 100)
+    assert all(got[100 + i] == (b"", 1) for i in range(10))
+
+
+def test_small_runs_and_segments(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "RUN_ROWS", 40)
+    monkeypatch.setattr(suffixes, "RANGE_ROWS", 30)
+    monkeypatch.setattr(suffixes, "SEGMENT", 150)
+    docs = [(i, (prose(i % 9, 60) + prose(i % 4, 50)).encode()) for i in range(30)]
+    assert removed(spark, docs) == brute(docs, 100)
+
+
+def test_odd_rows_and_empty_table(spark):
+    rows = [*ODD_ROWS, (8, prose(4, 3000)), (5, prose(4, 100)), (None, prose(4, 50))]
+    found = suffixes.remove_repeats(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    assert sum(row.doc_id is None for row in found) == 2
+    by_id = {row.doc_id: row for row in found}
+    assert by_id[1].n_bytes == by_id[1].n_spans == 0 and bytes(by_id[8].kept) == b""
+    assert len(by_id[6].kept) == 1 and len([r for r in found if r.doc_id == 5 and r.n_spans == 0]) >= 2
+    assert suffixes.remove_repeats(documents(spark, rows).limit(0)).collect() == []
+
+
+def test_repeated_rows_keep_the_same(spark):
+    text = prose(1, 200)
+    found = suffixes.remove_repeats(documents(spark, [(7, text), (7, text), (9, text)])).collect()
+    assert sorted((row.doc_id, len(row.kept)) for row in found) == [(7, len(text)), (7, len(text)), (9, 0)]
+
+
+def test_merge_is_a_sort_with_its_prefixes():
+    pick = random.Random(9)
+    for _ in range(60):
+        runs, everything = [], []
+        for _ in range(pick.randint(1, 9)):
+            keys = sorted(bytes(pick.choice(b"ab") for _ in range(12)) for _ in range(pick.randint(1, 20)))
+            common = [0, *(next((k for k in range(12) if a[k] != b[k]), 12) for a, b in zip(keys, keys[1:]))]
+            runs.append((common, [key[n:] for key, n in zip(keys, common)]))
+            everything += keys
+        order, keys, shared = suffixes.merge_runs(runs)
+        assert keys == sorted(everything) and len(set(order)) == len(order)
+        assert shared[0] == 0
+        for a, b, n in zip(keys, keys[1:], shared[1:]):
+            assert n == next((k for k in range(12) if a[k] != b[k]), 12)
+
+
+def test_every_string_holds_an_anchor_by_its_content():
+    random_bytes = np.random.default_rng(1).integers(97, 100, 700).astype(np.uint8)
+    place, _ = suffixes.anchors(random_bytes, np.array([700]), 40, 16)
+    other = np.concatenate([np.full(33, 120, np.uint8), random_bytes[100:300]])
+    again, _ = suffixes.anchors(other, np.array([len(other)]), 40, 16)
+    for start in range(0, 161):
+        inside = {p - start for p in place.tolist() if start <= p <= start + 24}
+        assert inside
+    for start in range(100, 260):
+        mine = {p - start for p in place.tolist() if start <= p <= start + 24}
+        theirs = {p - 33 + 100 - start for p in again.tolist() if start <= p - 33 + 100 <= start + 24}
+        assert mine & theirs
