@@ -58,14 +58,17 @@ LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 LOOSE_LETTERS = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 
 
-def letter_codes(word: str) -> list[int]:
-    """Letters a to z as 1 to 26, others folded on the codes above."""
-    codes = []
-    for char in word.lower().translate(LOOKALIKES):
+@lru_cache(maxsize=1)
+def _letter_codes() -> np.ndarray:
+    """Code of each character: a to z 1 to 26, other letters folded above, else 0."""
+    codes = np.zeros(0x30000, np.int32)
+    for point in range(len(codes)):
+        char = chr(LOOKALIKES.get(point, point))
         if "a" <= char <= "z":
-            codes.append(ord(char) - 96)
+            codes[point] = ord(char) - 96
         elif char.isalpha():
-            codes.append(27 + ord(char) % (LETTERS - 27))
+            codes[point] = 27 + point % (LETTERS - 27)
+    codes[ord("\n")] = -1
     return codes
 
 
@@ -84,13 +87,30 @@ def _sizes() -> np.ndarray:
     return np.sqrt((fits * weights**2).sum(axis=1))
 
 
+def windows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words' windows as rows of letter codes, and the place of each one's word.
+
+    Shorter words are filled with 0; words of too few letters have no window.
+    """
+    joined = "\n".join(word.replace("\n", " ") for word in words).lower() + "\n"
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    known = _letter_codes()
+    codes = known[np.minimum(points, len(known) - 1)]
+    codes = codes[codes != 0]
+    ends = np.flatnonzero(codes < 0)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    sizes = ends - starts
+    many = np.where(sizes < ORDER, 0, np.maximum(sizes - WINDOW, 0) + 1)
+    owner = np.repeat(np.arange(len(words)), many)
+    first = np.repeat(starts - np.cumsum(many) + many, many) + np.arange(many.sum())
+    padded = np.concatenate([codes, np.zeros(WINDOW, np.int32)])
+    rows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[first]
+    inside = np.arange(WINDOW)[None, :] < (ends[owner] - first)[:, None]
+    return np.where(inside, rows, 0), owner
+
+
 def windows(word: str) -> np.ndarray:
-    """The word's windows as rows of letter codes, shorter words filled with 0."""
-    codes = letter_codes(word)
-    if len(codes) < ORDER:
-        return np.zeros((0, WINDOW), np.int64)
-    codes += [0] * (WINDOW - len(codes))
-    return np.lib.stride_tricks.sliding_window_view(np.array(codes, np.int64), WINDOW)
+    return windows_of([word])[0]
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,10 +209,10 @@ class Scorer:
 
     def decisions(self, words: list[str]) -> np.ndarray:
         """The worst window of each word, ``LOWEST`` at least."""
-        found = [windows(word) for word in words]
-        owner = np.repeat(np.arange(len(words)), [len(rows) for rows in found])
         result = np.full(len(words), LOWEST)
-        rows = np.concatenate([np.zeros((0, WINDOW), np.int64), *found])
+        if not words:
+            return result
+        rows, owner = windows_of(words)
         for at in range(0, len(rows), 4000):
             part = rows[at : at + 4000]
             codes, weights = subsequences(part)
