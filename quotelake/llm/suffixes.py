@@ -41,7 +41,8 @@ LENGTH = 100
 KMER = 32
 # Anchors of one piece beyond which its strings are dealt out by hash.
 HOT_ANCHORS = 200_000
-RUN_ROWS = 100_000
+RUN_ROWS = 50_000
+TEXTS_PER_BATCH = 128
 RANGE_ROWS = 60_000
 # Texts are worked through in segments, so that a long one needs no large arrays.
 SEGMENT = 1 << 18
@@ -65,6 +66,13 @@ def kmer_hashes(data: np.ndarray, kmer: int = KMER) -> np.ndarray:
     return value | np.uint64(1)
 
 
+def spread(pieces: np.ndarray) -> np.ndarray:
+    """Another number for each piece: as least ones of many, their hashes are small."""
+    mixed = pieces * _MIX
+    mixed ^= mixed >> np.uint64(32)
+    return mixed * np.uint64(_STEP)
+
+
 def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     """Least or greatest of each ``width`` values in a row."""
     size = 1
@@ -142,7 +150,7 @@ def find_anchors(texts: DataFrame, length: int = LENGTH, kmer: int = KMER) -> Da
                 names=["piece", "id", "version", "place"],
             )
 
-    small_batches(texts.sparkSession)
+    small_batches(texts.sparkSession, TEXTS_PER_BATCH)
     return texts.mapInArrow(run, "piece long, id long, version int, place long")
 
 
@@ -372,6 +380,70 @@ def _first_of_each(one: np.ndarray, two: np.ndarray, ranks: np.ndarray) -> tuple
     return ~later, later
 
 
+def run_blocks(parts: list[Context], hot: np.ndarray, ranges: int, length: int, kmer: int) -> Iterator[tuple[int, str, bytes]]:
+    """Range, kind and payload of what one run sends: sorted rows, strings, spans."""
+    rows = Context(*(np.concatenate(columns) for columns in zip(*parts)))
+    parts.clear()
+    rows, prefix, spans = repeats_in_run(*sort_run(rows), length)
+    pieces = np.ascontiguousarray(rows.keys[:, :_HEAD]).view(">u8").ravel().astype(np.uint64)
+    crowded = np.isin(pieces, hot)
+    where = (pieces >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    calm = np.flatnonzero(~crowded)
+    if len(calm):
+        # A row's prefix with the last calm one is the least in between.
+        between = np.minimum.reduceat(prefix, np.concatenate([[0], calm[:-1] + 1]))
+        edges = np.flatnonzero(np.concatenate([[True], where[calm][1:] != where[calm][:-1], [True]]))
+        for low, high in zip(edges[:-1], edges[1:]):
+            yield int(where[calm[low]]), "run", front_coded(rows.take(calm[low:high]), between[low:high])
+    ids, versions, starts, ends = spans
+    if crowded.any():
+        strings = rows.take(np.flatnonzero(crowded))
+        one, two, at, offset = _string_hashes(strings, length, kmer)
+        # One string may stand at several anchors: its start tells which is earlier.
+        start = strings.place[at] - offset
+        first, later = _first_of_each(one, two, _ranks(strings.id[at], start))
+        ids, versions = np.concatenate([ids, strings.id[at][later]]), np.concatenate([versions, strings.version[at][later]])
+        starts, ends = np.concatenate([starts, start[later]]), np.concatenate([ends, start[later] + length])
+        place = one[first] % np.uint64(ranges)
+        order = np.argsort(place, kind="stable")
+        columns = [one[first], two[first], strings.id[at][first], strings.version[at][first], start[first]]
+        columns = [column[order] for column in columns]
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(place[order]) != 0, [True]]))
+        for low, high in zip(edges[:-1], edges[1:]):
+            part = [pa.array(column[low:high]) for column in columns]
+            yield int(place[order][low]), "strings", _block(part, ["one", "two", "id", "version", "start"])
+    if len(ids):
+        part = [pa.array(column) for column in (ids, versions, starts, ends)]
+        yield int(ids[0] % ranges), "spans", _block(part, ["id", "version", "start", "end"])
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], ranges: int, length: int, kmer: int) -> Iterator[tuple[int, str, bytes]]:
+    """The blocks of all runs of a task, each of about ``RUN_ROWS`` suffixes."""
+    parts: list[Context] = []
+    hot: list[np.ndarray] = []
+    held = 0
+    for batch in batches:
+        for at in range(batch.num_rows):
+            found = batch.column(3)[at].values
+            # Repeated rows bring their anchors as often.
+            place, own = np.unique(found.field("place").to_numpy(), return_index=True)
+            pieces = spread(found.field("piece").to_numpy().view(np.uint64)[own])
+            is_hot = found.field("hot").to_numpy(zero_copy_only=False)[own]
+            doc_id, version, text = (batch.column(column)[at].as_py() for column in range(3))
+            for low in range(0, len(place), RUN_ROWS):
+                cut = slice(low, low + RUN_ROWS)
+                keys = context_keys(text, place[cut], pieces[cut], length, kmer)
+                ids, versions = np.full(len(keys), doc_id, np.int64), np.full(len(keys), version, np.int32)
+                parts.append(Context(keys, ids, versions, place[cut].astype(np.int64)))
+                hot.append(pieces[cut][is_hot[cut]])
+                held += len(keys)
+                if held >= RUN_ROWS:
+                    yield from run_blocks(parts, np.unique(np.concatenate(hot)), ranges, length, kmer)
+                    parts, hot, held = [], [], 0
+    if parts:
+        yield from run_blocks(parts, np.unique(np.concatenate(hot)), ranges, length, kmer)
+
+
 def make_runs(joined: DataFrame, ranges: int, length: int = LENGTH, kmer: int = KMER) -> DataFrame:
     """``range, kind, payload``: blocks of sorted runs, of strings and of spans.
 
@@ -379,70 +451,12 @@ def make_runs(joined: DataFrame, ranges: int, length: int = LENGTH, kmer: int =
     whether the piece is hot.
     """
 
-    def blocks(parts: list[Context], hot: list[np.ndarray]) -> Iterator[tuple[int, str, bytes]]:
-        rows = Context(*(np.concatenate(columns) for columns in zip(*parts)))
-        rows, prefix, same = sort_run(rows)
-        rows, prefix, spans = repeats_in_run(rows, prefix, same, length)
-        pieces = np.ascontiguousarray(rows.keys[:, :_HEAD]).view(">u8").ravel().astype(np.uint64)
-        crowded = np.isin(pieces, np.unique(np.concatenate(hot)))
-        where = (pieces >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-        calm = np.flatnonzero(~crowded)
-        # A row's prefix with the last calm one is the least in between.
-        if len(calm):
-            between = np.minimum.reduceat(prefix, np.concatenate([[0], calm[:-1] + 1]))
-            edges = np.flatnonzero(np.concatenate([[True], where[calm][1:] != where[calm][:-1], [True]]))
-            for low, high in zip(edges[:-1], edges[1:]):
-                yield int(where[calm[low]]), "run", front_coded(rows.take(calm[low:high]), between[low:high])
-        ids, versions, starts, ends = spans
-        if crowded.any():
-            strings = rows.take(np.flatnonzero(crowded))
-            one, two, at, offset = _string_hashes(strings, length, kmer)
-            # One string may stand at several anchors: its start tells which is earlier.
-            start = strings.place[at] - offset
-            first, later = _first_of_each(one, two, _ranks(strings.id[at], start))
-            ids, versions = np.concatenate([ids, strings.id[at][later]]), np.concatenate([versions, strings.version[at][later]])
-            starts, ends = np.concatenate([starts, start[later]]), np.concatenate([ends, start[later] + length])
-            place = one[first] % np.uint64(ranges)
-            order = np.argsort(place, kind="stable")
-            columns = [one[first], two[first], strings.id[at][first], strings.version[at][first], start[first]]
-            columns = [column[order] for column in columns]
-            edges = np.flatnonzero(np.concatenate([[True], np.diff(place[order]) != 0, [True]]))
-            for low, high in zip(edges[:-1], edges[1:]):
-                part = [pa.array(column[low:high]) for column in columns]
-                yield int(place[order][low]), "strings", _block(part, ["one", "two", "id", "version", "start"])
-        if len(ids):
-            part = [pa.array(column) for column in (ids, versions, starts, ends)]
-            yield int(where[0]) if len(where) else 0, "spans", _block(part, ["id", "version", "start", "end"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def table(rows: Iterator[tuple[int, str, bytes]]) -> Iterator[pa.RecordBatch]:
-            for row in rows:
-                kinds = (pa.int32(), pa.string(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=["range", "kind", "payload"])
+        kinds = (pa.int32(), pa.string(), pa.binary())
+        for block in text_blocks(batches, ranges, length, kmer):
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(block, kinds)], names=["range", "kind", "payload"])
 
-        parts, hot, held = [], [], 0
-        for batch in batches:
-            for at in range(batch.num_rows):
-                found = batch.column(3)[at].values
-                place = found.field("place").to_numpy()
-                pieces = found.field("piece").to_numpy().view(np.uint64)
-                is_hot = found.field("hot").to_numpy(zero_copy_only=False)
-                text = batch.column(2)[at].as_py()
-                for low in range(0, len(place), RUN_ROWS):
-                    cut = slice(low, low + RUN_ROWS)
-                    keys = context_keys(text, place[cut], pieces[cut], length, kmer)
-                    own = np.full(len(keys), batch.column(0)[at].as_py(), np.int64)
-                    version = np.full(len(keys), batch.column(1)[at].as_py(), np.int32)
-                    parts.append(Context(keys, own, version, place[cut].astype(np.int64)))
-                    hot.append(np.unique(pieces[cut][is_hot[cut]]))
-                    held += len(keys)
-                    if held >= RUN_ROWS:
-                        yield from table(blocks(parts, hot))
-                        parts, hot, held = [], [], 0
-        if parts:
-            yield from table(blocks(parts, hot))
-
-    small_batches(joined.sparkSession)
+    small_batches(joined.sparkSession, TEXTS_PER_BATCH)
     return joined.mapInArrow(run, "range int, kind string, payload binary")
 
 
@@ -485,7 +499,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, kmer: int = KMER, hot
     shared = settle(shared.select("piece", "id", "version", "place", (F.col("met") > hot).alias("hot")), "suffix-anchors")
     ranges = 1 + shared.count() // RANGE_ROWS
     by_text = shared.groupBy("id", "version").agg(
-        F.array_distinct(F.collect_list(F.struct("place", "piece", "hot"))).alias("found")
+        F.collect_list(F.struct("place", "piece", "hot")).alias("found")
     )
     joined = texts.join(by_text, ["id", "version"]).select("id", "version", "raw", "found")
     runs = make_runs(joined, ranges, length, kmer)
@@ -514,10 +528,9 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, kmer: int = KMER,
     """``doc_id, kept, n_bytes, n_spans``: the bytes that are left of each text."""
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     doc_id = F.col("doc_id").cast("long")
-    texts = documents.select(
-        F.coalesce(doc_id, F.lit(FIRST_ID)).alias("id"), F.hash(raw).alias("version"), raw.alias("raw"), doc_id.isNull().alias("unnamed")
-    )
-    spans = repeated_spans(texts.select("id", "version", "raw"), length, kmer, hot)
+    # The same three columns in both joins by text: it is exchanged once for both.
+    texts = documents.select(F.coalesce(doc_id, F.lit(FIRST_ID)).alias("id"), F.hash(raw).alias("version"), raw.alias("raw"))
+    spans = repeated_spans(texts, length, kmer, hot)
     by_text = spans.groupBy("id", "version").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -538,6 +551,6 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, kmer: int = KMER,
             )
 
     named = texts.join(by_text, ["id", "version"], "left").select(
-        F.when(~F.col("unnamed"), F.col("id")).alias("doc_id"), "raw", "spans"
+        F.nullif("id", F.lit(FIRST_ID)).alias("doc_id"), "raw", "spans"
     )
     return named.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_spans long")
