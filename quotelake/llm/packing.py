@@ -33,9 +33,9 @@ from quotelake.llm.common import settle, small_batches
 
 WINDOW = 4096
 END_TOKEN = 2
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 12_000_000
 # One task's share of the text; the tasks grow in number with the table.
-TASK_BYTES = 64_000_000
+TASK_BYTES = 128_000_000
 QUERY_WORDS = 32
 K1, B = 1.2, 0.75
 LONG_WORD = 10
@@ -57,24 +57,47 @@ class Words(NamedTuple):
     two: np.ndarray
 
 
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_LETTER = (np.arange(256) >= 128) | ((np.arange(256) >= 97) & (np.arange(256) <= 122))
-_STOP = np.isin(np.arange(256), [ord("."), ord(",")])
+def _byte_kinds() -> np.ndarray:
+    """Kind of each byte: 0 other, 1 blank, 2 small letter, 3 digit, 4 sign but no quote."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[[9, 10, 11, 12, 13, 32]] = 1
+    kinds[ord("a") : ord("z") + 1] = 2
+    kinds[ord("0") : ord("9") + 1] = 3
+    kinds[[byte for byte in range(33, 127) if not chr(byte).isalnum() and chr(byte) != "'"]] = 4
+    kinds[ord("A") : ord("Z") + 1] = 0
+    return kinds
+
+
+KINDS = _byte_kinds()
+_BLANK = KINDS == 1
+# Between these kinds, and between two digits, the tokenizer cuts whatever stands
+# around; after a single quote it may not, as in the ends of short forms.
+_CUTS = np.zeros((5, 5), bool)
+_CUTS[2:, 2:] = ~np.eye(3, dtype=bool)
+_CUTS[3, 3] = True
+
+
+def lowered(text: bytes) -> bytes:
+    """Small letters, one by one as the tokenizer has them: no final sigma."""
+    return text.decode("utf-8", "replace").replace("\u03a3", "\u03c3").lower().encode("utf-8")
 
 
 def find_words(text: np.ndarray) -> Words:
-    """Words between blanks, with a lone stop or comma behind a letter apart.
+    """Words between blanks, cut where the tokenizer is sure to cut, too.
 
-    Neither cut changes the tokens: the tokenizer cuts there too. ``text`` is
-    lower-cased UTF-8.
+    So a word with signs at its end is no other word. ``text`` is ``lowered``.
     """
-    blank = _BLANK[text]
-    after = np.append(blank[1:], True)
-    before = np.insert(_LETTER[text[:-1]], 0, False) if len(text) else blank
-    apart = _STOP[text] & after & before
-    first = ~blank & (np.insert(blank[:-1], 0, True) | apart) if len(text) else blank
-    last = ~blank & (after | np.append(apart[1:], False))
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    kinds = KINDS[text]
+    blank = kinds == 1
+    cut = np.ones(len(text) + 1, bool)
+    cut[1:-1] = _CUTS[kinds[:-1], kinds[1:]] | blank[:-1] | blank[1:]
+    # Letters of two bytes, from a with grave to z with caron, end like a to z.
+    at = np.flatnonzero((kinds[2:] == 4) & (text[1:-1] >= 0x80)) + 2
+    lead, last = text[at - 2], text[at - 1]
+    letter = ((lead == 0xC3) & (last != 0x97) & (last != 0xB7)) | (lead == 0xC4) | ((lead == 0xC5) & (last < 0xBF))
+    cut[at[letter]] = True
+    start = np.flatnonzero(cut[:-1] & ~blank)
+    end = np.flatnonzero(cut[1:] & ~blank) + 1
     hashes = []
     for multiplier in MULTIPLIERS:
         powers = _powers(multiplier, len(text))
@@ -112,25 +135,35 @@ class WordTokens:
         self.low, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint16)
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        """Tokens of each word. Words of letters go through as one text, which is fast."""
-        plain = [place for place, word in enumerate(words) if word.isalpha() and word.islower()]
-        found: list[list[int]] = [[] for _ in words]
-        for at in range(0, len(plain), 5000):
-            part = plain[at : at + 5000]
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First place and number of each word's tokens, and the tokens.
+
+        Words of letters are one piece each and go through as one text, which is
+        fast: the tokens tell their piece.
+        """
+        low, size = np.zeros((2, len(words)), np.int64)
+        plain = np.array([word.isalpha() for word in words], bool)
+        parts = np.array_split(np.flatnonzero(plain), 1 + plain.sum() // 5000)
+        odd = np.flatnonzero(~plain)
+        odd = np.split(odd, len(odd)) if len(odd) else []
+        flat, held = [], 0
+        while parts or odd:
+            part = parts.pop() if parts else odd.pop()
+            if not len(part):
+                continue
             encoding = self.tokenizer.encode(" ".join(words[place] for place in part), add_special_tokens=False)
-            pieces = encoding.word_ids
-            if pieces and pieces[-1] == len(part) - 1:
-                for piece, token in zip(pieces, encoding.ids):
-                    found[part[piece]].append(token)
-            else:  # some word is more than one piece
-                for place in part:
-                    found[place] = self.tokenizer.encode(words[place], add_special_tokens=False).ids
-        known = set(plain)
-        for place, word in enumerate(words):
-            if place not in known:
-                found[place] = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return found
+            piece = np.array(encoding.word_ids, np.int64)
+            if len(part) == 1:
+                many = np.array([len(piece)])
+            elif piece.max(initial=-1) != len(part) - 1:
+                odd.extend(np.split(part, len(part)))  # some word is more than one piece
+                continue
+            else:
+                many = np.bincount(piece, minlength=len(part))
+            size[part], low[part] = many, held + np.cumsum(many) - many
+            flat.append(np.array(encoding.ids, np.uint16))
+            held += len(piece)
+        return low, size, np.concatenate([np.zeros(0, np.uint16), *flat])
 
     def look_up(self, text: np.ndarray, words: Words, first: np.ndarray) -> np.ndarray:
         """Rows of the table for the distinct words at ``first``, in order of their hash."""
@@ -148,10 +181,9 @@ class WordTokens:
         if new.any():
             raw = text.tobytes()
             spans = zip(words.start[first][new].tolist(), words.end[first][new].tolist())
-            found = self._encode([raw[a:b].decode("utf-8", "replace") for a, b in spans])
-            sizes = np.array([len(tokens) for tokens in found], np.int64)
-            lows = len(self.flat) + np.cumsum(sizes) - sizes
-            self.flat = np.concatenate([self.flat, np.array([t for tokens in found for t in tokens], np.uint16)])
+            lows, sizes, flat = self._encode([raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            lows += len(self.flat)
+            self.flat = np.concatenate([self.flat, flat])
             order = np.argsort(np.concatenate([self.one, one[new]]), kind="stable")
             self.one = np.concatenate([self.one, one[new]])[order]
             self.two = np.concatenate([self.two, two[new]])[order]
@@ -174,7 +206,8 @@ class Shard:
     def __init__(self, texts: list[bytes], tokens: WordTokens):
         ones, twos, docs, places = [], [], [], []
         self.count = len(texts)
-        buffer = np.frombuffer(b"\n".join(text.lower() for text in texts), np.uint8)
+        texts = [lowered(text) for text in texts]
+        buffer = np.frombuffer(b"\n".join(texts), np.uint8)
         bounds = np.cumsum([len(text) + 1 for text in texts])
         # Hashes are made in pieces that end between words, to need no large arrays.
         at = 0
@@ -211,7 +244,8 @@ class Shard:
         pairs, counts = np.unique(self.term.astype(np.int64) * self.count + doc, return_counts=True)
         term, self.doc = pairs // max(1, self.count), (pairs % max(1, self.count)).astype(np.int32)
         self.posting = np.searchsorted(term, np.arange(terms + 1))
-        self.idf = np.log(1 + (self.count - np.diff(self.posting) + 0.5) / (np.diff(self.posting) + 0.5))
+        self.among = np.diff(self.posting)
+        self.idf = np.log(1 + (self.count - self.among + 0.5) / (self.among + 0.5))
         length = np.diff(self.word_of_doc)
         norm = K1 * (1 - B + B * length / max(1.0, length.mean())) if self.count else length
         self.impact = (self.idf[term] * counts * (K1 + 1) / (counts + norm[self.doc])).astype(np.float32)
@@ -227,7 +261,7 @@ class Shard:
         """Unused documents that share telling words with one, best first."""
         own = np.unique(self.term[self.word_of_doc[doc] : self.word_of_doc[doc + 1]])
         # A word of this document alone finds nothing.
-        own = own[np.diff(self.posting)[own] > 1] if len(own) else own
+        own = own[self.among[own] > 1]
         query = own[np.argsort(-self.idf[own], kind="stable")[:QUERY_WORDS]]
         spans = [slice(self.posting[term], self.posting[term + 1]) for term in query]
         if not spans:
