@@ -50,7 +50,7 @@ def check(pieces, rows):
 @pytest.mark.parametrize("shard_bytes", [300, 10**7])
 def test_every_token_in_one_piece(spark, shard_bytes):
     rows = [(i, text) for i, (_, text) in enumerate(ODD_ROWS)] + [(i, prose(i % 40, 20 * (i % 30))) for i in range(100, 300)]
-    rows += [(400, "Punct. ,, end., a.b 3.5 it's I'M <|endoftext|> x y z \x1c!\x1d é É ﬁ ① ."), (401, "Á ́x\n\n.,\t,.")]
+    rows += [(400, "Punct. ,, end., a.b 3.5 it's I'M <|endoftext|> x y z \x1c!\x1d é É ﬁ ① . ΟΔΟΣ İx Ǆ"), (401, "Á ́x\n\n.,\t,.")]
     pieces = packing.pack_documents(documents(spark, rows), PATH, shard_bytes).collect()
     assert {piece.doc_id for piece in pieces} == {i for i, _ in rows}
     # Names of special tokens inside a text count as text.
