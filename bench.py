@@ -1,9 +1,8 @@
 """Times the headline queries; prints one JSON line.
 
 Settings: BENCH_SF_DIR (folder of the tables), BENCH_CPUS, BENCH_RUNS. With
-``--compare`` the gold run is also timed in its plain form, in which each check
-and each output recomputes the deduplication and days are written by one task
-each.
+``--rows N`` the ranking operators and a gold run are also timed over a made
+history of so many quotes, a third of them of one coin.
 """
 
 from __future__ import annotations
@@ -17,13 +16,15 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from quotelake.config import LakeConfig  # noqa: E402
-from quotelake.operators import latest_per_day  # noqa: E402
-from quotelake.plans import build_gold  # noqa: E402
-from quotelake.schemas import GOLD_QUOTES_SCHEMA, REQUIRED_COLUMNS, SILVER_SCHEMA  # noqa: E402
+from quotelake.operators import current_snapshot, dedup_quotes, latest_per_day  # noqa: E402
+from quotelake.plans import build_gold, build_lake  # noqa: E402
+from quotelake.schemas import SILVER_SCHEMA  # noqa: E402
 from quotelake.session import SESSION_SETTINGS, scratch_path  # noqa: E402
 from quotelake.sinks import append_days, replace_days  # noqa: E402
+from quotelake.sources import read_table  # noqa: E402
 from suite import tables  # noqa: E402
 from suite.queries import QUERIES  # noqa: E402
 
@@ -37,12 +38,15 @@ HEADLINE = [
     "gold_snapshot",
     "gold_snapshot_lines",
     "topn_page",
+    "topn_page_deep",
     "silver_clean",
     "dq_null_counts",
     "dq_freshness",
     "src_json_lines",
     "sink_gold_quotes",
     "stream_silver_history",
+    "stream_silver_latest",
+    "stream_gold_daily",
     "flow_silver",
     "flow_gold",
     "flow_end_to_end",
@@ -76,48 +80,63 @@ def seconds(work, runs: int) -> float:
     return round(statistics.median(times[1:]), 3)
 
 
-def plain_gold(spark: SparkSession, lake: LakeConfig, root: str) -> None:
-    """Gold without staging: eleven checks and two outputs, each from history."""
-    spark.read.parquet(lake.history).createOrReplaceTempView("history")
-    deduped = f"""
-        SELECT {", ".join(GOLD_QUOTES_SCHEMA.fieldNames())} FROM (
-            SELECT *, row_number() OVER (PARTITION BY dt, coin_id, event_time_ts
-                ORDER BY last_updated_ts DESC, ingestion_time DESC) AS place FROM history)
-        WHERE place = 1"""
-    for bad in [*(f"{c} IS NULL" for c in REQUIRED_COLUMNS), "price_usd IS NULL OR price_usd <= 0"]:
-        spark.sql(f"SELECT count(*) FROM (SELECT 1 FROM ({deduped}) WHERE {bad} LIMIT 1)").collect()
-    spark.sql(f"SELECT max(event_time_ts) FROM ({deduped})").collect()
-    daily = f"""
-        SELECT dt, coin_id, symbol, name, vs_currency, avg(price_usd) AS avg_price_usd,
-               min(price_usd) AS min_price_usd, max(price_usd) AS max_price_usd,
-               max(market_cap_usd) AS max_market_cap_usd,
-               max(total_volume_usd) AS max_total_volume_usd,
-               max(struct(event_time_ts, price_usd)).price_usd AS last_price_usd
-        FROM ({deduped}) GROUP BY dt, coin_id, symbol, name, vs_currency"""
-    for name, rows in (("quotes", deduped), ("daily", daily)):
-        clustered = spark.sql(rows).repartition("dt")
-        clustered.write.mode("append").partitionBy("dt").parquet(f"{root}/{name}")
-    spark.read.parquet(lake.latest).createOrReplaceTempView("latest")
-    spark.sql(
-        """SELECT * EXCEPT (dt, place) FROM (
-            SELECT *, row_number() OVER (PARTITION BY coin_id
-                ORDER BY event_time_ts DESC, last_updated_ts DESC) AS place FROM latest)
-        WHERE place = 1"""
-    ).write.mode("overwrite").parquet(f"{root}/snapshot")
-
-
-def compare(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]:
-    """Gold runs over history tables made of the given tables, ours and plain."""
-    result = {}
-    for name, view in (("events", tables.event_quotes), ("lines", tables.line_quotes)):
-        lake = LakeConfig(root=scratch_path(spark, f"bench-{name}"), max_lag_minutes=10**9)
-        quotes = view(spark, sf_dir).select(*SILVER_SCHEMA.fieldNames())
-        append_days(quotes, lake.history)
-        replace_days(latest_per_day(quotes), lake.latest)
-        result[f"gold_{name}"] = seconds(lambda: build_gold(spark, lake), runs)
-        root = lake.path("plain")
-        result[f"gold_{name}_plain"] = seconds(lambda: plain_gold(spark, lake, root), runs)
-    return result
+def made_history(spark: SparkSession, lake: LakeConfig, rows: int) -> None:
+    """A history of so many quotes over thirty days, a third of them of one coin."""
+    number = F.col("id")
+    coin = F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(1000))))
+    second = F.pmod(F.xxhash64(number, F.lit(1)), F.lit(30 * 86_400))
+    base = {
+        "event_time_ts": F.timestamp_seconds(F.lit(1_704_067_200) + second),
+        "coin_id": coin,
+        "price_usd": (number % 1000 + 1).cast("double"),
+        "market_cap_usd": number.cast("double"),
+        "total_volume_usd": number.cast("double"),
+        "market_cap_rank": (number % 50).cast("int"),
+        "ingestion_run_id": number.cast("string"),
+    }
+    quotes = spark.range(rows).withColumns(base).withColumn("dt", F.to_date("event_time_ts"))
+    fill = {"symbol": "coin_id", "name": "coin_id", "last_updated_ts": "event_time_ts", "ingestion_time": "event_time_ts"}
+    columns = [
+        F.col(fill.get(f.name, f.name)).alias(f.name)
+        if fill.get(f.name, f.name) in quotes.columns
+        else F.lit("usd" if f.dataType.typeName() == "string" else 0).cast(f.dataType).alias(f.name)
+        for f in SILVER_SCHEMA
+    ]
+    append_days(quotes.select(*columns), lake.history)
+
+
+def large(spark: SparkSession, rows: int) -> dict[str, float]:
+    """Single runs over a made history: all of gold, and the ranking operators."""
+    lake = LakeConfig(root=scratch_path(spark, "bench-large"), max_lag_minutes=10**9)
+    made_history(spark, lake, rows)
+    history = read_table(spark, lake.history, SILVER_SCHEMA)
+    replace_days(latest_per_day(history), lake.latest)
+
+    def once(work) -> float:
+        start = time.perf_counter()
+        work()
+        return round(time.perf_counter() - start, 1)
+
+    def noop(operator) -> float:
+        return once(lambda: operator(history).write.format("noop").mode("overwrite").save())
+
+    found = {f"{operator.__name__}_{rows}": noop(operator) for operator in (dedup_quotes, latest_per_day, current_snapshot)}
+    found[f"build_gold_{rows}"] = once(lambda: build_gold(spark, lake))
+    return found
+
+
+def incremental(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    """A chain's first run, one with late rows for every day, one with nothing new."""
+    lake = LakeConfig(root=scratch_path(spark, "bench-chain"), max_lag_minutes=10**9)
+    records = tables.topic_records(spark, sf_dir, faulty=True)
+    deliveries = {"first": F.col("event_id") % 10 != 1, "late": F.col("event_id") % 10 == 1, "nothing": F.lit(False)}
+    found = {}
+    for name, chosen in deliveries.items():
+        tables.write_lines(records.where(chosen), lake.bronze)
+        start = time.perf_counter()
+        build_lake(spark, lake, start="bronze")
+        found[f"chain_{name}"] = round(time.perf_counter() - start, 3)
+    return found
 
 
 def main() -> None:
@@ -141,8 +160,9 @@ def main() -> None:
         "cpus": spark.sparkContext.defaultParallelism,
         "runs": runs,
     }
-    if "--compare" in sys.argv[1:]:
-        line["compare"] = compare(spark, sf_dir, runs)
+    line["incremental"] = incremental(spark, sf_dir)
+    if "--rows" in sys.argv[1:]:
+        line["large"] = large(spark, int(sys.argv[sys.argv.index("--rows") + 1]))
     print(json.dumps(line))
     spark.stop()
 

@@ -7,6 +7,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 
+def _flag(text: str) -> bool:
+    known = {"1": True, "true": True, "yes": True, "0": False, "false": False, "no": False}
+    if text.strip().lower() not in known:
+        raise ValueError(f"a flag is true or false, not {text!r}")
+    return known[text.strip().lower()]
+
+
 @dataclass(frozen=True)
 class LakeConfig:
     """Where the tables of one lake lie and how its jobs are tuned.
@@ -37,14 +44,27 @@ class LakeConfig:
     reject_nan: bool = False
     # Backfills: deduplicate this many days per job, None for all in one job.
     days_per_job: int | None = None
+    # Brokers of the topic, as the connector takes them.
+    servers: str = ""
+    # Gold is made of whole days: less often than the polls come.
+    serve_seconds: int = 600
+    # None leaves the size of files and of batches to Spark.
+    records_per_file: int | None = None
+    files_per_batch: int | None = None
+    # Gather each day in few files, at the price of a shuffle.
+    cluster_history: bool = True
+    # For a history whose amounts are longs already: it goes on with longs.
+    integral_amounts: bool = False
 
     def __post_init__(self) -> None:
         if not self.root:
             raise ValueError("a lake needs a root path")
         if self.gold_write not in ("replace", "append"):
             raise ValueError(f"gold_write is 'replace' or 'append', not {self.gold_write!r}")
-        if self.days_per_job is not None and self.days_per_job < 1:
-            raise ValueError("days_per_job is at least 1")
+        for name in ("days_per_job", "records_per_file", "files_per_batch", "serve_seconds"):
+            value = getattr(self, name)
+            if value is not None and value < 1:
+                raise ValueError(f"{name} is at least 1")
 
     def path(self, prefix: str) -> str:
         return f"{self.root.rstrip('/')}/{prefix.strip('/')}"
@@ -96,6 +116,11 @@ class LakeConfig:
     def quarantine(self) -> str:
         return self.path("quarantine/bronze")
 
+    @property
+    def rejects(self) -> str:
+        """Topic records that did not land."""
+        return self.path("quarantine/topic")
+
     def checkpoint(self, stream: str) -> str:
         return self.path(f"checkpoints/{stream}")
 
@@ -127,6 +152,14 @@ class LakeConfig:
             "POLL_SECONDS": ("poll_seconds", int),
             "VS_CURRENCY": ("vs_currency", str),
             "GOLD_DAYS_PER_JOB": ("days_per_job", int),
+            "GOLD_WRITE": ("gold_write", str),
+            "GOLD_REJECT_NAN": ("reject_nan", _flag),
+            "KAFKA_BOOTSTRAP_SERVERS": ("servers", str),
+            "SERVE_SECONDS": ("serve_seconds", int),
+            "RECORDS_PER_FILE": ("records_per_file", int),
+            "FILES_PER_BATCH": ("files_per_batch", int),
+            "CLUSTER_HISTORY": ("cluster_history", _flag),
+            "INTEGRAL_AMOUNTS": ("integral_amounts", _flag),
         }
         given = {
             field: convert(env[name])

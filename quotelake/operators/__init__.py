@@ -1,4 +1,7 @@
-"""Operators from DataFrame to DataFrame; none of them starts a job."""
+"""Operators from DataFrame to DataFrame.
+
+None starts a job but ``touched_days``, and ``ranked_page`` for a deep page without keys.
+"""
 
 from quotelake.operators.clean import (
     clean_events,
@@ -7,7 +10,14 @@ from quotelake.operators.clean import (
     tag_events,
 )
 from quotelake.operators.contract import enforce_contract
-from quotelake.operators.days import in_days, last_day, touched_days
+from quotelake.operators.days import (
+    cut_ranges,
+    day_ranges,
+    in_days,
+    is_in_days,
+    last_day,
+    touched_days,
+)
 from quotelake.operators.events import count_by_run, filter_ids, keyed_json, pages_to_events
 from quotelake.operators.latest import (
     current_snapshot,
@@ -22,8 +32,10 @@ from quotelake.operators.quality import (
     freshness,
     missing_columns,
     quality_failures,
+    quality_metrics,
     quality_report,
     quality_summary,
+    sum_metrics,
 )
 
 __all__ = [
@@ -31,12 +43,15 @@ __all__ = [
     "clean_events",
     "count_by_run",
     "current_snapshot",
+    "cut_ranges",
     "daily_metrics",
+    "day_ranges",
     "dedup_quotes",
     "enforce_contract",
     "filter_ids",
     "freshness",
     "in_days",
+    "is_in_days",
     "keep_latest",
     "keyed_json",
     "last_day",
@@ -45,10 +60,12 @@ __all__ = [
     "pages_to_events",
     "parse_events",
     "quality_failures",
+    "quality_metrics",
     "quality_report",
     "quality_summary",
     "quarantined_events",
     "ranked_page",
+    "sum_metrics",
     "tag_events",
     "touched_days",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions import parse_instant
-from quotelake.schemas import BRONZE_SCHEMA, CORRUPT_RECORD, SILVER_SCHEMA
+from quotelake.schemas import BRONZE_SCHEMA, CORRUPT_RECORD, RECORD_TEXT, SILVER_SCHEMA
 from quotelake.session import require_utc
 
 
@@ -49,14 +49,16 @@ def tag_events(events: DataFrame) -> DataFrame:
 
 
 def quarantined_events(events: DataFrame) -> DataFrame:
-    """The records ``clean_events`` drops: reason, text, file and ingestion time."""
-    parsed_text = F.to_json(F.struct(*BRONZE_SCHEMA.fieldNames()))
+    """The records ``clean_events`` drops: reason, text, file and ingestion time.
+
+    The text is that of the record as it was read, with all its fields.
+    """
     return (
         tag_events(events)
         .where(F.col("coin_id").isNull() | F.col("event_time_ts").isNull())
         .select(
             F.col("status").alias("reason"),
-            F.coalesce(F.col(CORRUPT_RECORD), parsed_text).alias("record"),
+            F.col(RECORD_TEXT).alias("record"),
             "source_file",
             "ingestion_time",
         )

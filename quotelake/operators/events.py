@@ -18,9 +18,6 @@ RENAMED = {
     "total_volume_usd": "total_volume",
 }
 
-# Longer id lists become a table to join with instead of a literal list.
-MAX_LITERAL_IDS = 1000
-
 
 def pages_to_events(
     pages: DataFrame,
@@ -50,17 +47,14 @@ def filter_ids(
 ) -> DataFrame:
     """Rows of the given entities; every row when no ids are given.
 
-    ``ids`` may be a table with one column of that name. Its join side is
-    broadcast or not by Spark's own size check.
+    A list is looked up in a hash set. Give a long one as a table with a column of
+    that name: its join side is broadcast or not by Spark's own size check.
     """
     if isinstance(ids, DataFrame):
         return quotes.join(ids.select(column), column, "left_semi")
     if not ids:
         return quotes
-    if len(ids) <= MAX_LITERAL_IDS:
-        return quotes.where(F.col(column).isin(list(ids)))
-    listed = quotes.sparkSession.createDataFrame([(i,) for i in ids], f"{column} string")
-    return quotes.join(listed, column, "left_semi")
+    return quotes.where(F.col(column).isin(list(ids)))
 
 
 def keyed_json(events: DataFrame) -> DataFrame:

@@ -13,23 +13,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Ranks up to this are cut before the shuffle by Spark itself
-# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-MAX_PUSHED_RANK = 1000
-DEEP_PAGE_SLICES = 256
+from quotelake.schemas import SILVER_SCHEMA
+from quotelake.session import scratch_path
+
+# Rows that tie in the order of a ranking are told apart by where they come from.
+LINEAGE_ORDER = ("ingestion_time", "ingestion_run_id", "source_file")
+# Without keys, ranks up to this are one sorted limit: one task holds so many rows.
+SORTED_LIMIT_ROWS = 10_000
 
 
 def keep_latest(quotes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row per key that is greatest in ``order``, nulls last.
 
-    Rows tied in all of ``order`` are told apart by their other columns, so a
-    task that runs again after a loss picks the same row. Select the columns
-    you need first: the others are then not read for this.
+    Ties go to the greatest lineage, then to the greatest other columns in the
+    order of the silver table: a task that runs again after a loss picks the same
+    row, and so does every query that drops columns only afterwards.
     """
-    rest = [c for c in quotes.columns if c not in (*keys, *order)]
-    ranking = W.partitionBy(*keys).orderBy(
-        *[F.col(c).desc_nulls_last() for c in (*order, *rest)]
-    )
+    lineage = [c for c in LINEAGE_ORDER if c in quotes.columns]
+    known = [c for c in SILVER_SCHEMA.fieldNames() if c in quotes.columns]
+    others = sorted(c for c in quotes.columns if c not in known)
+    columns = [c for c in dict.fromkeys((*order, *lineage, *known, *others)) if c not in keys]
+    ranking = W.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in columns])
     return (
         quotes.withColumn("_rank", F.row_number().over(ranking))
         .where(F.col("_rank") == 1)
@@ -55,13 +59,11 @@ def dedup_quotes(
     The key with most values comes first: sorts compare its first eight bytes
     without looking at the row.
     """
-    order = [c for c in ("last_updated_ts", "ingestion_time") if c in quotes.columns]
-    return keep_latest(quotes, keys, order)
+    return keep_latest(quotes, keys, [c for c in ("last_updated_ts",) if c in quotes.columns])
 
 
 def _by_time(quotes: DataFrame) -> list[str]:
-    order = ["event_time_ts", "last_updated_ts", "ingestion_time"]
-    return [c for c in order if c in quotes.columns]
+    return [c for c in ("event_time_ts", "last_updated_ts") if c in quotes.columns]
 
 
 def ranked_page(
@@ -74,28 +76,42 @@ def ranked_page(
 ) -> DataFrame:
     """Page ``page`` of ``per_page`` rows of a ranking, per group of ``keys``.
 
-    Without keys this is one sorted limit. A page too deep for Spark to cut
-    before the shuffle is ranked in slices first, whose sorts can spill: a row
-    within the first n of its group is within the first n of its slice.
+    Ties are told apart by all columns, so the pages together are every row once.
+    With keys, groups are cut before the shuffle for ranks up to the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, which ``SESSION_SETTINGS``
+    raises. Without keys, a page behind ``SORTED_LIMIT_ROWS`` is found by counts.
     """
     if page < 1 or per_page < 1:
         raise ValueError("page and per_page start at 1")
-    before = (page - 1) * per_page
-    last = page * per_page
-    if not keys and last <= MAX_PUSHED_RANK:
-        return quotes.orderBy(*order).offset(before).limit(per_page)
-
-    rows = quotes
-    if last > MAX_PUSHED_RANK:
-        sliced = W.partitionBy(*keys, "_slice").orderBy(*order)
-        rows = (
-            rows.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(DEEP_PAGE_SLICES)))
-            .withColumn("_rank", F.row_number().over(sliced))
-            .where(F.col("_rank") <= last)
-            .drop("_slice", "_rank")
-        )
-    return (
-        rows.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-        .where(F.col("_rank").between(before + 1, last))
-        .drop("_rank")
-    )
+    before, last = (page - 1) * per_page, page * per_page
+    total = [*order, *[F.col(c).asc_nulls_last() for c in sorted(quotes.columns)]]
+    if keys:
+        ranked = quotes.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*total)))
+        return ranked.where(F.col("_rank").between(before + 1, last)).drop("_rank")
+    if last <= SORTED_LIMIT_ROWS:
+        return quotes.orderBy(*total).offset(before).limit(per_page)
+    return _counted_page(quotes, total, before, last)
+
+
+def _counted_page(quotes: DataFrame, total: Sequence[Column], before: int, last: int) -> DataFrame:
+    """The rows of ranks behind ``before`` up to ``last``, by way of sorted slices.
+
+    The rows are written in slices by range of the order, each with its place in
+    its slice; the counts of the slices tell which hold the wanted ranks, and only
+    those rows are read again. No task holds more than a slice.
+    """
+    path = scratch_path(quotes.sparkSession, "page")
+    # Behind the number of the partition, the id counts the rows of one task.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    slices = quotes.repartitionByRange(*total).sortWithinPartitions(*total)
+    slices = slices.withColumns({"_place": place, "_slice": F.spark_partition_id()})
+    slices.write.partitionBy("_slice").parquet(path)
+    stored = quotes.sparkSession.read.schema(slices.schema).parquet(path)
+    counts = sorted((row["_slice"], row["count"]) for row in stored.groupBy("_slice").count().collect())
+    wanted, at = F.lit(False), 0
+    for number, count in counts:
+        if at < last and at + count > before:
+            inside = F.col("_place").between(before - at, last - at - 1)
+            wanted = wanted | ((F.col("_slice") == number) & inside)
+        at += count
+    return stored.where(wanted).select(*quotes.columns)

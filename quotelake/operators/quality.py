@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +40,21 @@ def _row_checks(reject_nan: bool) -> dict[str, Column]:
     return checks
 
 
+def quality_metrics(reject_nan: bool = False) -> list[Column]:
+    """Aggregates behind ``quality_summary``, to take as rows pass by."""
+    counts = [F.count_if(bad).alias(name) for name, bad in _row_checks(reject_nan).items()]
+    return [*counts, F.max("event_time_ts").alias("newest_event_time")]
+
+
+def sum_metrics(parts: Sequence[Mapping[str, object]]) -> dict[str, object]:
+    """``quality_metrics`` of several parts of a table as those of the whole."""
+    names = [name for name in parts[0] if name != "newest_event_time"]
+    total: dict[str, object] = {name: sum(part[name] for part in parts) for name in names}
+    newest = [part["newest_event_time"] for part in parts]
+    total["newest_event_time"] = max((time for time in newest if time is not None), default=None)
+    return total
+
+
 def quality_summary(
     quotes: DataFrame, *, as_of: Column | None = None, reject_nan: bool = False
 ) -> DataFrame:

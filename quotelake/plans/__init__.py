@@ -3,6 +3,7 @@
 from quotelake.plans.gold import build_gold, build_snapshot, publish_quotes, stage_quotes
 from quotelake.plans.lake import build_lake
 from quotelake.plans.silver import build_silver
+from quotelake.plans.update import update_gold, update_serving
 
 __all__ = [
     "build_gold",
@@ -11,4 +12,6 @@ __all__ = [
     "build_snapshot",
     "publish_quotes",
     "stage_quotes",
+    "update_gold",
+    "update_serving",
 ]

@@ -9,21 +9,37 @@ from quotelake.sources import stream_events
 from quotelake.streaming.silver import start_history, start_latest, start_quarantine
 
 
-def build_silver(
+def build_history(
     spark: SparkSession,
     config: LakeConfig,
     *,
-    quarantine: bool = False,
+    quarantine: bool = True,
     files_per_batch: int | None = None,
 ) -> None:
-    """Take all new bronze files into history, then refresh the latest rows.
+    """Take all new bronze files into history, and what it leaves out aside.
 
     The streams' checkpoints know what was taken in before: a second run adds
     nothing. ``files_per_batch`` cuts a first run over a large bronze into
-    several commits; the latest rows are computed once, after all of them.
+    several commits. The quarantine reads the new files once more.
     """
-    events = stream_events(spark, config.bronze, files_per_batch=files_per_batch)
+    events = stream_events(
+        spark,
+        config.bronze,
+        files_per_batch=files_per_batch or config.files_per_batch,
+        integral_amounts=config.integral_amounts,
+    )
     start_history(events, config, available_now=True).awaitTermination()
     if quarantine:
         start_quarantine(events, config, available_now=True).awaitTermination()
+
+
+def build_silver(
+    spark: SparkSession,
+    config: LakeConfig,
+    *,
+    quarantine: bool = True,
+    files_per_batch: int | None = None,
+) -> None:
+    """``build_history``, then the latest rows, computed once after all commits."""
+    build_history(spark, config, quarantine=quarantine, files_per_batch=files_per_batch)
     start_latest(spark, config, available_now=True).awaitTermination()

@@ -2,6 +2,7 @@
 
 The names, their order and their types are fixed values: tables written by
 earlier deployments of the same pipeline have to stay readable and comparable.
+Where those hold amounts as longs, ``read_table`` and ``stream_table`` cast them.
 """
 
 from __future__ import annotations
@@ -61,6 +62,9 @@ BRONZE_SCHEMA = _table(
 # Column the permissive JSON parser fills with the raw text of a bad record.
 CORRUPT_RECORD = "_corrupt_record"
 
+# Column of the text that an event was read from.
+RECORD_TEXT = "_record_text"
+
 # Cleaned quotes, history and latest alike.
 SILVER_SCHEMA = _table(
     """

@@ -19,6 +19,8 @@ SESSION_SETTINGS = {
     # Lets a rebalanced write split a hot day over several tasks.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Lets a page of any depth be cut before the shuffle, in each group.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
 }
 
 
@@ -32,10 +34,11 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the time zone the operators rely on."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def use_settings(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the settings the operators rely on."""
+    for name, value in SESSION_SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 

@@ -1,10 +1,11 @@
 """Writers of lake tables, raw files and topics."""
 
-from quotelake.sinks.tables import append_days, replace_days, replace_table
+from quotelake.sinks.tables import append_days, cluster_by_day, replace_days, replace_table
 from quotelake.sinks.topic import publish_stream, publish_topic
 
 __all__ = [
     "append_days",
+    "cluster_by_day",
     "publish_stream",
     "publish_topic",
     "replace_days",

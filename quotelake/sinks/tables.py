@@ -27,9 +27,11 @@ def replace_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     writer.partitionBy("dt").parquet(path)
 
 
-def replace_table(table: DataFrame, path: str, *, by_day: bool = False) -> None:
+def replace_table(
+    table: DataFrame, path: str, *, by_day: bool = False, cluster: bool = True
+) -> None:
     """Replace all rows of a table, which ``by_day`` partitions by ``dt``."""
-    rows = cluster_by_day(table) if by_day else table
+    rows = cluster_by_day(table) if by_day and cluster else table
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if by_day:
         writer = writer.partitionBy("dt")

@@ -15,16 +15,16 @@ PRODUCER_OPTIONS = {
 }
 
 
+def producer_options(servers: str, topic: str) -> dict[str, str]:
+    """Options of a write to the topic."""
+    if not servers or not topic:
+        raise ValueError("a topic needs its servers and its name")
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **PRODUCER_OPTIONS}
+
+
 def publish_topic(events: DataFrame, servers: str, topic: str) -> None:
     """Send events as keyed JSON records."""
-    (
-        keyed_json(events)
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .options(**PRODUCER_OPTIONS)
-        .option("topic", topic)
-        .save()
-    )
+    keyed_json(events).write.format("kafka").options(**producer_options(servers, topic)).save()
 
 
 def publish_stream(
@@ -34,9 +34,7 @@ def publish_stream(
     return (
         keyed_json(events)
         .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .options(**PRODUCER_OPTIONS)
-        .option("topic", topic)
+        .options(**producer_options(servers, topic))
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=f"{poll_seconds} seconds")
         .start()

@@ -8,10 +8,12 @@ from quotelake.sources.files import (
     stream_pages,
     stream_table,
 )
-from quotelake.sources.topic import decode_events, read_topic, stream_topic
+from quotelake.sources.lines import event_rows
+from quotelake.sources.topic import decode_events, read_topic, stream_topic, topic_options
 
 __all__ = [
     "decode_events",
+    "event_rows",
     "read_events",
     "read_pages",
     "read_table",
@@ -20,4 +22,5 @@ __all__ = [
     "stream_pages",
     "stream_table",
     "stream_topic",
+    "topic_options",
 ]

@@ -8,8 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
 from quotelake.functions import utc_literal
-from quotelake.schemas import CORRUPT_RECORD, PAGE_SCHEMA, bronze_schema, with_corrupt_record
+from quotelake.schemas import (
+    CORRUPT_RECORD,
+    PAGE_SCHEMA,
+    RECORD_TEXT,
+    bronze_schema,
+    with_corrupt_record,
+)
+from quotelake.sources.lines import event_rows
 
 
 def _json_reader(reader, schema: T.StructType, multi_line: bool = False):
@@ -38,8 +48,8 @@ def read_pages(spark: SparkSession, path: str, *, page_per_file: bool = False) -
     """One row per coin object of landed API pages, each page a JSON array.
 
     A file holds one page per line, or one page in all with ``page_per_file``.
-    ``landed_at`` is when the file was written, which is the poll time of a
-    page stored as it arrives. Unreadable pages give no rows.
+    ``landed_at`` is when the file was last written; a copy has another one.
+    Unreadable pages give no rows.
     """
     return _paged(_json_reader(spark.read, PAGE_SCHEMA, page_per_file).json(path))
 
@@ -58,12 +68,22 @@ def stream_pages(
 
 
 def _with_lineage(files: DataFrame, schema: T.StructType, ingestion_time: Column) -> DataFrame:
-    return files.select(
-        *schema.fieldNames(),
-        CORRUPT_RECORD,
-        F.col("_metadata.file_path").alias("source_file"),
-        ingestion_time.alias("ingestion_time"),
-    )
+    lines = files.select("value", F.col("_metadata.file_path").alias("source_file"))
+    rows = event_rows(lines, schema).withColumn("ingestion_time", ingestion_time)
+    lineage = ("source_file", "ingestion_time", RECORD_TEXT)
+    return rows.select(*schema.fieldNames(), CORRUPT_RECORD, *lineage)
+
+
+def _line_reader(reader):
+    # The sink's partition=N folders are no column of an event. Without this
+    # a stream started on an empty folder ends when the first one appears.
+    return reader.schema("value string").option("recursiveFileLookup", True)
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    """A folder for lines that are still to land; a stream of text wants it there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
 def read_events(
@@ -75,12 +95,11 @@ def read_events(
 ) -> DataFrame:
     """Raw events from JSON lines, with their file and one ingestion time per run.
 
-    A line that is not JSON becomes a row of nulls, a field of the wrong type
-    becomes null; both keep the raw line in the corrupt-record column.
+    ``event_rows`` says what bad lines and fields become.
     """
     schema = bronze_schema(integral_amounts=integral_amounts)
     run_time = utc_literal(ingested_at or datetime.now(timezone.utc))
-    return _with_lineage(_json_reader(spark.read, schema).json(path), schema, run_time)
+    return _with_lineage(_line_reader(spark.read).text(path), schema, run_time)
 
 
 def stream_events(
@@ -93,12 +112,42 @@ def stream_events(
 ) -> DataFrame:
     """``read_events`` as a stream; each micro-batch has one ingestion time."""
     schema = bronze_schema(integral_amounts=integral_amounts)
-    reader = _json_reader(spark.readStream, schema)
+    _make_folder(spark, path)
+    reader = _line_reader(spark.readStream)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    return _with_lineage(reader.json(path), schema, F.current_timestamp())
+    return _with_lineage(reader.text(path), schema, F.current_timestamp())
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as it is stored; None while there is no file to tell."""
+    try:
+        return spark.read.parquet(path)
+    except (PySparkException, Py4JJavaError):
+        # No file, or none to read: reading rows will tell.
+        return None
+
+
+def _schema_as_stored(schema: T.StructType, stored: DataFrame | None) -> T.StructType:
+    """The schema with longs where the table stores longs for doubles.
+
+    Earlier deployments wrote amounts as longs. A table has one type throughout:
+    ``LakeConfig.integral_amounts`` goes on writing longs to such a one.
+    """
+    kinds = {} if stored is None else {f.name: f.dataType for f in stored.schema}
+    long, double = T.LongType(), T.DoubleType()
+    return T.StructType(
+        [
+            T.StructField(f.name, long) if f.dataType == double and kinds.get(f.name) == long else f
+            for f in schema
+        ]
+    )
+
+
+def _typed(table: DataFrame, schema: T.StructType) -> DataFrame:
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_table(
@@ -106,12 +155,16 @@ def read_table(
 ) -> DataFrame:
     """A Parquet table; filters on its partition column ``dt`` prune folders.
 
-    With a schema, an empty table reads as no rows, and columns come in the
-    schema's order instead of with the partition column last.
+    With a schema, an empty table reads as no rows, columns come in the schema's
+    order instead of with the partition column last, and amounts stored as longs
+    come as doubles.
     """
     if schema is None:
         return spark.read.parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    stored = _stored(spark, path)
+    if stored is not None and set(schema.fieldNames()) <= set(stored.columns):
+        return _typed(stored, schema)
+    return _typed(spark.read.schema(_schema_as_stored(schema, stored)).parquet(path), schema)
 
 
 def stream_table(
@@ -122,10 +175,11 @@ def stream_table(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """``read_table`` as a stream of the rows of new files."""
+    stored = _schema_as_stored(schema, _stored(spark, path))
     # The partition column last, where Spark puts it once there are folders.
     reader = spark.readStream.schema(
-        T.StructType(sorted(schema.fields, key=lambda field: field.name == "dt"))
+        T.StructType(sorted(stored.fields, key=lambda field: field.name == "dt"))
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path).select(*schema.fieldNames())
+    return _typed(reader.parquet(path), schema)

@@ -5,17 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.schemas import BRONZE_SCHEMA, CORRUPT_RECORD, with_corrupt_record
+from quotelake.schemas import BRONZE_SCHEMA
+from quotelake.sources.lines import event_rows
+
+
+def topic_options(
+    servers: str,
+    topic: str,
+    *,
+    starting: str | None = None,
+    records_per_batch: int | None = None,
+    min_partitions: int | None = None,
+) -> dict[str, str]:
+    """Options of a read from the topic; those not given are left to the connector."""
+    if not servers or not topic:
+        raise ValueError("a topic needs its servers and its name")
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": starting,
+        "maxOffsetsPerTrigger": records_per_batch,
+        "minPartitions": min_partitions,
+    }
+    return {name: str(value) for name, value in options.items() if value is not None}
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """All records the topic holds now."""
-    return (
-        spark.read.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .load()
-    )
+    return spark.read.format("kafka").options(**topic_options(servers, topic)).load()
 
 
 def stream_topic(
@@ -32,36 +49,20 @@ def stream_topic(
     ``min_partitions`` splits a topic partition that holds most records into
     several offset ranges, so that it is not read by one task.
     """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
+    options = topic_options(
+        servers,
+        topic,
+        starting=starting,
+        records_per_batch=records_per_batch,
+        min_partitions=min_partitions,
     )
-    if records_per_batch:
-        reader = reader.option("maxOffsetsPerTrigger", records_per_batch)
-    if min_partitions:
-        reader = reader.option("minPartitions", min_partitions)
-    return reader.load()
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def decode_events(records: DataFrame, *, ingestion_time: Column | None = None) -> DataFrame:
-    """Topic records to the rows ``read_events`` gives for the same JSON texts.
-
-    A filter on a parsed field would move below a plain projection and parse
-    each text once more; it does not move below ``inline``.
-    """
-    parsed = F.from_json(
-        F.col("value").cast("string"),
-        with_corrupt_record(BRONZE_SCHEMA),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD},
-    )
-    stamped = records.select(
-        F.concat_ws("/", "topic", "partition", "offset").alias("source_file"),
-        (F.current_timestamp() if ingestion_time is None else ingestion_time).alias(
-            "ingestion_time"
-        ),
-        F.inline(F.array(parsed)),
+    """Topic records to the rows ``read_events`` gives for the same JSON texts."""
+    lines = records.select(
+        "value", F.concat_ws("/", "topic", "partition", "offset").alias("source_file")
     )
-    lineage = ("source_file", "ingestion_time")
-    return stamped.select(*[c for c in stamped.columns if c not in lineage], *lineage)
+    now = F.current_timestamp() if ingestion_time is None else ingestion_time
+    return event_rows(lines, BRONZE_SCHEMA).withColumn("ingestion_time", now)

@@ -26,13 +26,14 @@ def start_gold(
 
     A batch that fails its checks ends the query before anything of it is
     published; it is tried again at the next start. Each batch recomputes its
-    days from history: a longer ``every_seconds`` does that less often.
+    days from history, so its interval is longer than that of the polls.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         days = days_to_refresh(batch, batch_id)
         if days != []:
-            publish_quotes(spark, config, days=days, as_of=as_of)
+            # The batch's own session, which is not the one outside.
+            publish_quotes(batch.sparkSession, config, days=days, as_of=as_of)
 
     new_rows = stream_table(
         spark, config.history, SILVER_SCHEMA, files_per_batch=files_per_batch
@@ -41,7 +42,7 @@ def start_gold(
         new_rows.select("dt")
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", config.checkpoint("gold"))
-        .trigger(**trigger(config, available_now, every_seconds))
+        .trigger(**trigger(config, available_now, every_seconds or config.serve_seconds))
         .start()
     )
 
@@ -66,8 +67,8 @@ def start_serving(
         if days == []:
             return
         refresh_latest(config, batch, batch_id, days)
-        publish_quotes(spark, config, days=days, as_of=as_of)
-        build_snapshot(spark, config)
+        publish_quotes(batch.sparkSession, config, days=days, as_of=as_of)
+        build_snapshot(batch.sparkSession, config)
 
     new_rows = stream_table(
         spark, config.history, SILVER_SCHEMA, files_per_batch=files_per_batch
@@ -75,6 +76,6 @@ def start_serving(
     return (
         new_rows.writeStream.foreachBatch(refresh)
         .option("checkpointLocation", config.checkpoint("serving"))
-        .trigger(**trigger(config, available_now, every_seconds))
+        .trigger(**trigger(config, available_now, every_seconds or config.serve_seconds))
         .start()
     )

@@ -12,16 +12,36 @@ from quotelake.operators import filter_ids, keyed_json, pages_to_events
 from quotelake.streaming.triggers import trigger
 
 
-def poll_events(pages: DataFrame, config: LakeConfig) -> DataFrame:
+# How the path of a landed page names its poll.
+POLL_TIME_IN_PATH = r"polled_at=(\d{8}T\d{6}\.\d{6}Z)"
+POLL_TIME_FORMAT = "yyyyMMdd'T'HHmmss.SSSSSSX"
+RUN_ID_IN_PATH = r"run_id=([^/]+)"
+
+
+def poll_events(pages: DataFrame, config: LakeConfig, *, by_file_time: bool = False) -> DataFrame:
     """Events of landed pages: a page file is one poll.
 
-    Its landing time is the poll time and its name and time give the run id,
-    so a micro-batch that is run again makes the same events again.
+    Its path says when that was and its run id, ``.../polled_at=20240101T000000.000000Z/
+    run_id=r1/...``; without a run id, the path is digested to one. So a page that
+    is copied or read again makes the same events again. A page whose path tells no
+    time gives events without one, which the quarantine keeps; ``by_file_time`` takes
+    the time its file was written instead.
     """
+    # Twice: the name of a folder is escaped, and so is the path as a URI.
+    path = F.col("source_file")
+    for _escape in range(2):
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    told = F.nullif(F.regexp_extract(path, POLL_TIME_IN_PATH, 1), F.lit(""))
+    poll_time = F.try_to_timestamp(told, F.lit(POLL_TIME_FORMAT))
+    run_id = F.nullif(F.regexp_extract(path, RUN_ID_IN_PATH, 1), F.lit(""))
+    below_lake = F.regexp_extract(path, r"([^/]*=[^/]*/)*[^/]*$", 0)
+    if by_file_time:
+        poll_time = F.coalesce(poll_time, F.col("landed_at"))
+        below_lake = F.concat_ws("|", below_lake, F.unix_micros("landed_at"))
     events = pages_to_events(
         pages,
-        poll_time=F.col("landed_at"),
-        run_id=F.md5(F.concat_ws("|", "source_file", F.unix_micros("landed_at"))),
+        poll_time=poll_time,
+        run_id=F.coalesce(run_id, F.md5(below_lake)),
         source=config.source,
         vs_currency=config.vs_currency,
     )
@@ -33,10 +53,12 @@ def start_polls(
 ) -> StreamingQuery:
     """Store the events of a stream of pages as keyed JSON records in files.
 
-    ``quotelake.sinks.publish_stream`` sends the same records to a broker.
+    ``quotelake.sinks.publish_stream`` sends the same records to a broker. Each
+    micro-batch reports the number it sent as the metric ``sent`` of ``polls``.
     """
     return (
         keyed_json(poll_events(pages, config))
+        .observe("polls", F.count(F.lit(1)).alias("sent"))
         .writeStream.format("parquet")
         .option("path", records_path)
         .option("checkpointLocation", config.checkpoint("polls"))
@@ -81,6 +103,7 @@ def start_landing(
     writer = lines.writeStream.format("text")
     if "partition" in lines.columns:
         writer = writer.partitionBy("partition")
+    records_per_file = records_per_file or config.records_per_file
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", records_per_file)
     return (
@@ -98,7 +121,7 @@ def start_rejects(
     return (
         rejected_records(records)
         .writeStream.format("parquet")
-        .option("path", config.path("quarantine/topic"))
+        .option("path", config.rejects)
         .option("checkpointLocation", config.checkpoint("rejects"))
         .trigger(**trigger(config, available_now))
         .start()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +15,7 @@ from quotelake.operators import (
     quarantined_events,
     touched_days,
 )
+from quotelake.operators.days import DayRange
 from quotelake.schemas import SILVER_SCHEMA
 from quotelake.sinks.tables import cluster_by_day, replace_days, replace_table
 from quotelake.sources import read_table, stream_table
@@ -28,15 +27,20 @@ def start_history(
     config: LakeConfig,
     *,
     available_now: bool = False,
-    cluster: bool = True,
+    cluster: bool | None = None,
 ) -> StreamingQuery:
     """Append each raw file once to the history, however often this is started.
 
     Late rows land in their own day: there is no watermark that could drop them.
-    Without ``cluster`` nothing is shuffled, and each task writes a file for
-    each day it meets: for batches that hold large files of one day each.
+    Without ``cluster`` (by default as configured) nothing is shuffled, and each
+    task writes a file for each day it meets: for a first load of large files.
     """
     cleaned = clean_events(events)
+    if config.integral_amounts:
+        # The history goes on in the type it has.
+        amounts = ("market_cap_usd", "total_volume_usd")
+        cleaned = cleaned.withColumns({name: F.col(name).try_cast("long") for name in amounts})
+    cluster = config.cluster_history if cluster is None else cluster
     return (
         (cluster_by_day(cleaned) if cluster else cleaned)
         .writeStream.format("parquet")
@@ -62,7 +66,7 @@ def start_quarantine(
     )
 
 
-def days_to_refresh(batch: DataFrame, batch_id: int) -> list[date] | DataFrame | None:
+def days_to_refresh(batch: DataFrame, batch_id: int) -> list[DayRange] | None:
     """Days a micro-batch touches; None, for all days, in the first batch.
 
     The first batch holds all there was at the start, and a micro-batch is
@@ -76,7 +80,7 @@ def refresh_latest(
     config: LakeConfig,
     batch: DataFrame,
     batch_id: int,
-    days: list[date] | DataFrame | None,
+    days: list[DayRange] | None,
 ) -> None:
     """Bring the latest rows of ``days``, which ``batch`` touches, up to date.
 

@@ -81,6 +81,7 @@ _DEDUP_KEYS = "dt, coin_id, event_time_ts"
 _UPDATED = "last_updated_ts DESC NULLS LAST"
 _BY_TIME = f"event_time_ts DESC, {_UPDATED}"
 _LINE_TIES = "event_time_ts DESC, ingestion_run_id DESC"
+_LINE_TOTAL = "coin_id, dt, event_time_ts, ingestion_run_id"
 
 
 def _dedup(where: str = "TRUE") -> str:
@@ -95,6 +96,11 @@ def _daily(where: str = "TRUE") -> str:
     return f"WITH {_EVENTS}, deduped AS ({_dedup(where)}) {_DAILY.format('deduped')}"
 
 
+def _daily_lines() -> str:
+    deduped = _first("*", "lines_view", _DEDUP_KEYS, "ingestion_run_id DESC")
+    return f"WITH {_LINES}, deduped AS ({deduped}) {_DAILY.format('deduped')}"
+
+
 def _events(select: str) -> str:
     return f"WITH {_EVENTS} {select}"
 
@@ -205,6 +211,7 @@ SELECT {_BRONZE}, event_id % 97 = 0 OR event_id % 71 = 0 AS is_corrupt,
        TRUE AS has_source_file, TIMESTAMP '2024-02-15 00:00:00' AS ingestion_time
 FROM raw""",
     "src_parquet_partitioned": _events(f"SELECT {_SILVER} FROM events_view"),
+    "src_parquet_long_amounts": _events(f"SELECT {_SILVER} FROM events_view"),
     "src_topic_decode": f"""WITH {_EVENTS}, {_raw(True)}
 SELECT {_BRONZE}, 'quotes/' || event_id % 4 || '/' || event_id AS source_file FROM raw""",
     "norm_event": f"""WITH {_EVENTS},
@@ -237,6 +244,13 @@ QUALIFY row_number() OVER (
 QUALIFY row_number() OVER (PARTITION BY coin_id
     ORDER BY price_usd DESC, last_updated_ts DESC) BETWEEN 1151 AND 1200"""
     ),
+    "topn_page_global_deep": f"""WITH {_LINES}
+SELECT {_SILVER} FROM lines_view
+QUALIFY row_number() OVER (ORDER BY price_usd DESC, {_LINE_TOTAL}) BETWEEN 24951 AND 25000""",
+    "topn_page_ties": f"""WITH {_LINES}
+SELECT {_SILVER}, CAST((row_number() OVER (ORDER BY market_cap_usd DESC, {_LINE_TOTAL}) - 1)
+    // CAST(ceil(count(*) OVER () / 4.0) AS BIGINT) + 1 AS BIGINT) AS page
+FROM lines_view""",
     "silver_clean": _events(_CLEAN),
     "quarantine_bad_records": _events(
         f"""SELECT {_STATUS} AS reason,
@@ -266,14 +280,7 @@ FROM events_view"""
     "gold_snapshot_lines": f"WITH {_LINES} "
     + _first(_SILVER, "lines_view", "coin_id", _LINE_TIES),
     "daily_metrics": _daily(),
-    "daily_metrics_lines": f"WITH {_LINES}, deduped AS ("
-    + _first(
-        "*",
-        "lines_view",
-        _DEDUP_KEYS,
-        "price_usd DESC, market_cap_usd DESC, total_volume_usd DESC",
-    )
-    + f") {_DAILY.format('deduped')}",
+    "daily_metrics_lines": _daily_lines(),
     "daily_metrics_repeated": _events(
         _DAILY.format("events_view").replace(
             "arg_max(price_usd, event_time_ts)",
@@ -302,10 +309,14 @@ SELECT {_KEY} AS key, {_VALUE} AS value FROM raw""",
 FROM ({_latest()})"""
     ),
     "sink_gold_quotes": _events(_first(_QUOTES, "events_view", _DEDUP_KEYS, _UPDATED)),
+    "sink_gold_quotes_lines": f"WITH {_LINES} "
+    + _first(_QUOTES, "lines_view", _DEDUP_KEYS, "ingestion_run_id DESC"),
     "sink_gold_daily": _daily(),
     "sink_snapshot_overwrite": _events(_first(_SNAPSHOT, "events_view", "coin_id", _BY_TIME)),
     "stream_poll_events": _events(
-        f"""SELECT coin_id AS key, 'market_api' AS source, vs_currency, coin_id, symbol, name,
+        f"""SELECT coin_id AS key, {_ISO.format("date_trunc('day', event_time_ts)")} AS event_time,
+       strftime(event_time_ts, 'run of %Y-%m-%d 00:00+0') AS ingestion_run_id,
+       'market_api' AS source, vs_currency, coin_id, symbol, name,
        price_usd, market_cap_usd, total_volume_usd, price_change_percentage_24h,
        market_cap_rank, {_ISO.format("last_updated_ts")} AS last_updated
 FROM events_view"""
@@ -320,5 +331,11 @@ SELECT {_KEY} AS key, {_VALUE} AS value FROM raw""",
     "flow_silver": _events(_latest(_READABLE)),
     "flow_gold": _daily(),
     "flow_gold_snapshot": _events(_first(_SNAPSHOT, "events_view", "coin_id", _BY_TIME)),
+    "flow_gold_lines": _daily_lines(),
+    "flow_incremental": _daily(_READABLE),
+    "flow_quarantine": """SELECT 'all' AS place, count(*) AS records FROM events
+UNION ALL SELECT CASE WHEN event_id % 97 = 0 THEN 'rejected'
+    WHEN event_id % 89 = 0 OR event_id % 83 = 0 THEN 'quarantined'
+    ELSE 'history' END, count(*) FROM events GROUP BY 1""",
     "flow_end_to_end": _daily(_READABLE),
 }

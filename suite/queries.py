@@ -56,18 +56,6 @@ LISTED_IDS = ["click", "purchase"]
 SILVER_VALUES = [
     c for c in SILVER_SCHEMA.fieldNames() if c not in ("ingestion_time", "source_file")
 ]
-DAILY_INPUT = [
-    "event_time_ts",
-    "coin_id",
-    "dt",
-    "last_updated_ts",
-    "price_usd",
-    "market_cap_usd",
-    "total_volume_usd",
-    "symbol",
-    "name",
-    "vs_currency",
-]
 
 
 def _lake(spark: SparkSession, label: str) -> LakeConfig:
@@ -114,6 +102,14 @@ def src_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(read_table(spark, path, SILVER_SCHEMA))
 
 
+def src_parquet_long_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history whose amounts earlier deployments wrote as longs."""
+    path = scratch_path(spark, "longs") + "/history"
+    amounts = {c: F.col(c).cast("long") for c in ("market_cap_usd", "total_volume_usd")}
+    append_days(_silver(t.event_quotes(spark, sf_dir)).withColumns(amounts), path)
+    return _values(read_table(spark, path, SILVER_SCHEMA))
+
+
 def src_topic_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = t.topic_records(spark, sf_dir, faulty=True)
     return decode_events(records).select(*BRONZE_SCHEMA.fieldNames(), "source_file")
@@ -170,6 +166,25 @@ def topn_page_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(ops.ranked_page(t.event_quotes(spark, sf_dir), order, page=3, per_page=50))
 
 
+def topn_page_global_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page behind the ranks that one task sorts, without keys."""
+    order = [F.desc("price_usd")]
+    return _values(ops.ranked_page(t.line_quotes(spark, sf_dir), order, page=500, per_page=50))
+
+
+def topn_page_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four pages of a ranking with fifty values: together every row once."""
+    quotes = t.line_quotes(spark, sf_dir)
+    per_page = -(-quotes.count() // 4)
+    pages = [
+        _values(
+            ops.ranked_page(quotes, [F.desc("market_cap_usd")], page=number, per_page=per_page)
+        ).withColumn("page", F.lit(number).cast("long"))
+        for number in range(1, 5)
+    ]
+    return pages[0].union(pages[1]).union(pages[2]).union(pages[3])
+
+
 def topn_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page behind the first thousand ranks of each coin."""
     page = ops.ranked_page(
@@ -252,12 +267,12 @@ def gold_snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = ops.dedup_quotes(t.event_quotes(spark, sf_dir).select(*DAILY_INPUT))
+    quotes = ops.dedup_quotes(_silver(t.event_quotes(spark, sf_dir)))
     return _rounded(ops.daily_metrics(quotes, unique_times=True))
 
 
 def daily_metrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = ops.dedup_quotes(t.line_quotes(spark, sf_dir).select(*DAILY_INPUT))
+    quotes = ops.dedup_quotes(_silver(t.line_quotes(spark, sf_dir)))
     return _rounded(ops.daily_metrics(quotes, unique_times=True))
 
 
@@ -314,7 +329,7 @@ def dq_price_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = ops.dedup_quotes(t.event_quotes(spark, sf_dir).select(*DAILY_INPUT))
+    quotes = ops.dedup_quotes(_silver(t.event_quotes(spark, sf_dir)))
     fresh = ops.freshness(quotes, as_of=utc_literal(AS_OF))
     return t.comparable(
         fresh.withColumn("is_stale", F.col("lag_minutes") > MAX_LAG_MINUTES)
@@ -362,6 +377,12 @@ def sink_gold_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.comparable(read_table(spark, path, GOLD_QUOTES_SCHEMA))
 
 
+def sink_gold_quotes_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "line-quotes") + "/quotes"
+    replace_days(gold_quotes(_silver(t.line_quotes(spark, sf_dir))), path)
+    return t.comparable(read_table(spark, path, GOLD_QUOTES_SCHEMA))
+
+
 def sink_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "daily") + "/daily"
     daily = ops.daily_metrics(gold_quotes(t.event_quotes(spark, sf_dir)), unique_times=True)
@@ -384,18 +405,13 @@ def sink_snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_poll_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "polls")
-    t.write_pages(spark, sf_dir, lake.pages)
+    t.write_polls(spark, sf_dir, lake.pages)
     start_polls(
         stream_pages(spark, lake.pages), lake, lake.records, available_now=True
     ).awaitTermination()
-    stamps = ("event_time", "ingestion_run_id")
     event = F.from_json("value", BRONZE_SCHEMA)
-    return (
-        spark.read.parquet(lake.records)
-        .select("key", event.alias("event"))
-        .select("key", "event.*")
-        .drop(*stamps)
-    )
+    records = spark.read.parquet(lake.records)
+    return records.select("key", event.alias("event")).select("key", "event.*")
 
 
 def _landed(spark: SparkSession, sf_dir: str, label: str, faulty: bool) -> LakeConfig:
@@ -494,6 +510,41 @@ def flow_gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.comparable(read_table(spark, lake.snapshot).select(*columns))
 
 
+def flow_gold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of quotes that tie in all but their lineage."""
+    lake = _lake(spark, "flow-lines")
+    quotes = _silver(t.line_quotes(spark, sf_dir))
+    append_days(quotes, lake.history)
+    replace_days(ops.latest_per_day(quotes), lake.latest)
+    build_gold(spark, lake)
+    return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
+
+
+def flow_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, the second late for every day, each taken in by a run."""
+    lake = _lake(spark, "incremental")
+    for _half in _by_halves(spark, sf_dir, lake):
+        build_lake(spark, lake, start="bronze")
+    return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
+
+
+def flow_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each record of a run went: none is lost."""
+    lake = _landed(spark, sf_dir, "quarantine", faulty=True)
+    build_lake(spark, lake, start="records")
+    places = {
+        "all": lake.records,
+        "history": lake.history,
+        "quarantined": lake.quarantine,
+        "rejected": lake.rejects,
+    }
+    counts = [
+        spark.read.parquet(path).agg(F.lit(place).alias("place"), F.count(F.lit(1)).alias("records"))
+        for place, path in places.items()
+    ]
+    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+
+
 def flow_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic records to bronze, silver and gold; the daily metrics at the end."""
     lake = _landed(spark, sf_dir, "lake", faulty=True)
@@ -507,6 +558,7 @@ QUERIES: dict[str, Query] = {
         src_api_page_explode,
         src_json_lines,
         src_parquet_partitioned,
+        src_parquet_long_amounts,
         src_topic_decode,
         norm_event,
         norm_record_key,
@@ -515,6 +567,8 @@ QUERIES: dict[str, Query] = {
         topn_page,
         topn_page_global,
         topn_page_deep,
+        topn_page_global_deep,
+        topn_page_ties,
         silver_clean,
         quarantine_bad_records,
         tag_bad_records,
@@ -538,6 +592,7 @@ QUERIES: dict[str, Query] = {
         sink_history_append,
         sink_dynamic_overwrite,
         sink_gold_quotes,
+        sink_gold_quotes_lines,
         sink_gold_daily,
         sink_snapshot_overwrite,
         stream_poll_events,
@@ -549,6 +604,9 @@ QUERIES: dict[str, Query] = {
         flow_silver,
         flow_gold,
         flow_gold_snapshot,
+        flow_gold_lines,
+        flow_incremental,
+        flow_quarantine,
         flow_end_to_end,
     )
 }

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from quotelake.functions import event_json, iso_text, record_key
 from quotelake.schemas import PAGE_SCHEMA, SILVER_SCHEMA
-from quotelake.session import use_utc
+from quotelake.session import use_settings
 
 POLL_PAGE = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +154,22 @@ def write_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
+def write_polls(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write one page a day, in folders that name the poll's time and run."""
+    day = F.date_trunc("day", F.col("event_time_ts"))
+    item = F.struct(*PAGE_SCHEMA.fieldNames())
+    (
+        api_objects(spark, sf_dir)
+        .groupBy(
+            F.date_format(day, "yyyyMMdd'T'HHmmss.SSSSSS'Z'").alias("polled_at"),
+            F.date_format(day, "'run of' yyyy-MM-dd HH:mm+0").alias("run_id"),
+        )
+        .agg(F.to_json(F.collect_list(item)).alias("value"))
+        .write.partitionBy("polled_at", "run_id")
+        .text(path)
+    )
+
+
 def write_lines(records: DataFrame, path: str) -> None:
     """Write record values as bronze lines, in folders by topic partition."""
     records.select("value", "partition").write.mode("append").partitionBy("partition").text(path)

@@ -21,8 +21,11 @@ from quotelake.operators import (
     tag_events,
 )
 from quotelake.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
-from quotelake.sinks import publish_stream, publish_topic
-from quotelake.sources import decode_events, read_events, read_pages, read_topic, stream_topic
+from quotelake.__main__ import main as command_line
+from quotelake.sinks import topic as topic_sink
+from quotelake.sinks.topic import producer_options
+from quotelake.sources import decode_events, read_events, read_pages, topic_options
+from quotelake.sources import topic as topic_source
 from tests.conftest import at, event, rows_of, silver, write_lines
 
 FAULTS = [
@@ -259,19 +262,53 @@ def test_what_counts_as_json(spark, text, valid):
     assert row[0] is valid
 
 
-def test_topic_calls_ask_for_the_kafka_connector(spark, events, tmp_path):
-    """Without the connector this is as far as they get."""
-    calls = [
-        lambda: read_topic(spark, "broker:9092", "t"),
-        lambda: stream_topic(spark, "broker:9092", "t", records_per_batch=10, min_partitions=4),
-        lambda: publish_topic(events, "broker:9092", "t"),
-        lambda: publish_stream(
-            spark.readStream.schema(events.schema).json(str(tmp_path)),
-            "broker:9092",
-            "t",
-            str(tmp_path / "c"),
-        ),
-    ]
-    for call in calls:
-        with pytest.raises(AnalysisException, match="(?i)kafka"):
-            call()
+def test_topic_options():
+    """The calls themselves need the connector, which is not here."""
+    assert topic_options("b:1,c:2", "t") == {"kafka.bootstrap.servers": "b:1,c:2", "subscribe": "t"}
+    full = topic_options("b:1", "t", starting="earliest", records_per_batch=10, min_partitions=4)
+    assert full == {
+        "kafka.bootstrap.servers": "b:1",
+        "subscribe": "t",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "10",
+        "minPartitions": "4",
+    }
+    assert producer_options("b:1", "t") == {
+        "kafka.bootstrap.servers": "b:1",
+        "topic": "t",
+        "kafka.acks": "all",
+        "kafka.retries": "3",
+        "kafka.linger.ms": "10",
+    }
+    for call in (topic_options, producer_options):
+        with pytest.raises(ValueError, match="servers"):
+            call("", "t")
+
+
+@pytest.mark.parametrize("job", ["land", "serve", "publish"])
+def test_topic_commands_hand_their_settings_to_the_connector(spark, monkeypatch, tmp_path, job):
+    """The command goes as far as the connector with what the environment says."""
+    monkeypatch.setenv("LAKE_ROOT", str(tmp_path))
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "broker:9092")
+    monkeypatch.setenv("KAFKA_TOPIC", "quotes")
+    (tmp_path / "landing/pages").mkdir(parents=True)
+    asked = []
+    for module, name in ((topic_source, "topic_options"), (topic_sink, "producer_options")):
+        known = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, known=known, **k: asked.append(a) or known(*a, **k))
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        command_line([job])
+    assert asked == [("broker:9092", "quotes")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['[{"coin_id": "a"}, {"coin_id": "b", "price_usd": "x"}]', '[{"coin_id": "a"}]', "[]", "", "  ", '[{"coin_id": ', "7"],
+)
+def test_topic_and_file_give_the_same_rows(spark, tmp_path, text):
+    (tmp_path / "f.json").write_text(text + "\n")
+    lines = read_events(spark, str(tmp_path)).drop("source_file", "ingestion_time")
+    records = spark.createDataFrame([("t", 0, 0, text)], "topic string, partition int, offset long, value string")
+    topic = decode_events(records).drop("source_file", "ingestion_time")
+    assert rows_of(lines) == rows_of(topic)
+    assert lines.count() == {"[": text.count("{") or text.count("]") == 0, "": 0, " ": 0, "7": 1}[text[:1]]

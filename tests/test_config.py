@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+from types import SimpleNamespace
+
 import pytest
 
 from quotelake import LakeConfig
 from quotelake.operators import clean_events
-from quotelake.session import require_utc, scratch_path, shuffle_partitions, use_utc
+from quotelake.session import require_utc, scratch_path, shuffle_partitions, use_settings
 
 
 def test_bucket_is_required():
@@ -56,13 +59,44 @@ def test_shuffle_partitions_are_put_back(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_scratch_lies_in_the_shared_folder(spark, tmp_path):
-    name = "spark.checkpoint.dir"
-    shared = spark.conf.get(name, None)
-    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+class FakeSession:
+    """What ``scratch_path`` asks of a session."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+
+
+def test_scratch_lies_in_the_shared_folder():
+    cluster = FakeSession("spark://host", **{"spark.checkpoint.dir": "hdfs://shared/x/"})
+    first, second = scratch_path(cluster, "a"), scratch_path(cluster, "a")
     assert first != second
-    if shared:
-        assert first.startswith(shared)
+    assert all(path.startswith("hdfs://shared/x/quotelake-a-") for path in (first, second))
+
+
+def test_scratch_without_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(FakeSession("spark://host"), "a")
+    assert Path(scratch_path(FakeSession("local[2]"), "a")).is_dir()
+
+
+def test_settings_are_reached_from_the_environment():
+    env = {
+        "LAKE_ROOT": "x",
+        "KAFKA_BOOTSTRAP_SERVERS": "b:1",
+        "RECORDS_PER_FILE": "50",
+        "FILES_PER_BATCH": "7",
+        "CLUSTER_HISTORY": "false",
+        "INTEGRAL_AMOUNTS": "yes",
+        "GOLD_WRITE": "append",
+        "GOLD_REJECT_NAN": "1",
+        "SERVE_SECONDS": "30",
+    }
+    lake = LakeConfig.from_env(env)
+    assert (lake.servers, lake.records_per_file, lake.files_per_batch, lake.serve_seconds) == ("b:1", 50, 7, 30)
+    assert (lake.cluster_history, lake.integral_amounts, lake.gold_write, lake.reject_nan) == (False, True, "append", True)
+    with pytest.raises(ValueError, match="flag"):
+        LakeConfig.from_env({**env, "CLUSTER_HISTORY": "maybe"})
 
 
 def test_other_zones_are_refused_or_set(spark):
@@ -73,6 +107,6 @@ def test_other_zones_are_refused_or_set(spark):
         with pytest.raises(ValueError, match="UTC"):
             clean_events(spark.range(1))
     finally:
-        use_utc(spark)
+        use_settings(spark)
     require_utc(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

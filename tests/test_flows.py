@@ -6,27 +6,40 @@ import json
 import os
 import shutil
 from dataclasses import replace
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from quotelake import QualityError
+from quotelake import LakeConfig, QualityError
 from quotelake.__main__ import main as command_line
 from quotelake.functions import utc_literal
-from quotelake.operators import clean_events, daily_metrics, days, dedup_quotes, latest_per_day
-from quotelake.operators.days import in_days, last_day, touched_days
-from quotelake.plans import build_gold, build_lake, build_silver
+from quotelake.operators import (
+    clean_events,
+    cut_ranges,
+    daily_metrics,
+    day_ranges,
+    dedup_quotes,
+    in_days,
+    last_day,
+    latest_per_day,
+    touched_days,
+)
+from quotelake.plans import build_gold, build_lake, build_silver, gold, update_gold
+from quotelake.plans.gold import gold_quotes
 from quotelake.schemas import GOLD_DAILY_SCHEMA, GOLD_QUOTES_SCHEMA, SILVER_SCHEMA
 from quotelake.sinks import append_days, replace_days, replace_table
-from quotelake.sources import read_events, read_table, stream_events
+from quotelake.sources import read_events, read_pages, read_table, stream_events, stream_pages
 from quotelake.streaming import (
+    poll_events,
     start_gold,
     start_history,
     start_lake,
     start_landing,
     start_latest,
+    start_polls,
     start_quarantine,
     start_rejects,
     start_serving,
@@ -228,23 +241,110 @@ def test_gold_stream_stops_at_a_failed_check_and_tries_again(spark, lake):
     assert not Path(lake.quotes).exists()
 
 
-def test_many_touched_days_are_joined_not_listed(spark, lake, monkeypatch):
-    rows = silver(
-        spark, *[{"event_time_ts": at(f"2024-01-{d:02d}T00:00:00")} for d in range(1, 9)]
-    )
-    append_days(rows, lake.history)
-    listed = touched_days(rows)
-    assert isinstance(listed, list) and len(listed) == 8
-    monkeypatch.setattr(days, "MAX_LITERAL_DAYS", 3)
-    table = touched_days(rows.where(F.dayofmonth("dt") > 2))
-    assert not isinstance(table, list)
-    assert last_day(table) == at("2024-01-08").date()
+def day(text):
+    return date.fromisoformat(text)
+
+
+def test_days_become_ranges(spark):
+    days = ["2023-12-30", "2023-12-31", "2024-01-01", "2024-01-03", "2024-01-03", "2024-02-01"]
+    rows = silver(spark, *[{"event_time_ts": at(f"{d}T00:00:00")} for d in days], {"dt": None})
+    want = [
+        (day("2023-12-30"), day("2024-01-01")),
+        (day("2024-01-03"), day("2024-01-03")),
+        (day("2024-02-01"), day("2024-02-01")),
+    ]
+    assert touched_days(rows) == want == day_ranges(map(day, days))
+    assert last_day(want) == day("2024-02-01") and last_day([]) is None
+    assert in_days(rows, want).count() == 6
+    assert in_days(rows, None).count() == 7 and in_days(rows, []).count() == 0
+    assert touched_days(rows.limit(0)) == []
+
+
+def test_ranges_are_cut_into_jobs_of_a_number_of_days():
+    ranges = [(day("2024-01-01"), day("2024-01-05")), (day("2024-02-01"), day("2024-02-01"))]
+    cut = list(cut_ranges(ranges, 2))
+    assert [sum((b - a).days + 1 for a, b in group) for group in cut] == [2, 2, 2]
+    assert cut[2] == [(day("2024-01-05"), day("2024-01-05")), ranges[1]]
+
+
+@pytest.mark.parametrize("step", [1, 2])
+def test_thousands_of_touched_days_prune_and_keep_to_their_jobs(spark, lake, monkeypatch, step):
+    start, count = day("2000-01-01"), 5000
+    days = spark.range(0, count * step, step).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("dt"))
+    ranges = touched_days(days)
+    assert len(ranges) == (1 if step == 1 else count)
+    append_days(silver(spark, *[{"event_time_ts": at(f"{y}-01-01T00:00:00")} for y in (1990, 2000)]), lake.history)
     history = read_table(spark, lake.history, SILVER_SCHEMA)
-    assert in_days(history, table).count() == 6
-    assert in_days(history, None).count() == 8
-    append_days(rows, lake.latest)
-    build_gold(spark, lake, days=table)
-    assert read_table(spark, lake.quotes, GOLD_QUOTES_SCHEMA).count() == 6
+    plan = plan_of(in_days(history, ranges))
+    assert "2000-01-01" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    jobs = []
+    monkeypatch.setattr(gold, "gold_quotes", lambda part: jobs.append(part) or gold_quotes(part))
+    staged, metrics = gold.stage_quotes(spark, replace(lake, days_per_job=1000), ranges)
+    assert len(jobs) == 5
+    assert staged.count() == 1 and metrics["newest_event_time"] == datetime(2000, 1, 1)
+
+
+def test_no_days_are_nothing_to_do(spark, lake):
+    append_days(silver(spark, {}), lake.history)
+    build_gold(spark, lake, days=[])
+    assert not Path(lake.quotes).exists()
+
+
+def test_a_run_with_nothing_new_writes_no_file(spark, lake):
+    write_lines(lake.bronze, "0.json", *deliveries(1)[0])
+    build_lake(spark, lake, start="bronze")
+    served = [lake.quotes, lake.daily, lake.snapshot, lake.latest, lake.history, lake.quarantine]
+    before = {f: f.stat().st_mtime_ns for path in served for f in Path(path).rglob("*.parquet")}
+    build_lake(spark, lake, start="bronze")
+    after = {f: f.stat().st_mtime_ns for path in served for f in Path(path).rglob("*.parquet")}
+    assert before == after and before
+
+
+def test_incremental_runs_equal_a_full_one(spark, lake, tmp_path):
+    whole = LakeConfig(root=str(tmp_path / "whole"), max_lag_minutes=10**9)
+    for n, lines in enumerate(deliveries(3)):
+        for config in (lake, whole):
+            write_lines(config.bronze, f"{n}.json", *lines)
+        build_lake(spark, lake, start="bronze")
+    build_lake(spark, whole, start="bronze", full=True)
+    assert tables(spark, lake) == tables(spark, whole)
+
+
+def test_update_gold_raises_the_failed_check(spark, lake):
+    append_days(silver(spark, {"price_usd": -1.0}), lake.history)
+    with pytest.raises(QualityError, match="price_usd_null_or_non_positive") as failure:
+        update_gold(spark, lake)
+    assert failure.value.reasons == ["price_usd_null_or_non_positive"]
+    assert not Path(lake.quotes).exists()
+
+
+def test_no_record_is_lost(spark, lake):
+    bad = '{"event_time": "2024-01-01T00:00:00Z", "coin_id": null, "extra": "kept"}'
+    write_records(lake, "0.json", json.dumps(event()), "no json", bad, '[{"coin_id": "x"}]', None)
+    records = spark.createDataFrame(spark.read.json(lake.records).select("key", "value").collect())
+    shutil.rmtree(lake.records)
+    records.write.parquet(lake.records)
+    build_lake(spark, lake, start="records")
+    kept = {r.record: r.reason for r in spark.read.parquet(lake.quarantine).collect()}
+    assert kept == {bad: "no_coin_id", '[{"coin_id": "x"}]': "no_event_time"}
+    assert sorted(map(str, (r.value for r in spark.read.parquet(lake.rejects).collect()))) == ["None", "no json"]
+    assert read_table(spark, lake.quotes).count() == 1
+    off = replace(lake, root=lake.root + "/off")
+    records.write.parquet(off.records)
+    build_lake(spark, off, start="records", quarantine=False)
+    assert not Path(off.quarantine).exists() and not Path(off.rejects).exists()
+
+
+def test_amounts_as_longs_are_read_and_written_on(spark, lake):
+    lake = replace(lake, integral_amounts=True)
+    for n, coin in enumerate("bc"):
+        write_lines(lake.bronze, f"{n}.json", event(coin_id=coin, market_cap_usd=7 + n))
+        build_lake(spark, lake, start="bronze")
+    stored = dict(read_table(spark, lake.history).dtypes)
+    assert stored["market_cap_usd"] == stored["total_volume_usd"] == "bigint"
+    history = read_table(spark, lake.history, SILVER_SCHEMA)
+    assert history.schema["market_cap_usd"].dataType.typeName() == "double"
+    assert {r.coin_id: r.market_cap_usd for r in history.collect()} == {"b": 7.0, "c": 8.0}
 
 
 def test_replaced_days_leave_the_others(spark, tmp_path):
@@ -279,7 +379,7 @@ def test_partition_filters_prune_folders(spark, lake):
     for n, lines in enumerate(deliveries(2)):
         write_lines(lake.bronze, f"{n}.json", *lines)
     start_history(stream_events(spark, lake.bronze), lake, available_now=True).awaitTermination()
-    one_day = in_days(read_table(spark, lake.history, SILVER_SCHEMA), [at("2024-01-02").date()])
+    one_day = in_days(read_table(spark, lake.history, SILVER_SCHEMA), [(day("2024-01-02"),) * 2])
     plan = plan_of(one_day)
     assert "PartitionFilters: [isnotnull(dt" in plan or "PartitionFilters: [(dt" in plan
     assert [r.dt for r in one_day.collect()] == [at("2024-01-02").date()] * 8
@@ -322,7 +422,6 @@ def test_files_are_cut_at_a_number_of_records(spark, lake):
 
 
 def test_whole_chain_from_pages(spark, lake):
-    Path(lake.pages).mkdir(parents=True)
     for n in range(2):
         page = [
             {
@@ -336,9 +435,9 @@ def test_whole_chain_from_pages(spark, lake):
             }
             for coin in ("a", "b", "c")
         ]
-        file = Path(lake.pages) / f"{n}.json"
-        file.write_text(json.dumps(page))
-        os.utime(file, (1_704_067_200 + 3600 * n,) * 2)
+        folder = Path(lake.pages) / f"polled_at=20240101T0{n}0000.000000Z" / f"run_id=r{n}"
+        folder.mkdir(parents=True)
+        (folder / "page.json").write_text(json.dumps(page))
     chosen = replace(lake, coin_ids=("a", "b"))
     for _run in range(2):
         build_lake(spark, chosen)
@@ -349,18 +448,48 @@ def test_whole_chain_from_pages(spark, lake):
         ("b", "2024-01-01 00:00:00", 1.0),
         ("b", "2024-01-01 01:00:00", 2.0),
     ]
-    runs = read_table(spark, lake.history).select("ingestion_run_id").distinct().count()
-    assert runs == 2
+    runs = read_table(spark, lake.history).select("ingestion_run_id").distinct().collect()
+    assert sorted(r.ingestion_run_id for r in runs) == ["r0", "r1"]
     assert read_table(spark, lake.snapshot).count() == 2
 
 
+def test_a_copied_page_gives_the_same_events(spark, lake, tmp_path):
+    page = json.dumps([{"id": "a", "current_price": 1.0}])
+    events = []
+    for root in ("one", "two"):
+        folder = tmp_path / root / "polled_at=20240101T000000.000000Z"
+        folder.mkdir(parents=True)
+        (folder / "p 1+.json").write_text(page)
+        os.utime(folder / "p 1+.json", (1_700_000_000 + len(events),) * 2)
+        events.append(poll_events(read_pages(spark, str(tmp_path / root)), lake).collect())
+    assert events[0] == events[1] and events[0][0].event_time == "2024-01-01T00:00:00.000000+00:00"
+
+
+def test_a_page_that_tells_no_time(spark, lake, tmp_path):
+    (tmp_path / "p.json").write_text('[{"id": "a"}]')
+    os.utime(tmp_path / "p.json", (1_704_067_200,) * 2)
+    pages = read_pages(spark, str(tmp_path))
+    assert poll_events(pages, lake).first().event_time is None
+    by_file = poll_events(pages, lake, by_file_time=True).first()
+    assert by_file.event_time == "2024-01-01T00:00:00.000000+00:00" and by_file.ingestion_run_id
+
+
+def test_polls_report_what_they_sent(spark, lake):
+    folder = Path(lake.pages) / "polled_at=20240101T000000.000000Z"
+    folder.mkdir(parents=True)
+    (folder / "p.json").write_text('[{"id": "a"}, {"id": "b"}]')
+    query = start_polls(stream_pages(spark, lake.pages), lake, lake.records, available_now=True)
+    query.awaitTermination()
+    assert sum(p["observedMetrics"]["polls"]["sent"] for p in query.recentProgress if p["observedMetrics"]) == 2
+
+
 def test_unknown_start_is_refused(spark, lake):
     with pytest.raises(ValueError, match="start"):
         build_lake(spark, lake, start="somewhere")
 
 
 def test_continuous_queries_keep_the_whole_lake(spark, lake):
-    lake = replace(lake, poll_seconds=1)
+    lake = replace(lake, poll_seconds=1, serve_seconds=1)
     files = deliveries(3)
     write_records(lake, "0.json", *as_values(files[0]))
     queries = start_lake(spark, lake, topic(spark, lake))
@@ -437,7 +566,8 @@ def test_runs_from_the_command_line(spark, lake, monkeypatch, capsys):
     monkeypatch.setenv("GOLD_FRESHNESS_MAX_LAG_MINUTES", str(10**9))
     for n, lines in enumerate(deliveries(2)):
         write_lines(lake.bronze, f"{n}.json", *lines)
-    command_line(["silver", "--quarantine"])
+    command_line(["silver"])
+    assert spark.read.parquet(lake.quarantine).count() > 0
     command_line(["gold", "--days", "2024-01-02"])
     assert {str(r.dt) for r in read_table(spark, lake.daily, GOLD_DAILY_SCHEMA).collect()} == {
         "2024-01-02"

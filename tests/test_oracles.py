@@ -6,11 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from suite.oracles import ORACLES
+from suite.queries import QUERIES
 from tests.conftest import TESTDATA
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def database(sf_dir):
@@ -23,6 +22,8 @@ def database(sf_dir):
 
 def test_each_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,9 +7,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quotelake.operators import daily_metrics, dedup_quotes, latest_per_day
+from quotelake.operators import daily_metrics, dedup_quotes, latest_per_day, ranked_page
 from quotelake.plans.gold import gold_quotes
 from quotelake.schemas import SILVER_SCHEMA
+from quotelake.session import use_settings
 from quotelake.sinks import append_days
 from quotelake.sinks.tables import cluster_by_day
 from suite import queries, tables
@@ -49,10 +50,25 @@ def test_daily_metrics_hash_and_combine_before_the_shuffle(history):
     assert "partial_max_by" in plan
 
 
-def test_only_needed_columns_are_read_and_shuffled(history):
-    plan = plan_of(gold_quotes(history))
-    assert "market_cap_rank" in plan
-    assert "source_file" not in plan and "ingestion_run_id" not in plan
+def test_only_needed_columns_are_read(history):
+    plan = plan_of(daily_metrics(history, unique_times=True))
+    assert "price_usd" in plan and "source_file" not in plan and "market_cap_rank" not in plan
+    # Lineage decides between ties and is not published.
+    assert "source_file" in plan_of(gold_quotes(history))
+    assert "source_file" not in gold_quotes(history).columns
+
+
+def test_keyed_pages_of_any_depth_are_one_plan(spark, history):
+    use_settings(spark)
+    for page in (1, 24, 4000):
+        plan = plan_of(ranked_page(history, [F.desc("price_usd")], page=page, per_page=50, keys=["coin_id"]))
+        assert re.findall(r"WindowGroupLimit .*?, (Partial|Final)\n", plan) == ["Final", "Partial"]
+        assert plan.count("Exchange") == 1
+
+
+def test_a_deep_page_without_keys_is_in_no_single_task(spark, sf_dir):
+    plan = plan_of(queries.topn_page_global_deep(spark, sf_dir))
+    assert "Exchange" not in plan and re.search(r"PartitionFilters: \[[^]]*_slice", plan)
 
 
 def test_day_filters_reach_the_partitions_through_the_window(history):

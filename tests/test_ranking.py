@@ -17,6 +17,7 @@ from quotelake.operators import (
     latest_per_day,
     ranked_page,
 )
+from quotelake.plans.gold import gold_quotes
 from tests.conftest import at, plan_of, rows_of, silver
 
 START = at("2024-01-01T00:00:00")
@@ -173,3 +174,19 @@ def test_both_last_price_forms_agree_without_ties(spark):
         )
     )
     assert rows_of(daily_metrics(quotes)) == rows_of(daily_metrics(quotes, unique_times=True))
+
+
+@pytest.mark.parametrize("drop", [[], ["name", "symbol"], ["price_change_percentage_24h", "source"]])
+def test_columns_dropped_afterwards_do_not_change_the_winner(spark, drop):
+    rows = silver(
+        spark,
+        *[
+            {"ingestion_run_id": run, "price_usd": price, "source_file": file}
+            for run, price, file in (("r1", 9.0, "f"), ("r2", 1.0, "f"), ("r2", 5.0, "e"))
+        ],
+    )
+    for operator in (dedup_quotes, latest_per_day, current_snapshot):
+        whole = operator(rows).drop(*drop)
+        assert rows_of(whole) == rows_of(operator(rows.drop(*drop)))
+        assert whole.first().price_usd == 1.0
+    assert gold_quotes(rows).first().price_usd == 1.0
