@@ -7,8 +7,9 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # dt is the UTC day of the event time, so the session zone has to be UTC.
@@ -64,6 +65,25 @@ def shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]
         spark.conf.set(name, before)
 
 
+# Scratch tables of this process in shared folders.
+_SHARED_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Delete the scratch tables in shared folders; at exit, or when all are done with.
+
+    Those of a session that was stopped before are left to the folder's owner.
+    """
+    while _SHARED_SCRATCH:
+        spark, path = _SHARED_SCRATCH.pop()
+        if getattr(spark.sparkContext, "_jsc", None) is None:
+            continue
+        with suppress(Py4JError):  # the JVM may have ended first
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -71,7 +91,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/quotelake-{label}-{uuid.uuid4().hex}"
+        path = f"{shared.rstrip('/')}/quotelake-{label}-{uuid.uuid4().hex}"
+        _SHARED_SCRATCH.append((spark, path))
+        return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix=f"quotelake-{label}-")

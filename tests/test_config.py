@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from quotelake import LakeConfig
+from quotelake import LakeConfig, session
 from quotelake.operators import clean_events
 from quotelake.session import require_utc, scratch_path, shuffle_partitions, use_settings
 
@@ -67,13 +67,21 @@ class FakeSession:
         self.conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
 
 
-def test_scratch_lies_in_the_shared_folder():
+def test_scratch_lies_in_the_shared_folder(monkeypatch):
     cluster = FakeSession("spark://host", **{"spark.checkpoint.dir": "hdfs://shared/x/"})
+    monkeypatch.setattr(session, "_SHARED_SCRATCH", [])
     first, second = scratch_path(cluster, "a"), scratch_path(cluster, "a")
     assert first != second
     assert all(path.startswith("hdfs://shared/x/quotelake-a-") for path in (first, second))
 
 
+def test_shared_scratch_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_SHARED_SCRATCH", [(spark, str(tmp_path / "x"))])
+    spark.range(3).write.parquet(str(tmp_path / "x"))
+    session.remove_scratch()
+    assert not (tmp_path / "x").exists() and not session._SHARED_SCRATCH
+
+
 def test_scratch_without_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(FakeSession("spark://host"), "a")
