@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quotelake.llm import quality
 from quotelake.llm.chat import TURN_END, TURN_START
 from quotelake.llm.licenses import COPYRIGHT_LINE, KNOWN_TEXTS, SPELLINGS
 from quotelake.llm.queries import HOSTILE
@@ -66,4 +67,99 @@ LEFT JOIN digests d ON len(lines) > 0 AND sha256(array_to_string(lines, ' ')) =
 LEFT JOIN notices n ON n.doc_id = c.doc_id"""
 
 
-ORACLES: dict[str, str] = {"op1_chat": _op1(), "op5_licenses": _op5()}
+def _op2() -> str:
+    blank = r"[ \t\n\x0B\f\r]"
+    common = (
+        "regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        "'[.,;:!?\"''()\\-]', '', 'g')"
+    )
+    # What is left of a text without the characters of a class, as patterns.
+    classes = {
+        "lower": "[^a-z]",
+        "upper": "[^A-Z]",
+        "digit": "[^0-9]",
+        "space": r"[^ \t\x0B\f\r]",
+        "line": r"[^\n]",
+        "punctuation": "[^.,;:!?\"''()\\-]",
+        "other": r"[\x00-\x7F]",
+    }
+    counts = ", ".join(f"length(regexp_replace(text, '{p}', '', 'g')) AS c_{name}" for name, p in classes.items())
+    known = " + ".join(f"c_{name}" for name in classes)
+    names = [*classes, "symbol"]
+    pairs = ", ".join(f"{{'name': '{name}', 'n': c_{name}}}" for name in names)
+
+    def distance(view: str, own: str, usual: str) -> str:
+        """Distance by document of two tables of (name, n), both by share."""
+        return f"""
+{view} AS (
+  SELECT doc_id, sqrt(least(1, greatest(0, sum(
+      CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2))) AS distance
+  FROM (
+    SELECT o.doc_id, o.n / sum(o.n) OVER (PARTITION BY o.doc_id) AS p, u.n / sum(u.n) OVER (PARTITION BY o.doc_id) AS q
+    FROM {own} o JOIN {usual} u ON u.lang = o.lang AND u.name = o.name
+  ) GROUP BY doc_id
+)"""
+
+    return f"""
+WITH docs AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, list_filter(string_split_regex(text, '{blank}+'), lambda w: w <> '') AS words FROM docs),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS first FROM words),
+windows AS (
+  SELECT doc_id, first, count(*) OVER (PARTITION BY doc_id, array_to_string(words[first:first + 7], ' ')) AS n FROM starts
+),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(first, first + 8)) AS place FROM windows WHERE n > 1) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY doc_id
+),
+counted AS (SELECT *, length(text) - ({known}) AS c_symbol FROM (SELECT *, {counts} FROM docs)),
+class_counts AS (SELECT doc_id, lang, unnest([{pairs}], recursive := true) FROM counted),
+class_usual AS (SELECT lang, name, sum(n) AS n FROM class_counts GROUP BY ALL),
+plain AS (
+  SELECT doc_id, lang, unnest(list_filter(string_split_regex({common}, '{blank}+'), lambda w: w <> '')) AS word FROM docs
+),
+totals AS (SELECT lang, count(*) AS total FROM plain GROUP BY lang HAVING count(*) >= {quality.REFERENCE_WORDS}),
+top AS (
+  SELECT lang, word AS name, count(*) AS n FROM plain SEMI JOIN totals USING (lang)
+  WHERE strlen(word) <= {quality.COMMON_BYTES} AND regexp_matches(word, '[a-z]|[^\\x00-\\x7F]')
+  GROUP BY lang, word
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) <= {quality.COMMON_WORDS}
+),
+word_usual AS (
+  SELECT lang, name, n FROM top
+  UNION ALL SELECT t.lang, '', t.total - sum(n) FROM totals t JOIN top USING (lang) GROUP BY t.lang, t.total
+),
+own_words AS (
+  SELECT p.doc_id, p.lang, coalesce(t.name, '') AS name, count(*) AS n
+  FROM plain p LEFT JOIN top t ON t.lang = p.lang AND t.name = p.word GROUP BY ALL
+),
+word_counts AS (
+  SELECT d.doc_id, d.lang, u.name, coalesce(o.n, 0) AS n
+  FROM docs d JOIN word_usual u ON u.lang = d.lang
+  LEFT JOIN own_words o ON o.doc_id = d.doc_id AND o.name = u.name
+),{distance("by_class", "class_counts", "class_usual")},{distance("by_word", "word_counts", "word_usual")},
+measured AS (
+  SELECT d.doc_id,
+    CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '{blank}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(words) < {quality.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {quality.MAX_REPEAT_PERCENT} * len(words) AS base_failed,
+    CASE WHEN length(text) >= {quality.MIN_CLASS_CHARS} THEN c.distance END AS class_distance,
+    CASE WHEN len(words) >= {quality.MIN_COMMON_WORDS} THEN w.distance END AS word_distance
+  FROM docs d JOIN words USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN lines USING (doc_id)
+  LEFT JOIN by_class c USING (doc_id) LEFT JOIN by_word w USING (doc_id)
+)
+SELECT * REPLACE (round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance),
+  NOT (base_failed OR coalesce(class_distance > {quality.MAX_CLASS_DISTANCE}, false)
+    OR coalesce(word_distance > {quality.MAX_WORD_DISTANCE} + {quality.WORD_NOISE} / sqrt(greatest(1, n_words)), false)) AS kept
+FROM measured"""
+
+
+ORACLES: dict[str, str] = {"op1_chat": _op1(), "op2_quality": _op2(), "op5_licenses": _op5()}
