@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotelake.llm import quality
+from quotelake.llm import quality, suffixes
 from quotelake.llm.chat import TURN_END, TURN_START
 from quotelake.llm.licenses import COPYRIGHT_LINE, KNOWN_TEXTS, SPELLINGS
 from quotelake.llm.queries import HOSTILE
@@ -162,4 +162,36 @@ SELECT * REPLACE (round(class_distance, 6) AS class_distance, round(word_distanc
 FROM measured"""
 
 
-ORACLES: dict[str, str] = {"op1_chat": _op1(), "op2_quality": _op2(), "op5_licenses": _op5()}
+def _op8() -> str:
+    size = suffixes.LENGTH
+    return f"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+strings AS (
+  SELECT doc_id, start, substring(digits, 2 * start + 1, {2 * size}) AS string
+  FROM (SELECT doc_id, digits, unnest(range(0, len(digits) // 2 - {size - 1})) AS start FROM docs)
+),
+later AS (
+  SELECT doc_id, start FROM strings
+  QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, start) > 1
+),
+bytes AS (
+  SELECT doc_id, place, substring(digits, 2 * place + 1, 2) AS byte
+  FROM (SELECT doc_id, digits, unnest(range(0, len(digits) // 2)) AS place FROM docs)
+),
+marked AS (
+  SELECT b.doc_id, place, byte, max(start) OVER (
+    PARTITION BY b.doc_id ORDER BY place ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM bytes b LEFT JOIN later l ON l.doc_id = b.doc_id AND l.start = b.place
+),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY place), false) AS first FROM marked),
+found AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE first) AS n_spans,
+    string_agg(byte, '' ORDER BY place) FILTER (WHERE NOT gone) AS kept
+  FROM runs GROUP BY doc_id
+)
+SELECT doc_id, len(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN found USING (doc_id)"""
+
+
+ORACLES: dict[str, str] = {"op1_chat": _op1(), "op2_quality": _op2(), "op5_licenses": _op5(), "op8_suffixes": _op8()}
