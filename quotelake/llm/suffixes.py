@@ -135,7 +135,13 @@ class _Segments:
 
 
 def find_anchors(texts: DataFrame, length: int = LENGTH, kmer: int = KMER) -> DataFrame:
-    """``piece, id, version, place`` of the anchors of ``id, version, raw``."""
+    """``piece, id, version, place`` of the anchors of ``id, version, raw``, and for
+    the exchange by piece ``many, lead, salt``.
+
+    The anchors of one batch with one piece know of each other. The first leads:
+    it alone goes to the task that counts the piece, with their number ``many``;
+    the salt deals out the others, however many share a piece.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,13 +151,27 @@ def find_anchors(texts: DataFrame, length: int = LENGTH, kmer: int = KMER) -> Da
             found = [part for row, text in enumerate(batch.column(2)) for part in segments.add(row, text.as_py())]
             found.append(segments.flush())
             rows, place, hashes = (np.concatenate(parts) for parts in zip(*found))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(ids[rows]), pa.array(versions[rows]), pa.array(place)],
-                names=["piece", "id", "version", "place"],
-            )
+            _, first, group, many = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            salt = np.arange(1, len(rows) + 1, dtype=np.int32)
+            salt[first] = 0
+            columns = [hashes.view(np.int64), ids[rows], versions[rows], place, many[group], salt == 0, salt]
+            names = ["piece", "id", "version", "place", "many", "lead", "salt"]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=names)
 
     small_batches(texts.sparkSession, TEXTS_PER_BATCH)
-    return texts.mapInArrow(run, "piece long, id long, version int, place long")
+    return texts.mapInArrow(run, "piece long, id long, version int, place long, many long, lead boolean, salt int")
+
+
+def shared_anchors(texts: DataFrame, length: int, kmer: int, hot: int) -> DataFrame:
+    """``piece, id, version, place, hot`` of the anchors whose piece is met again."""
+    met = F.sum("many").over(Window.partitionBy("piece", "salt"))
+    found = find_anchors(texts, length, kmer).withColumn("met", met).where("met > 1")
+    found = settle(found.select("piece", "id", "version", "place", "lead", "met"), "suffix-anchors")
+    crowded = found.where(F.col("lead") & (F.col("met") > hot)).select("piece").distinct()
+    shared = found.select("piece", "id", "version", "place")
+    if crowded.isEmpty():
+        return shared.withColumn("hot", F.lit(False))
+    return shared.join(crowded.withColumn("hot", F.lit(True)), "piece", "left").fillna(False, ["hot"])
 
 
 class Context(NamedTuple):
@@ -493,10 +513,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, kmer: int = KMER, hot
     """``id, version, start, end`` of repeated bytes of ``id, version, raw``; they overlap."""
     if kmer & (kmer - 1) or kmer > length or length > 250:
         raise ValueError("kmer has to be a power of two, and length from there to 250")
-    found = find_anchors(texts, length, kmer)
-    met = F.count("*").over(Window.partitionBy("piece"))
-    shared = found.withColumn("met", met).where("met > 1")
-    shared = settle(shared.select("piece", "id", "version", "place", (F.col("met") > hot).alias("hot")), "suffix-anchors")
+    shared = shared_anchors(texts, length, kmer, hot)
     ranges = 1 + shared.count() // RANGE_ROWS
     by_text = shared.groupBy("id", "version").agg(
         F.collect_list(F.struct("place", "piece", "hot")).alias("found")
