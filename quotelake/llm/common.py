@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.session import scratch_path
 
+T = TypeVar("T")
+
 # Arrow batches hold whole texts, some of them very long: few rows a batch bound
 # what a Python worker holds at once.
 ROWS_PER_BATCH = 512
 
 
+def once(make: Callable[[], T]) -> Callable[[], T]:
+    """``make`` run when first asked for, and its value from then on.
+
+    Unlike the caches of the standard library this is shipped by value.
+    """
+    kept: list[T] = []
+
+    def get() -> T:
+        if not kept:
+            kept.append(make())
+        return kept[0]
+
+    return get
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

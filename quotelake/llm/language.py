@@ -15,14 +15,13 @@ where documents are held out. Columns but ``doc_id``, ``text``, ``lang`` are unu
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import in_fold, small_batches
+from quotelake.llm.common import in_fold, once, small_batches
 
 DIMENSIONS = 1024
 NGRAM = 3
@@ -39,7 +38,7 @@ KEPT_VECTORS = 40_000
 GROUP = 64
 
 
-@lru_cache(maxsize=1)
+@once
 def _letters() -> np.ndarray:
     """Which code points are letters."""
     return np.array([chr(code).isalpha() for code in range(0x30000)])

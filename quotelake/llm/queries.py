@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import chat, decontaminate, language, licenses, packing, quality, secrets, simhash, suffixes, toxicity
+from quotelake.llm.chat import read_loss, read_turns
 from quotelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +34,8 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         for part in parts:
             rows = []
             for tree, text, runs in zip(part["tree"], part["formatted"], part["loss_runs"]):
-                turns = chat.read_turns(text)
-                loss = "".join(chat.read_loss(text, [(run["skip"], run["learn"]) for run in runs]))
+                turns = read_turns(text)
+                loss = "".join(read_loss(text, [(run["skip"], run["learn"]) for run in runs]))
                 spoken = "".join(f"{role}\n{said}\n" for role, said in turns)
                 rows.append((tree, len(turns), _sha256(spoken), len(loss), _sha256(loss), len(text)))
             yield pd.DataFrame(rows, columns=["conv_id", *(name for name, _ in DIGESTS)]).astype({"conv_id": "Int64"})

@@ -19,7 +19,6 @@ component is null if it has null ids alone. Other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -28,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import components, settle, small_batches
+from quotelake.llm.common import components, once, settle, small_batches
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -85,7 +84,7 @@ def syndromes(words: np.ndarray) -> np.ndarray:
     return rest
 
 
-@lru_cache(maxsize=1)
+@once
 def decoding_table() -> tuple[np.ndarray, np.ndarray]:
     """Error patterns of up to 4 bits by syndrome, lightest first; how many."""
     patterns = [

@@ -24,7 +24,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import in_fold, settle, small_batches
+from quotelake.llm.common import in_fold, once, settle, small_batches
 
 ORDER = 4
 WINDOW = 9
@@ -58,7 +57,7 @@ LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 LOOSE_LETTERS = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 
 
-@lru_cache(maxsize=1)
+@once
 def _letter_codes() -> np.ndarray:
     """Code of each character: a to z 1 to 26, other letters folded above, else 0."""
     codes = np.zeros(0x30000, np.int32)
@@ -72,14 +71,14 @@ def _letter_codes() -> np.ndarray:
     return codes
 
 
-@lru_cache(maxsize=1)
+@once
 def _patterns() -> tuple[np.ndarray, np.ndarray]:
     """Places of the subsequences in a window, and their weights by span."""
     places = np.array(list(combinations(range(WINDOW), ORDER)))
     return places, DECAY ** (places[:, -1] - places[:, 0] + 1.0 - ORDER)
 
 
-@lru_cache(maxsize=1)
+@once
 def _sizes() -> np.ndarray:
     """Norm of a string of different letters, by their number."""
     places, weights = _patterns()
