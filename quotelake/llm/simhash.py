@@ -36,7 +36,8 @@ HASH_SEED = 42
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 # Buckets with more index rows are linked through midpoints instead of pairs.
 BUCKET_ROWS = 2000
-NO_ID = -(1 << 63)
+# Two hashes of id and text tell the documents apart: equal only for repeated rows.
+ROW_KEYS = ("_simhash_row_a", "_simhash_row_b")
 
 # Generator polynomial of the binary Golay code (23, 12), a fixed value.
 GOLAY_POLYNOMIAL = 0b110001110101
@@ -60,20 +61,23 @@ def fingerprint(text: str | None, words_each: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(bits)).tobytes(), "big")
 
 
-def fingerprints(documents: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` with the fingerprint as a signed long, one row per document."""
+def fingerprints(documents: DataFrame, words_each: int = SHINGLE_WORDS, also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` with the fingerprint as a signed long, one row per document.
+
+    The columns ``also``, longs, go along.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t.as_py(), words_each) for t in batch.column(1)]
             signed = np.array(prints, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(signed)], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(signed), *batch.columns[2:]], names=["doc_id", "fp", *also]
             )
 
     small_batches(documents.sparkSession)
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *also)
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in ("doc_id", "fp", *also)))
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -207,6 +211,18 @@ def near_copies(
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every document."""
     prints = settle(fingerprints(documents, words_each), "simhash-prints")
+    groups = _rooted(prints, max_bits, bucket_rows)
+    smallest = groups.groupBy("root").agg(F.min("node").alias("component_id"))
+    named = groups.join(smallest, "root").select("fp", "component_id")
+    return prints.join(named, "fp").select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _rooted(prints: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """``fp, node, root``: each fingerprint, its smallest id and the root of its group."""
     # One node for each distinct fingerprint: its smallest id.
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
     nodes = settle(nodes, "simhash-nodes")
@@ -214,26 +230,34 @@ def near_copies(
     links = close_pairs(nodes.select("fp").repartition(width * 4, "fp"), max_bits, bucket_rows)
     links = settle(links, "simhash-links")
     roots = components(links.select("a", "b"), "simhash")
-    groups = (
+    return (
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "node", F.coalesce("root", "fp").alias("root"))
     )
-    smallest = groups.groupBy("root").agg(F.min("node").alias("component_id"))
-    named = groups.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
 
 
-def one_of_each(documents: DataFrame, **settings: int) -> DataFrame:
-    """The documents without near copies: the smallest id of each group stays once."""
-    groups = near_copies(documents, **settings)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Null ids count as the smallest long, so that one plain key deals out the
-    # texts for both the join and the removal of repeated rows.
-    kept = kept.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_simhash_id")).distinct()
-    keyed = documents.withColumn("_simhash_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    kept = keyed.join(kept, "_simhash_id", "left_semi").dropDuplicates(["_simhash_id"])
-    return kept.select(documents.columns)
+def one_of_each(
+    documents: DataFrame,
+    words_each: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """The documents without near copies: one document of each group stays.
+
+    It is that with the smallest id, a null id being the largest; of several texts
+    with that id in the group it is the one with the smallest hash.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    row = (doc_id.isNull(), doc_id, F.col("text").cast("string"))
+    keys = [F.xxhash64(F.lit(seed), *row) for seed in range(len(ROW_KEYS))]
+    keyed = documents.withColumns(dict(zip(ROW_KEYS, keys)))
+    prints = settle(fingerprints(keyed, words_each, ROW_KEYS), "simhash-prints")
+    # The first document of a fingerprint, then of a group: minima combine before the shuffle.
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEYS)
+    heads = prints.groupBy("fp").agg(F.min(order).alias("head"))
+    heads = heads.join(_rooted(prints, max_bits, bucket_rows), "fp")
+    heads = heads.groupBy("root").agg(F.min("head").alias("head"))
+    kept = heads.select(*[F.col("head")[name].alias(name) for name in ROW_KEYS])
+    # Repeated rows have equal keys: of those one stays.
+    stay = keyed.join(kept, list(ROW_KEYS), "left_semi").dropDuplicates(list(ROW_KEYS))
+    return stay.select(documents.columns)

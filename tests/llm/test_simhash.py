@@ -138,6 +138,24 @@ def test_documents(spark):
     assert set(kept) == heads
 
 
+def test_one_document_of_each_group_not_of_each_id(spark):
+    one, two, three, four = (prose(200 + i, 300) for i in range(4))
+    rows = [(None, one), (None, two), (None, two + " more"), (None, two), (7, three), (7, four), (7, four), (3, four + " more"), (None, three)]
+    prints = {t: brute_fingerprint(t) for _, t in rows}
+    roots = brute_components(prints.values(), 4)
+    assert len(set(roots.values())) == 4
+    stay = [(row.doc_id, row.text) for row in simhash.one_of_each(documents(spark, rows)).collect()]
+    assert sorted(roots[prints[t]] for _, t in stay) == sorted(set(roots.values()))
+    assert set(stay) <= set(rows) and (None, one) in stay and (7, three) in stay and (3, four + " more") in stay
+
+
+def test_unrelated_texts_without_ids_all_stay(spark):
+    texts = [prose(300 + i, 200) for i in range(20)]
+    docs = documents(spark, [(None, t) for t in texts] + [(5, t) for t in texts[:3]])
+    stay = [(row.doc_id, row.text) for row in simhash.one_of_each(docs).collect()]
+    assert sorted(t for _, t in stay) == sorted(texts) and sum(i == 5 for i, _ in stay) == 3
+
+
 def test_empty_table(spark):
     docs = documents(spark, ODD_ROWS).limit(0)
     assert simhash.near_copies(docs).collect() == [] and simhash.one_of_each(docs).collect() == []
