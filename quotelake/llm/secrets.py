@@ -3,7 +3,9 @@ r"""Secrets in plain text and below layers of encoding.
 Each text is a worklist of layers. A layer is scanned with the patterns; URL
 escapes, ``\u``, ``\x`` and ``&#`` escapes, base64 and compressed runs in it give
 further layers, until none is new. A layer whose content was seen at the same
-place of the document ends its branch, so cycles end. Every character of a layer
+place of the document ends its branch, so cycles end. Decoded bytes are a layer
+whatever they hold: UTF-8, or UTF-16 and UTF-32 with a byte order mark, with bad
+bytes replaced; the patterns alone tell secrets from noise. Every character of a layer
 knows the span of the original text that it comes from, and so does each find.
 
 Null and empty texts have no spans. Repeated rows and null ids get a row each;
@@ -17,6 +19,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -147,7 +150,7 @@ def _unpacked(raw: bytes) -> bytes | None:
 
 
 def _readable(raw: bytes) -> str | None:
-    """The text of bytes, through any number of compressed layers."""
+    """The text of bytes, through any number of compressed layers; None for a cycle."""
     seen = set()
     while (plain := _unpacked(raw)) is not None:
         digest = hashlib.sha256(plain).digest()
@@ -155,12 +158,12 @@ def _readable(raw: bytes) -> str | None:
             return None
         seen.add(digest)
         raw = plain
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    printable = text.replace("\n", "").replace("\r", "").replace("\t", "")
-    return text if printable.isprintable() and printable.strip() else None
+    code = "utf-8"
+    if raw.startswith((codecs.BOM_UTF32_LE, codecs.BOM_UTF32_BE)):
+        code = "utf-32"
+    elif raw.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)):
+        code = "utf-16"
+    return raw.decode(code, "replace")
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:

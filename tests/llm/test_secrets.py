@@ -75,6 +75,21 @@ def test_hidden_secrets_are_found_in_place(hide, secret):
     assert masked.startswith(before + secrets.MASK) and masked.endswith(" and after")
 
 
+@pytest.mark.parametrize("odd", ["\u00a0", "\u3000", "\u200b", "\U0001f468\u200d\U0001f469", "\u00ad", "\ufeff", "\u2028", "\f", "\0"])
+@pytest.mark.parametrize("pack", [lambda raw: raw, gzip.compress])
+def test_layers_with_unprintable_characters_are_scanned(odd, pack):
+    hidden = b64(pack(f"{odd}dit-il{odd} {SECRET} fin".encode()))
+    assert [(s.start, s.end) for s in secrets.find_secrets(f"é {hidden} x")[1]] == [(2, 2 + len(hidden))]
+
+
+@pytest.mark.parametrize("code", ["utf-16", "utf-32"])
+def test_layers_with_bad_bytes_and_other_encodings_are_scanned(code):
+    for raw in (b"\xff " + SECRET.encode(), SECRET.encode() + b" \xe9t\xe9", SECRET.encode(code), gzip.compress(SECRET.encode(code))):
+        assert [s.kind for s in secrets.find_secrets(b64(raw))[1]] == [0]
+        docs = secrets.masked(f"a {b64(raw)} b", secrets.find_secrets(f"a {b64(raw)} b")[1])
+        assert docs == f"a {secrets.MASK} b"
+
+
 def test_plain_escapes_map_to_their_characters():
     text = "x pass%77ord%3Dabcdefghijkl%6d y"
     _, found = secrets.find_secrets(text)
