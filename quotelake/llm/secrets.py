@@ -8,6 +8,11 @@ whatever they hold: UTF-8, or UTF-16 and UTF-32 with a byte order mark, with bad
 bytes replaced; the patterns alone tell secrets from noise. Every character of a layer
 knows the span of the original text that it comes from, and so does each find.
 
+Base64 may begin anywhere in a run, which also goes on over line breaks, with
+indents: the run is decoded from each of its first four characters, and unpacked
+wherever a compressed header stands in it. What is only found so has the span of
+the characters that hold it, and is left out inside a find of the whole run.
+
 Null and empty texts have no spans. Repeated rows and null ids get a row each;
 columns other than ``doc_id`` and ``text`` are not looked at. Spans count code
 points, the end is exclusive. A compressed run that grows beyond ``MAX_LAYER``
@@ -24,6 +29,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -52,6 +58,11 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)+")
+RUN_BREAK = re.compile(r"\s+")
+# How gzip, bzip2, xz and zlib data begin in base64.
+PACKED = re.compile(r"(?=H4sI|Qlpo|/Td6WFoA|e[A-P])")
+PACKED_STEPS = (1 << 8, 1 << 16)
 
 
 class Span(NamedTuple):
@@ -132,17 +143,23 @@ def _unescaped(layer: Layer, runs: re.Pattern, decode: Callable[[str], str]) ->
     )
 
 
+def _packer(raw: bytes):  # noqa: ANN202
+    """What decompresses bytes that begin so, None for others."""
+    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0):
+        return zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
 def _unpacked(raw: bytes) -> bytes | None:
     """What a compressed run holds, None for other bytes or too large a result."""
+    packer = _packer(raw)
+    if packer is None:
+        return None
     try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0):
-            packer = zlib.decompressobj(47)
-        elif raw[:3] == b"BZh":
-            packer = bz2.BZ2Decompressor()
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            packer = lzma.LZMADecompressor()
-        else:
-            return None
         plain = packer.decompress(raw, MAX_LAYER)
     except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
         return None
@@ -180,12 +197,125 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             yield Layer(text, *layer.origin(*match.span()))
 
 
+def _decoded(run: str) -> bytes:
+    """Bytes of a run of the usual alphabet; an end of one character holds none."""
+    run = run[:-1] if len(run) % 4 == 1 else run
+    return base64.b64decode(run + "=" * (-len(run) % 4))
+
+
+def _unpacked_at(run: str, at: int) -> tuple[bytes, int] | None:
+    """What the data compressed from there holds, and the end of its characters.
+
+    Decoded in steps that grow, so that a header by chance costs a short one. It
+    is one by chance as well if gzip has no data after the longest step: a file
+    name of 48 KB.
+    """
+    packer = _packer(_decoded(run[at : at + 8]))
+    if packer is None:
+        return None
+    pieces, size, fed = [], 0, 0
+    low, (step, longest) = at, PACKED_STEPS
+    while low < len(run):
+        raw = _decoded(run[low : low + step])
+        low, step = low + step, min(4 * step, longest)
+        try:
+            plain = packer.decompress(raw, MAX_LAYER - size)
+        except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
+            return None
+        pieces.append(plain)
+        size += len(plain)
+        fed += len(raw)
+        if packer.eof:
+            used = fed - len(packer.unused_data)
+            return b"".join(pieces), min(len(run), at + -(-used * 8 // 6))
+        if size >= MAX_LAYER or (not size and low - at > longest and run[at] in "He"):
+            return None
+    return None
+
+
+def _shifted(layer: Layer) -> Iterator[Layer]:
+    """Layers of base64 that does not fill one run of one line."""
+    runs = [(m[0].rstrip("="), m.start(), False) for m in BASE64_RUN.finditer(layer.text)]
+    if "\n" in layer.text:
+        wrapped = [(m[0], m.start(), True) for m in WRAPPED_RUN.finditer(layer.text)]
+        ends = [start + len(run) for run, start, _ in wrapped]
+        # A run of one line is part of the wrapped run that covers it.
+        starts = [start for _, start, _ in wrapped]
+        runs = [r for r in runs if not (at := bisect_right(starts, r[1])) or ends[at - 1] <= r[1]] + wrapped
+    for found, start, wrapped in runs:
+        if wrapped:
+            run = RUN_BREAK.sub("", found)
+            if len(run) < 16:
+                continue
+            places = np.concatenate([np.arange(m.start(), m.end()) for m in re.finditer(r"\S+", found)]) + start
+        else:
+            run, places = found, None
+        run = run.replace("-", "+").replace("_", "/")
+
+        def origin(first: np.ndarray, last: np.ndarray) -> tuple:
+            """Spans in the original of the characters from first to last, each."""
+            first, last = (first + start, last + start) if places is None else (places[first], places[last])
+            if layer.starts is None:
+                return first, last + 1
+            if isinstance(layer.starts, int):
+                return layer.starts, layer.ends
+            return layer.starts[first], layer.ends[last]
+
+        for shift in range(4):
+            raw = np.frombuffer(_decoded(run[shift:]), np.uint8)
+            if not shift and not wrapped and raw.all():
+                continue  # the run as a whole is this layer
+            # Without the zeros of UTF-16 and UTF-32; only ASCII is in secrets and runs.
+            kept = np.flatnonzero(raw)
+            text = raw[kept].tobytes().decode("latin-1")
+            if any(sign.search(text) for sign in SIGNS):
+                bits = kept * 8
+                yield Layer(text, *origin(shift + bits // 6, shift + (bits + 7) // 6))
+        for match in PACKED.finditer(run):
+            at = match.start()
+            unpacked = None if at == 0 and not wrapped else _unpacked_at(run, at)
+            text = _readable(unpacked[0]) if unpacked else None
+            if text:
+                low, high = origin(np.array([at]), np.array([unpacked[1] - 1]))
+                whole = (low, high) if isinstance(low, int) else (int(low[0]), int(high[0]))
+                yield Layer(text, *whole)
+
+
+# What makes a layer worth a place for each of its characters.
+SIGNS = (ASSIGN, ACCESS, HEX, BASE64_RUN, WRAPPED_RUN, URL_RUN, ESCAPE_RUN)
+
+
 def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
     """The base finds, and all finds with those of decoded layers."""
     base = base_spans(text)
     found = set(base)
-    work = _below(Layer(text))
     seen = set()
+    whole = [Layer(text)]
+    _search(_below(whole[0]), seen, found, whole)
+    # What is found in parts of runs counts where whole runs show nothing.
+    parts: set[Span] = set()
+    work = [part for layer in whole for part in _shifted(layer)]
+    while work:
+        layers: list[Layer] = []
+        _search(work, seen, parts, layers)
+        work = [part for layer in layers for part in _shifted(layer)]
+    return base, sorted(found | _outside(parts, found))
+
+
+def _outside(parts: set[Span], found: set[Span]) -> set[Span]:
+    """The parts that are inside no find of their kind, nor inside another part."""
+    kept: set[Span] = set()
+    reach = dict.fromkeys(range(len(KINDS)), -1)
+    order = [(s.start, -s.end, 0, s) for s in found] + [(s.start, -s.end, 1, s) for s in parts]
+    for _, end, part, span in sorted(order):
+        if part and span.end > reach[span.kind]:
+            kept.add(span)
+        reach[span.kind] = max(reach[span.kind], -end)
+    return kept
+
+
+def _search(work: list[Layer], seen: set, found: set[Span], layers: list[Layer]) -> None:
+    """Adds the finds in the layers and all below them, and the layers not seen before."""
     while work:
         layer = work.pop()
         digest = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest()
@@ -195,8 +325,8 @@ def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
         for span in base_spans(layer.text):
             start, end = layer.origin(span.start, span.end)
             found.add(Span(start, span.kind, end))
+        layers.append(layer)
         work += _below(layer)
-    return base, sorted(found)
 
 
 def _below(layer: Layer) -> list[Layer]:

@@ -90,6 +90,50 @@ def test_layers_with_bad_bytes_and_other_encodings_are_scanned(code):
         assert docs == f"a {secrets.MASK} b"
 
 
+def wrapped(raw, columns, end="\n"):
+    flat = b64(raw)
+    return end.join(flat[at : at + columns] for at in range(0, len(flat), columns))
+
+
+@pytest.mark.parametrize("pack", [lambda raw: raw, gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+@pytest.mark.parametrize("columns, end", [(76, "\n"), (64, "\r\n"), (40, "\n    "), (10, "\n")])
+@pytest.mark.parametrize("before", ["x: ", "key\n", "see ab/c_d\n"])
+def test_wrapped_base64(pack, columns, end, before):
+    plain = "".join(random.Random(9).choices("ghijklmn \n", k=300)) + f" é {SECRET} " + prose(4, 60)
+    hidden = wrapped(pack(plain.encode()), columns, end)
+    text = f"{before}{hidden}\n\nafter"
+    found = secrets.find_secrets(text)[1]
+    assert found and {s.kind for s in found} == {0}
+    assert all(len(before) <= s.start < s.end <= len(before) + len(hidden) for s in found)
+    assert secrets.MASK in secrets.masked(text, found)
+
+
+def test_wrapped_base64_of_the_base64_module():
+    hidden = base64.encodebytes(gzip.compress((prose(3, 400) + SECRET).encode())).decode()
+    found = secrets.find_secrets(f"a {hidden} b")[1]
+    assert [s.kind for s in found] == [0] and found[0].start == 2
+
+
+@pytest.mark.parametrize("before", ["https://x.io/cb/", "https://x.io/c/", "id_", "id-a-", "a/", "ab/", "abc/", "é abcdefgh/abcdefgh/ab/"])
+@pytest.mark.parametrize("hide", [b64, lambda s: b64(s).rstrip("="), lambda s: b64(gzip.compress(s.encode())), lambda s: b64(zlib.compress(s.encode())), lambda s: b64(b64(s)), lambda s: b64(s.encode("utf-16"))])
+def test_base64_after_a_path_or_prefix(before, hide):
+    hidden = hide(f"~~ {SECRET} {ACCESS} ~~")
+    text = f"{before}{hidden} after"
+    found = secrets.find_secrets(text)[1]
+    assert {s.kind for s in found} == {0, 1}
+    assert secrets.masked(text, found).endswith(" after")
+    start = text.index(hidden)
+    run = max(map(text[:start].rfind, " .:")) + 1
+    assert all(run <= s.start < s.end <= start + len(hidden) for s in found)
+
+
+def test_long_runs_of_chance_headers_end():
+    pick = random.Random(2)
+    noise = "".join(pick.choice("eJxH4sIQlpo/Ab") for _ in range(200_000))
+    assert secrets.find_secrets(noise)[1] == []
+    assert secrets.find_secrets("\n".join(noise[at : at + 76] for at in range(0, len(noise), 76)))[1] == []
+
+
 def test_plain_escapes_map_to_their_characters():
     text = "x pass%77ord%3Dabcdefghijkl%6d y"
     _, found = secrets.find_secrets(text)
