@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,18 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> Iterator[None]:
+    """Jobs that run inside have Arrow batches of so many rows; the session's own size comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: cuts lineage, survives executors."""
     path = scratch_path(df.sparkSession, label)

@@ -194,4 +194,45 @@ SELECT doc_id, len(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
 FROM docs LEFT JOIN found USING (doc_id)"""
 
 
-ORACLES: dict[str, str] = {"op1_chat": _op1(), "op2_quality": _op2(), "op5_licenses": _op5(), "op8_suffixes": _op8()}
+def _op11(min_docs: int = 3, scale: int = 1_000_000_000, top: int = 200) -> str:
+    """Every source, kept term and other source by itself: counts of 0 have rows here."""
+    capitals = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    f = "CAST((({p} - {q}) * ({p} - {q})) // {q} AS HUGEINT)"
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}') AS text
+  FROM documents
+),
+found AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT row) >= {min_docs}),
+langs AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS terms FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM found JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + ({scale}::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.terms) AS p,
+    1 + ({scale}::HUGEINT * (k.n + 1)) // (l.total + l.terms) AS q
+  FROM totals g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum({f.format(p="a.p", q="b.p")}) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+),
+all_pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM all_pairs
+  UNION ALL
+  SELECT lang, source, 'term' AS part, term AS item, {f.format(p="p", q="q")} AS value FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= {top}"""
+
+
+ORACLES: dict[str, str] = {"op1_chat": _op1(), "op2_quality": _op2(), "op5_licenses": _op5(), "op8_suffixes": _op8(), "op11_divergence": _op11()}

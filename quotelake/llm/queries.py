@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import chat, decontaminate, language, licenses, packing, quality, secrets, simhash, suffixes, toxicity
+from quotelake.llm import chat, decontaminate, divergence, language, licenses, packing, quality, runs, secrets, simhash, suffixes, toxicity
 from quotelake.llm.chat import read_loss, read_turns
 from quotelake.llm.common import table
 
@@ -110,6 +110,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+# Words of a text, and those of the text made periodic from a word on.
+WORDS = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+PLANTED = f"""transform(array({WORDS}), ws -> CASE WHEN size(ws) = 0 THEN '' ELSE array_join(transform(
+    sequence(0, size(ws) - 1),
+    i -> element_at(ws, CAST(1 + CASE WHEN i < g % size(ws) THEN i
+      ELSE g % size(ws) + (i - g % size(ws)) % (1 + (size(ws) - g % size(ws)) div (3 + g % 8)) END AS INT))), ' ') END)[0]"""
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # A null id counts as an empty decimal.
+    docs = docs.withColumn("h", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+    docs = docs.withColumn("g", F.expr("h div 10"))
+    found = runs.find_runs(docs.select("doc_id", F.expr(f"CASE WHEN h % 10 = 0 THEN {PLANTED} ELSE text END").alias("text")))
+    kind = "struct<start: bigint, length: bigint, period: bigint>"
+    longer = "b IS NULL OR r.length * b.period > b.length * r.period"
+    best = F.expr(f"aggregate(runs, CAST(NULL AS {kind}), (b, r) -> CASE WHEN {longer} THEN r ELSE b END)")
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(listed).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat": op1_chat,
     "op2_quality": op2_quality,
@@ -121,4 +154,6 @@ QUERIES: dict[str, Query] = {
     "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_simhash": op10_simhash,
+    "op11_divergence": op11_divergence,
+    "op12_runs": op12_runs,
 }
