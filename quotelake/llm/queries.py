@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quotelake.llm import chat, decontaminate, divergence, language, licenses, packing, quality, runs, secrets, simhash, suffixes, toxicity
+from quotelake.llm import chat, decontaminate, divergence, language, licenses, packing, quality, runs, secrets, simhash, suffixes, tokenfiles, toxicity
 from quotelake.llm.chat import read_loss, read_turns
-from quotelake.llm.common import table
+from quotelake.llm.common import settle, table
+from quotelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,6 +144,18 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_path(spark, 'tokens')}/files"
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    listed = settle(tokenfiles.list_documents(spark, path), "tokens-read")
+    # One row a file; files are in the order of their tasks.
+    files = listed.groupBy("part", "number").agg(F.sum("n_tokens").alias("size"))
+    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    files = files.select("part", "number", (F.sum("size").over(before) - F.col("size")).alias("before"))
+    start = (F.col("before") + F.col("offset")).alias("start")
+    return listed.join(files, ["part", "number"]).select("doc_id", start, "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat": op1_chat,
     "op2_quality": op2_quality,
@@ -156,4 +169,5 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
     "op11_divergence": op11_divergence,
     "op12_runs": op12_runs,
+    "op13_tokens": op13_tokens,
 }
