@@ -33,6 +33,7 @@ folder without documents. Columns but ``doc_id`` and ``text`` are not looked at.
 from __future__ import annotations
 
 import io
+import json
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -40,27 +41,31 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from quotelake.llm.common import batches_of
 
 END_TOKEN = 2
 # Ids of one frame, bytes of one file and of one task's text.
 FRAME_IDS = 1 << 18
-FILE_BYTES = 64_000_000
-TASK_BYTES = 128_000_000
+FILE_BYTES = 32_000_000
+TASK_BYTES = 64_000_000
 # Texts are encoded together up to so many bytes; a longer one goes in pieces.
 GROUP_BYTES = 8_000_000
 # What a row counts besides its text.
 ROW_BYTES = 64
 # A worker forgets the pieces it knows beyond so many; so many are encoded as one text.
-KEPT_PIECES = 2_000_000
+KEPT_PIECES = 1_500_000
 JOINED = 1000
+# Texts of joined pieces that are with the tokenizer at a time.
+TEXTS = 32
 
 # Fixed values of the seekable format, and the mark of a directory.
 DIRECTORY_MAGIC = 0x184D2A50
@@ -71,13 +76,8 @@ HEAD = "<8sIII"
 MARK = b"tokenid1"
 
 
-def _blanks() -> np.ndarray:
-    blank = np.zeros(256, bool)
-    blank[[9, 10, 11, 12, 13, 32]] = True
-    return blank
-
-
-BLANK = _blanks()
+BLANKS = b"\t\n\v\f\r "
+BLANK = np.isin(np.arange(256), list(BLANKS))
 
 
 def sure_cuts(data: np.ndarray) -> np.ndarray:
@@ -124,46 +124,68 @@ def _utf8(text: bytes) -> bytes:
         return text.decode("utf-8", "replace").encode("utf-8")
 
 
+def _uncached(path: str) -> Tokenizer:
+    """The tokenizer of a file without the cache of its model, as no piece comes twice."""
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    with open(path, encoding="utf-8") as handle:
+        model = json.load(handle)["model"]
+    if model.pop("type", "BPE") == "BPE":
+        merges = [tuple(merge.split(" ")) if isinstance(merge, str) else tuple(merge) for merge in model.pop("merges")]
+        tokenizer.model = BPE(model.pop("vocab"), merges, cache_capacity=0, **{k: v for k, v in model.items() if v is not None})
+    return tokenizer
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer; pieces met before are not encoded again."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = _uncached(path)
         names = self.tokenizer.get_vocab()
         # A name has one character for each byte of its token.
-        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int32)
         self.bytes_of[list(names.values())] = [len(name) for name in names]
         self._restart()
 
     def _restart(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.low, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        whole = self.tokenizer.encode_batch_fast([text.decode("utf-8") for text in texts], add_special_tokens=False)
-        return [np.array(each.ids, np.uint32) for each in whole]
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Pieces that begin with a blank and end in a letter or sign go together: the
-        lengths of the tokens tell where each ends."""
-        plain, odd = [], []
-        for piece in new:
-            (plain if piece[0] in b"\t\n\v\f\r " and 0x20 < piece[-1] < 0x7F else odd).append(piece)
+        self.known = pa.array([], pa.binary())
+        self.low, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """The places that new pieces get.
+
+        Pieces that begin with a blank and certainly end in none go together: the
+        lengths of the tokens tell where each ends.
+        """
+        plain, odd, places = [], [], np.zeros(len(new), np.int64)
+        for at, piece in enumerate(new):
+            if piece[0] in BLANKS and (0x20 < piece[-1] < 0x7F or 0xC3 <= piece[-2 % len(piece)] < 0xE0):
+                plain.append(piece)
+            else:
+                places[at] = 1
+                odd.append(piece)
+        places = len(self.known) + np.where(places > 0, len(plain) + np.cumsum(places) - 1, np.arange(len(new)) - np.cumsum(places))
         texts = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)] + [[piece] for piece in odd]
-        low, flat, sizes = len(self.flat), [self.flat], [self.size]
-        for held, ids in zip(texts, self._encode([b"".join(held) for held in texts])):
-            ends = np.cumsum([len(piece) for piece in held])
-            after = np.cumsum(self.bytes_of[ids])
-            through = np.searchsorted(after, ends, "right")
-            if not (after[through - 1] == ends).all():
-                raise ValueError("the tokenizer joined pieces of text that its pattern keeps apart")
-            sizes.append(np.diff(through, prepend=0))
-            flat.append(ids)
-        self.known.update(zip(plain + odd, range(len(self.known), len(self.known) + len(new))))
+        flat, sizes, held = [self.flat], [self.size], len(self.flat)
+        for at in range(0, len(texts), TEXTS):
+            some = texts[at : at + TEXTS]
+            whole = [b"".join(pieces).decode("utf-8") for pieces in some]
+            for pieces, encoding in zip(some, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+                ids = np.array(encoding.ids, np.uint32)
+                flat.append(ids)
+                if len(pieces) == 1:
+                    sizes.append(np.array([len(ids)], np.int32))
+                    continue
+                ends, after = np.cumsum([*map(len, pieces)]), np.cumsum(self.bytes_of[ids])
+                through = np.searchsorted(after, ends, "right")
+                if not (after[through - 1] == ends).all():
+                    raise ValueError("the tokenizer joined pieces of text that its pattern keeps apart")
+                sizes.append(np.diff(through, prepend=0).astype(np.int32))
+        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.binary())])
+        added = np.concatenate(sizes[1:]).astype(np.int64)
+        self.low = np.concatenate([self.low, held + np.cumsum(added) - added])
         self.size, self.flat = np.concatenate(sizes), np.concatenate(flat)
-        new_sizes = self.size[len(self.low) :]
-        self.low = np.concatenate([self.low, low + np.cumsum(new_sizes) - new_sizes])
+        return places
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text (valid UTF-8), without the end token."""
@@ -175,22 +197,21 @@ class Encoder:
         first = np.zeros(len(data) + 1, bool)
         first[sure_cuts(data)] = True
         first[begin] = True
-        edges = np.flatnonzero(first)
-        pieces = pa.BinaryArray.from_buffers(
-            pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(raw)]
-        ).dictionary_encode()
-        names = pieces.dictionary.to_pylist()
-        rows = [self.known.get(name, -1) for name in names]
-        new = [name for name, row in zip(names, rows) if row < 0]
-        if new:
-            self._learn(new)
-            rows = [self.known[name] for name in names]
-        row = np.array(rows, np.int64)[pieces.indices.to_numpy(zero_copy_only=False)]
+        edges = np.flatnonzero(first).astype(np.int32)
+        pieces = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+        pieces = pieces.dictionary_encode()
+        found = pa.compute.index_in(pieces.dictionary, self.known)
+        rows = found.fill_null(-1).to_numpy().astype(np.int64)
+        if found.null_count:
+            rows[rows < 0] = self._learn(pieces.dictionary.filter(found.is_null()).to_pylist())
+        row = rows[pieces.indices.to_numpy()]
         sizes = self.size[row]
-        after = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.low[row] - after + sizes, sizes) + np.arange(after[-1] if len(after) else 0)]
+        after = np.cumsum(sizes, dtype=np.int64)
+        ids = np.arange(after[-1] if len(after) else 0)
+        ids += np.repeat(self.low[row] - after + sizes, sizes)
+        ids = self.flat[ids]
         # Pieces end with their text.
-        bounds = np.concatenate([[0], after])[np.searchsorted(edges, begin)]
+        bounds = np.append(0, after)[np.searchsorted(edges, begin)]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
