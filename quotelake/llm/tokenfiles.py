@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -55,17 +56,17 @@ from quotelake.llm.common import batches_of
 END_TOKEN = 2
 # Ids of one frame, bytes of one file and of one task's text.
 FRAME_IDS = 1 << 18
-FILE_BYTES = 32_000_000
+FILE_BYTES = 16_000_000
 TASK_BYTES = 64_000_000
 # Texts are encoded together up to so many bytes; a longer one goes in pieces.
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 4_000_000
 # What a row counts besides its text.
 ROW_BYTES = 64
 # A worker forgets the pieces it knows beyond so many; so many are encoded as one text.
 KEPT_PIECES = 1_500_000
 JOINED = 1000
 # Texts of joined pieces that are with the tokenizer at a time.
-TEXTS = 32
+TEXTS = 16
 
 # Fixed values of the seekable format, and the mark of a directory.
 DIRECTORY_MAGIC = 0x184D2A50
@@ -322,7 +323,11 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_token: int
     tasks = 1 + total // TASK_BYTES
     order = [F.asc_nulls_first("doc_id"), F.asc("place")]
 
+    def whole(file: FileBuilder) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([file.content()], pa.binary())], names=["file"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         encoder, part, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
         file = FileBuilder(part, number)
         for group in _groups(batches):
@@ -332,11 +337,14 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_token: int
                     continue
                 file.end_document(doc_id)
                 if file.size >= FILE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([file.content()], pa.binary())], names=["file"])
+                    yield whole(file)
                     number += 1
                     file = FileBuilder(part, number)
+                    give_back()
         if file.documents:
-            yield pa.RecordBatch.from_arrays([pa.array([file.content()], pa.binary())], names=["file"])
+            yield whole(file)
+        del encoder, file
+        give_back()
 
     with batches_of(documents.sparkSession):
         dealt = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "text")
@@ -346,6 +354,12 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_token: int
         files.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", ending).text(path)
 
 
+def give_back() -> None:
+    """Return what was freed to the machine: a worker stays for other tasks."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 Piece = tuple[int | None, bytes, bool]
 
 
@@ -393,6 +407,7 @@ def list_documents(spark: SparkSession, path: str) -> DataFrame:
                     pa.array(many[:, 1]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "number", "doc_id", "offset", "n_tokens", "ids_crc32"])
+                give_back()
 
     return _files(spark, path).mapInArrow(run, "part long, number long, doc_id long, offset long, n_tokens long, ids_crc32 long")
 
