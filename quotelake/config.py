@@ -39,8 +39,11 @@ class LakeConfig:
     max_lag_minutes: int = 20000
     # None leaves the session's own number of shuffle partitions in place.
     shuffle_partitions: int | None = None
-    # "replace" makes a second run a no-op; "append" adds the rows again.
+    # "replace" makes a second run a no-op; "append" adds the rows again; "delta"
+    # keeps gold by what changes, and is for a lake from its first run on.
     gold_write: str = "replace"
+    # Folders of coins below a day of quotes that are kept by deltas.
+    delta_buckets: int = 16
     reject_nan: bool = False
     # Backfills: deduplicate this many days per job, None for all in one job.
     days_per_job: int | None = None
@@ -59,9 +62,9 @@ class LakeConfig:
     def __post_init__(self) -> None:
         if not self.root:
             raise ValueError("a lake needs a root path")
-        if self.gold_write not in ("replace", "append"):
-            raise ValueError(f"gold_write is 'replace' or 'append', not {self.gold_write!r}")
-        for name in ("days_per_job", "records_per_file", "files_per_batch", "serve_seconds"):
+        if self.gold_write not in ("replace", "append", "delta"):
+            raise ValueError(f"gold_write is 'replace', 'append' or 'delta', not {self.gold_write!r}")
+        for name in ("delta_buckets", "days_per_job", "records_per_file", "files_per_batch", "serve_seconds"):
             value = getattr(self, name)
             if value is not None and value < 1:
                 raise ValueError(f"{name} is at least 1")
@@ -112,6 +115,21 @@ class LakeConfig:
         """Latest rows of the days the last micro-batch touched."""
         return self.path("staging/silver_latest")
 
+    @property
+    def daily_state(self) -> str:
+        """What daily metrics that are kept by deltas are made of."""
+        return self.path("state/gold_daily")
+
+    @property
+    def changes_staging(self) -> str:
+        """New quotes of the last batch, ranked against those there were."""
+        return self.path("staging/gold_changes")
+
+    @property
+    def state_staging(self) -> str:
+        """Daily state of the days the last batch touched."""
+        return self.path("staging/gold_state")
+
     @property
     def quarantine(self) -> str:
         return self.path("quarantine/bronze")
@@ -153,6 +171,7 @@ class LakeConfig:
             "VS_CURRENCY": ("vs_currency", str),
             "GOLD_DAYS_PER_JOB": ("days_per_job", int),
             "GOLD_WRITE": ("gold_write", str),
+            "GOLD_DELTA_BUCKETS": ("delta_buckets", int),
             "GOLD_REJECT_NAN": ("reject_nan", _flag),
             "KAFKA_BOOTSTRAP_SERVERS": ("servers", str),
             "SERVE_SECONDS": ("serve_seconds", int),

@@ -18,6 +18,15 @@ from quotelake.operators.days import (
     last_day,
     touched_days,
 )
+from quotelake.operators.deltas import (
+    added,
+    coin_bucket,
+    daily_changes,
+    daily_state,
+    merge_state,
+    rank_changes,
+    state_metrics,
+)
 from quotelake.operators.events import count_by_run, filter_ids, keyed_json, pages_to_events
 from quotelake.operators.latest import (
     current_snapshot,
@@ -40,11 +49,15 @@ from quotelake.operators.quality import (
 
 __all__ = [
     "QualityError",
+    "added",
     "clean_events",
+    "coin_bucket",
     "count_by_run",
     "current_snapshot",
     "cut_ranges",
+    "daily_changes",
     "daily_metrics",
+    "daily_state",
     "day_ranges",
     "dedup_quotes",
     "enforce_contract",
@@ -56,6 +69,7 @@ __all__ = [
     "keyed_json",
     "last_day",
     "latest_per_day",
+    "merge_state",
     "missing_columns",
     "pages_to_events",
     "parse_events",
@@ -64,7 +78,9 @@ __all__ = [
     "quality_report",
     "quality_summary",
     "quarantined_events",
+    "rank_changes",
     "ranked_page",
+    "state_metrics",
     "sum_metrics",
     "tag_events",
     "touched_days",

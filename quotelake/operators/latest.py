@@ -22,6 +22,15 @@ LINEAGE_ORDER = ("ingestion_time", "ingestion_run_id", "source_file")
 SORTED_LIMIT_ROWS = 10_000
 
 
+def ranking_order(names: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """All columns but the keys, greatest first: ``order``, lineage, then as in silver."""
+    lineage = [c for c in LINEAGE_ORDER if c in names]
+    known = [c for c in SILVER_SCHEMA.fieldNames() if c in names]
+    others = sorted(c for c in names if c not in known)
+    columns = [c for c in dict.fromkeys((*order, *lineage, *known, *others)) if c not in keys]
+    return [F.col(c).desc_nulls_last() for c in columns]
+
+
 def keep_latest(quotes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row per key that is greatest in ``order``, nulls last.
 
@@ -29,11 +38,7 @@ def keep_latest(quotes: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     order of the silver table: a task that runs again after a loss picks the same
     row, and so does every query that drops columns only afterwards.
     """
-    lineage = [c for c in LINEAGE_ORDER if c in quotes.columns]
-    known = [c for c in SILVER_SCHEMA.fieldNames() if c in quotes.columns]
-    others = sorted(c for c in quotes.columns if c not in known)
-    columns = [c for c in dict.fromkeys((*order, *lineage, *known, *others)) if c not in keys]
-    ranking = W.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in columns])
+    ranking = W.partitionBy(*keys).orderBy(*ranking_order(quotes.columns, keys, order))
     return (
         quotes.withColumn("_rank", F.row_number().over(ranking))
         .where(F.col("_rank") == 1)

@@ -103,9 +103,13 @@ def check_quotes(
         summary["lag_minutes"] = spark.range(1).select(lag_minutes(newest, as_of)).first()[0]
     else:
         # Freshness is a property of the whole history, also when only old days
-        # are touched; its newest event lies on the last touched day or later.
-        newest = read_table(spark, config.history).where(F.col("dt") >= F.lit(last_day(days)))
-        summary.update(freshness(newest, as_of=as_of).first().asDict())
+        # are touched; its newest event lies on the last touched day or later,
+        # unless no row of the given days or a later one is there.
+        history = read_table(spark, config.history)
+        later = freshness(history.where(F.col("dt") >= F.lit(last_day(days))), as_of=as_of).first()
+        if later["newest_event_time"] is None:
+            later = freshness(history, as_of=as_of).first()
+        summary.update(later.asDict())
     reasons = quality_failures(summary, config.max_lag_minutes)
     if reasons:
         raise QualityError(reasons)
@@ -148,5 +152,7 @@ def build_gold(
     """
     if days is not None and not days:
         return
+    if config.gold_write == "delta":
+        raise ValueError("gold of this lake is kept by deltas: update_gold takes in what is new")
     publish_quotes(spark, config, days=None if days is None else day_ranges(days), as_of=as_of)
     build_snapshot(spark, config)

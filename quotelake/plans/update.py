@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import ast
-import re
-
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -20,25 +17,26 @@ def update_gold(spark: SparkSession, config: LakeConfig, *, as_of: Column | None
 
     With nothing new, nothing is written. The first run takes all days.
     """
-    if finish(start_gold(spark, config, available_now=True, as_of=as_of)):
+    failures: list[QualityError] = []
+    if finish(start_gold(spark, config, available_now=True, as_of=as_of, failures=failures), failures):
         build_snapshot(spark, config)
 
 
 def update_serving(spark: SparkSession, config: LakeConfig, *, as_of: Column | None = None) -> None:
     """``update_gold``, and the latest rows of the touched days before."""
-    finish(start_serving(spark, config, available_now=True, as_of=as_of))
+    failures: list[QualityError] = []
+    finish(start_serving(spark, config, available_now=True, as_of=as_of, failures=failures), failures)
 
 
-def finish(query: StreamingQuery) -> bool:
+def finish(query: StreamingQuery, failures: list[QualityError]) -> bool:
     """Wait for a run over what is there; whether it took anything in.
 
-    A failed check is raised as the ``QualityError`` it was.
+    A failed check, which the run left in ``failures``, is raised as itself.
     """
     try:
         query.awaitTermination()
     except StreamingQueryException as failure:
-        reasons = re.search(r"quality checks failed: (\[.*?\])", str(failure))
-        if reasons:
-            raise QualityError(ast.literal_eval(reasons[1])) from failure
+        if failures:
+            raise failures[-1] from failure
         raise
     return any(progress["numInputRows"] for progress in query.recentProgress)

@@ -1,6 +1,6 @@
 """Writers of lake tables, raw files and topics."""
 
-from quotelake.sinks.tables import append_days, cluster_by_day, replace_days, replace_table
+from quotelake.sinks.tables import append_days, cluster_by_day, replace_days, replace_folders, replace_table
 from quotelake.sinks.topic import publish_stream, publish_topic
 
 __all__ = [
@@ -9,5 +9,6 @@ __all__ = [
     "publish_stream",
     "publish_topic",
     "replace_days",
+    "replace_folders",
     "replace_table",
 ]

@@ -27,6 +27,15 @@ def replace_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     writer.partitionBy("dt").parquet(path)
 
 
+def replace_folders(table: DataFrame, path: str, *below: str, all_of_it: bool = False) -> None:
+    """Replace the folders by day and ``below`` that occur in ``table``; others stay,
+    unless it is ``all_of_it``."""
+    rows = table.hint("rebalance", "dt", *below)
+    mode = "static" if all_of_it else "dynamic"
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy("dt", *below).parquet(path)
+
+
 def replace_table(
     table: DataFrame, path: str, *, by_day: bool = False, cluster: bool = True
 ) -> None:

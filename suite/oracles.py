@@ -326,6 +326,7 @@ SELECT {_BRONZE} FROM raw""",
     "stream_silver_history": _events(_CLEAN),
     "stream_silver_latest": _events(_latest(_READABLE)),
     "stream_gold_daily": _daily(_READABLE),
+    "stream_gold_delta": _daily(_READABLE),
     "flow_events": f"""WITH {_EVENTS}, {_page_event("'2024-02-15T00:00:00.000000+00:00'", "'run'")}
 SELECT {_KEY} AS key, {_VALUE} AS value FROM raw""",
     "flow_silver": _events(_latest(_READABLE)),

@@ -7,6 +7,7 @@ scratch path and return what they read back from it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -465,6 +466,16 @@ def stream_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
 
 
+def stream_gold_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily metrics of two deliveries, the second late for every day, by deltas."""
+    lake = replace(_lake(spark, "gold-delta"), gold_write="delta", delta_buckets=2)
+    for _half in _by_halves(spark, sf_dir, lake):
+        events = stream_events(spark, lake.bronze)
+        start_history(events, lake, available_now=True).awaitTermination()
+        start_gold(spark, lake, available_now=True).awaitTermination()
+    return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
+
+
 # Whole runs
 
 
@@ -600,6 +611,7 @@ QUERIES: dict[str, Query] = {
         stream_silver_history,
         stream_silver_latest,
         stream_gold_daily,
+        stream_gold_delta,
         flow_events,
         flow_silver,
         flow_gold,
