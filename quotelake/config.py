@@ -130,6 +130,16 @@ class LakeConfig:
         """Daily state of the days the last batch touched."""
         return self.path("staging/gold_state")
 
+    @property
+    def snapshot_staging(self) -> str:
+        """The snapshot after the last batch of its stream."""
+        return self.path("staging/gold_snapshot")
+
+    @property
+    def compacted(self) -> str:
+        """History files that stand for many small ones, and the list of those."""
+        return self.path("compacted/history")
+
     @property
     def quarantine(self) -> str:
         return self.path("quarantine/bronze")

@@ -22,13 +22,17 @@ LINEAGE_ORDER = ("ingestion_time", "ingestion_run_id", "source_file")
 SORTED_LIMIT_ROWS = 10_000
 
 
-def ranking_order(names: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> list[Column]:
-    """All columns but the keys, greatest first: ``order``, lineage, then as in silver."""
+def ranking_order_names(names: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """All columns but the keys: ``order``, lineage, then as in silver."""
     lineage = [c for c in LINEAGE_ORDER if c in names]
     known = [c for c in SILVER_SCHEMA.fieldNames() if c in names]
     others = sorted(c for c in names if c not in known)
-    columns = [c for c in dict.fromkeys((*order, *lineage, *known, *others)) if c not in keys]
-    return [F.col(c).desc_nulls_last() for c in columns]
+    return [c for c in dict.fromkeys((*order, *lineage, *known, *others)) if c not in keys]
+
+
+def ranking_order(names: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """``ranking_order_names``, the greatest first."""
+    return [F.col(c).desc_nulls_last() for c in ranking_order_names(names, keys, order)]
 
 
 def keep_latest(quotes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Whole runs over what a lake holds now."""
 
+from quotelake.plans.compact import compact_history, read_history
 from quotelake.plans.gold import build_gold, build_snapshot, publish_quotes, stage_quotes
 from quotelake.plans.lake import build_lake
 from quotelake.plans.silver import build_silver
@@ -10,7 +11,9 @@ __all__ = [
     "build_lake",
     "build_silver",
     "build_snapshot",
+    "compact_history",
     "publish_quotes",
+    "read_history",
     "stage_quotes",
     "update_gold",
     "update_serving",

@@ -37,6 +37,7 @@ from quotelake.operators import (
     touched_days,
 )
 from quotelake.operators.days import DayRange
+from quotelake.plans.compact import is_packed, read_history
 from quotelake.schemas import GOLD_QUOTES_SCHEMA
 from quotelake.session import shuffle_partitions
 from quotelake.sinks import append_days, cluster_by_day, replace_days, replace_table
@@ -74,7 +75,8 @@ def stage_quotes(
             wanted[0] = wanted[0] | F.col("dt").isNull()
         parts = [history.where(condition) for condition in wanted]
     else:
-        parts = [in_days(history, days)]
+        packed = is_packed(spark, config)
+        parts = [read_history(spark, config, days) if packed else in_days(history, days)]
     metrics = []
     for number, part in enumerate(parts):
         seen = Observation()

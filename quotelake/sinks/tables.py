@@ -27,6 +27,40 @@ def replace_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     writer.partitionBy("dt").parquet(path)
 
 
+def append_days_for_lookup(
+    table: DataFrame, path: str, *, column: str = "coin_id", distinct: int = 100_000, group_bytes: int | None = None
+) -> None:
+    """Add rows so that a few values of ``column`` are found without reading their days whole.
+
+    Rows of a day lie sorted by the column, and each row group has a Bloom filter for
+    about ``distinct`` values: a filter on the column skips row groups by their bounds,
+    and those that lie within the bounds but lack the value by the Bloom filter.
+    """
+    rows = cluster_by_day(table).sortWithinPartitions("dt", column)
+    writer = rows.write.mode("append").partitionBy("dt")
+    writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct))
+    # A dictionary would stand in for the filter, until it grows too large and is dropped.
+    writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
+    if group_bytes:
+        writer = writer.option("parquet.block.size", str(group_bytes))
+        # Row groups are cut where this many rows are looked at.
+        writer = writer.option("parquet.page.size.row.check.min", "10")
+    writer.parquet(path)
+
+
+def save_bucketed(table: DataFrame, name: str, path: str, *, buckets: int, keys: tuple[str, ...] = ("coin_id",)) -> DataFrame:
+    """A table of the session's catalog, in ``buckets`` by the keys and sorted by them.
+
+    Rankings, aggregates and joins by the keys, or by more columns with them, need no
+    shuffle: each bucket is one task's. Choose so many buckets that one fits a task;
+    rows of one key are in one bucket, so this is for keys of like size.
+    """
+    rows = table.repartition(buckets, *keys)
+    rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(name)
+    return table.sparkSession.table(name)
+
+
 def replace_folders(table: DataFrame, path: str, *below: str, all_of_it: bool = False) -> None:
     """Replace the folders by day and ``below`` that occur in ``table``; others stay,
     unless it is ``all_of_it``."""

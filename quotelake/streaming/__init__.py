@@ -16,12 +16,14 @@ from quotelake.streaming.silver import (
     start_latest,
     start_quarantine,
 )
+from quotelake.streaming.snapshot import snapshot_rows, start_snapshot
 
 __all__ = [
     "landed_records",
     "poll_events",
     "refresh_latest",
     "rejected_records",
+    "snapshot_rows",
     "start_gold",
     "start_history",
     "start_lake",
@@ -31,4 +33,5 @@ __all__ = [
     "start_quarantine",
     "start_rejects",
     "start_serving",
+    "start_snapshot",
 ]

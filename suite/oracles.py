@@ -327,6 +327,12 @@ SELECT {_BRONZE} FROM raw""",
     "stream_silver_latest": _events(_latest(_READABLE)),
     "stream_gold_daily": _daily(_READABLE),
     "stream_gold_delta": _daily(_READABLE),
+    "stream_snapshot_state": _events(_first(_SNAPSHOT, "events_view", "coin_id", _BY_TIME, _READABLE)),
+    "src_parquet_lookup": f"""WITH {_LINES}
+SELECT {_SILVER} FROM lines_view WHERE coin_id IN ('7', '21', '133', 'no such part')""",
+    "dedup_quotes_bucketed": f"WITH {_LINES} "
+    + _first(_SILVER, "lines_view", _DEDUP_KEYS, "ingestion_run_id DESC"),
+    "compact_history": _events(f"SELECT {_SILVER}, CAST(1 AS BIGINT) AS files_per_day FROM events_view"),
     "flow_events": f"""WITH {_EVENTS}, {_page_event("'2024-02-15T00:00:00.000000+00:00'", "'run'")}
 SELECT {_KEY} AS key, {_VALUE} AS value FROM raw""",
     "flow_silver": _events(_latest(_READABLE)),

@@ -6,6 +6,7 @@ scratch path and return what they read back from it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timezone
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake import operators as ops
+from quotelake import plans
 from quotelake.config import LakeConfig
 from quotelake.functions import record_key, utc_literal
 from quotelake.plans import build_gold, build_lake, build_silver
+from quotelake.plans.compact import live_files
 from quotelake.plans.gold import gold_quotes
 from quotelake.schemas import (
     BRONZE_SCHEMA,
@@ -28,7 +31,7 @@ from quotelake.schemas import (
     SILVER_SCHEMA,
 )
 from quotelake.session import scratch_path
-from quotelake.sinks import append_days, replace_days, replace_table
+from quotelake.sinks import append_days, append_days_for_lookup, replace_days, replace_table, save_bucketed
 from quotelake.sources import (
     decode_events,
     read_events,
@@ -43,6 +46,7 @@ from quotelake.streaming import (
     start_landing,
     start_latest,
     start_polls,
+    start_snapshot,
 )
 from suite import tables as t
 
@@ -52,6 +56,7 @@ AS_OF = datetime(2024, 2, 15, tzinfo=timezone.utc)
 MAX_LAG_MINUTES = 20000
 SPLIT_DAY = date(2024, 1, 16)
 LISTED_IDS = ["click", "purchase"]
+LISTED_PARTS = ["7", "21", "133", "no such part"]
 
 # Silver columns whose values are the same in every run.
 SILVER_VALUES = [
@@ -476,6 +481,46 @@ def stream_gold_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
 
 
+def stream_snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row per coin of two deliveries, from the state of a stream."""
+    lake = _lake(spark, "snapshot-state")
+    for _half in _by_halves(spark, sf_dir, lake):
+        events = stream_events(spark, lake.bronze)
+        start_history(events, lake, available_now=True).awaitTermination()
+        start_snapshot(spark, lake, available_now=True).awaitTermination()
+    columns = [c for c in SILVER_VALUES if c != "dt"]
+    return t.comparable(read_table(spark, lake.snapshot).select(*columns))
+
+
+def src_parquet_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quotes of a few parts, from days that are laid out for it."""
+    path = scratch_path(spark, "lookup") + "/history"
+    append_days_for_lookup(_silver(t.line_quotes(spark, sf_dir)), path)
+    quotes = read_table(spark, path, SILVER_SCHEMA)
+    return _values(quotes.where(F.col("coin_id").isin(*LISTED_PARTS)))
+
+
+def dedup_quotes_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplication without a shuffle, from a table in buckets by coin."""
+    path = scratch_path(spark, "bucketed")
+    name = f"history_{uuid.uuid4().hex}"
+    quotes = _silver(t.line_quotes(spark, sf_dir))
+    return _values(ops.dedup_quotes(save_bucketed(quotes, name, f"{path}/history", buckets=8)))
+
+
+def compact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row once after two compactions, with a delivery between them; and how many
+    files there are left for a day at most."""
+    lake = _lake(spark, "compact")
+    quotes = _silver(t.event_quotes(spark, sf_dir))
+    for half in range(2):
+        append_days(quotes.where(F.hour("last_updated_ts") % 2 == half).repartition(4), lake.history, cluster=False)
+        plans.compact_history(spark, lake)
+    rows = _values(plans.read_history(spark, lake))
+    files = live_files(spark, lake).groupBy("dt").count().agg(F.max("count").alias("files_per_day"))
+    return rows.withColumn("files_per_day", F.lit(files.first()[0]))
+
+
 # Whole runs
 
 
@@ -612,6 +657,10 @@ QUERIES: dict[str, Query] = {
         stream_silver_latest,
         stream_gold_daily,
         stream_gold_delta,
+        stream_snapshot_state,
+        src_parquet_lookup,
+        dedup_quotes_bucketed,
+        compact_history,
         flow_events,
         flow_silver,
         flow_gold,
