@@ -159,7 +159,7 @@ def find_anchors(texts: DataFrame, length: int = LENGTH, kmer: int = KMER) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=names)
 
     small_batches(texts.sparkSession, TEXTS_PER_BATCH)
-    return texts.mapInArrow(run, "piece long, id long, version int, place long, many long, lead boolean, salt int")
+    return texts.mapInArrow(run, "piece long, id long, version long, place long, many long, lead boolean, salt int")
 
 
 def shared_anchors(texts: DataFrame, length: int, kmer: int, hot: int) -> DataFrame:
@@ -453,7 +453,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], ranges: int, length: int, kme
             for low in range(0, len(place), RUN_ROWS):
                 cut = slice(low, low + RUN_ROWS)
                 keys = context_keys(text, place[cut], pieces[cut], length, kmer)
-                ids, versions = np.full(len(keys), doc_id, np.int64), np.full(len(keys), version, np.int32)
+                ids, versions = np.full(len(keys), doc_id, np.int64), np.full(len(keys), version, np.int64)
                 parts.append(Context(keys, ids, versions, place[cut].astype(np.int64)))
                 hot.append(pieces[cut][is_hot[cut]])
                 held += len(keys)
@@ -504,7 +504,7 @@ def merge_range(table: pa.Table, length: int, kmer: int) -> pa.Table:
         one, two, ids, versions, starts = (np.concatenate(parts) for parts in zip(*strings))
         later = _first_of_each(one, two, _ranks(ids, starts))[1]
         found.append((ids[later], versions[later], starts[later], starts[later] + length))
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
     merged = [np.concatenate(parts) for parts in zip(*found)] if found else [()] * 4
     return pa.table([pa.array(c, k) for c, k in zip(merged, kinds)], names=["id", "version", "start", "end"])
 
@@ -515,8 +515,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, kmer: int = KMER, hot
         raise ValueError("kmer has to be a power of two, and length from there to 250")
     shared = shared_anchors(texts, length, kmer, hot)
     ranges = 1 + shared.count() // RANGE_ROWS
+    # Repeated rows have the same anchors: a set holds them once, however many rows there are.
     by_text = shared.groupBy("id", "version").agg(
-        F.collect_list(F.struct("place", "piece", "hot")).alias("found")
+        F.collect_set(F.struct("place", "piece", "hot")).alias("found")
     )
     joined = texts.join(by_text, ["id", "version"]).select("id", "version", "raw", "found")
     runs = make_runs(joined, ranges, length, kmer)
@@ -524,7 +525,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, kmer: int = KMER, hot
     def merge(table: pa.Table) -> pa.Table:
         return merge_range(table, length, kmer)
 
-    return runs.groupBy("range").applyInArrow(merge, "id long, version int, start long, end long")
+    return runs.groupBy("range").applyInArrow(merge, "id long, version long, start long, end long")
 
 
 def cut_out(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -546,9 +547,11 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, kmer: int = KMER,
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     doc_id = F.col("doc_id").cast("long")
     # The same three columns in both joins by text: it is exchanged once for both.
-    texts = documents.select(F.coalesce(doc_id, F.lit(FIRST_ID)).alias("id"), F.hash(raw).alias("version"), raw.alias("raw"))
+    # A null id comes first, as the least one does; the version's last bit tells them apart.
+    version = F.xxhash64(raw, F.octet_length(raw)).bitwiseAND(F.lit(~1)).bitwiseOR(doc_id.isNull().cast("long"))
+    texts = documents.select(F.coalesce(doc_id, F.lit(FIRST_ID)).alias("id"), version.alias("version"), raw.alias("raw"))
     spans = repeated_spans(texts, length, kmer, hot)
-    by_text = spans.groupBy("id", "version").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    by_text = spans.groupBy("id", "version").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -568,6 +571,6 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, kmer: int = KMER,
             )
 
     named = texts.join(by_text, ["id", "version"], "left").select(
-        F.nullif("id", F.lit(FIRST_ID)).alias("doc_id"), "raw", "spans"
+        F.when(F.col("version") % 2 == 0, F.col("id")).alias("doc_id"), "raw", "spans"
     )
     return named.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_spans long")

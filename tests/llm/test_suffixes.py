@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quotelake.llm import suffixes
 from tests.llm.helpers import ODD_ROWS, documents, prose
@@ -101,3 +103,28 @@ def test_every_string_holds_an_anchor_by_its_content():
         mine = {p - start for p in place.tolist() if start <= p <= start + 24}
         theirs = {p - 33 + 100 - start for p in again.tolist() if start <= p - 33 + 100 <= start + 24}
         assert mine & theirs
+
+
+def test_texts_without_ids_whose_short_hashes_clash(spark):
+    """Texts of different length with one 32-bit hash keep their own anchors and spans."""
+    many = spark.range(200_000).select(F.concat(F.lit("text "), F.repeat(F.lit("ab "), (F.col("id") % 7 + 1).cast("int")), "id").alias("text"))
+    clash = many.groupBy(F.hash(F.col("text").cast("binary"))).agg(F.collect_list("text").alias("texts")).where("size(texts) > 1")
+    pair = max((row.texts[:2] for row in clash.collect()), key=lambda texts: abs(len(texts[0]) - len(texts[1])))
+    assert len(pair[0]) != len(pair[1])
+    rows = [(None, text) for text in pair] + [(None, pair[0]), (1, pair[1]), (-(2**63), pair[0])]
+    got = suffixes.remove_repeats(documents(spark, rows), 8, 4).collect()
+    assert sorted((row.n_bytes for row in got), reverse=True) == sorted((len(text) for _, text in rows), reverse=True)
+    assert {row.doc_id for row in got} == {None, 1, -(2**63)}
+    assert {row.doc_id: bytes(row.kept) for row in got}[1] == b""
+
+
+def test_repeats_of_one_row_cost_as_little_as_rows_of_their_own(spark):
+    text = prose(3, 300)
+    seconds = []
+    for rows in ([(at, text) for at in range(600)], [(1, text)] * 600):
+        df = documents(spark, rows)
+        begin = time.perf_counter()
+        got = suffixes.remove_repeats(df).collect()
+        seconds.append(time.perf_counter() - begin)
+        assert len(got) == 600
+    assert seconds[1] < 2 * seconds[0] + 2
