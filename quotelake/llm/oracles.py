@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quotelake.llm import quality, suffixes
 from quotelake.llm.chat import TURN_END, TURN_START
-from quotelake.llm.licenses import COPYRIGHT_LINE, KNOWN_TEXTS, SPELLINGS
+from quotelake.llm.licenses import COPYRIGHT_LINE, SPELLINGS, with_titles
 from quotelake.llm.queries import HOSTILE
 
 
@@ -35,7 +35,7 @@ def _op5() -> str:
     plain = "lower(coalesce(text, ''))"
     for other, usual in SPELLINGS:
         plain = f"replace({plain}, {_quoted(other)}, {_quoted(usual)})"
-    known = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN_TEXTS.items())
+    known = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in with_titles())
 
     def lines(key: str, table: str) -> str:
         return f"""
@@ -126,7 +126,7 @@ plain AS (
 totals AS (SELECT lang, count(*) AS total FROM plain GROUP BY lang HAVING count(*) >= {quality.REFERENCE_WORDS}),
 top AS (
   SELECT lang, word AS name, count(*) AS n FROM plain SEMI JOIN totals USING (lang)
-  WHERE strlen(word) <= {quality.COMMON_BYTES} AND regexp_matches(word, '[a-z]|[^\\x00-\\x7F]')
+  WHERE regexp_matches(word, '[a-z]|[^\\x00-\\x7F]')
   GROUP BY lang, word
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) <= {quality.COMMON_WORDS}
 ),

@@ -41,10 +41,10 @@ MIN_COMMON_WORDS = 50
 MAX_WORD_DISTANCE, WORD_NOISE = 0.2, 1.5
 
 COMMON_WORDS = 30
-COMMON_BYTES = 6
+# A language with so many words has a reference, of some 40 rows on the driver.
 REFERENCE_WORDS = 10_000
-# References reach the driver: 40 short rows for each of at most so many languages.
-MAX_LANGUAGES = 1000
+# A task hands its counts on when it holds so many words.
+HELD_WORDS = 500_000
 
 CLASSES = ("lower", "upper", "digit", "space", "line", "punctuation", "symbol", "other")
 
@@ -127,6 +127,16 @@ class Reference:
 def histograms(documents: DataFrame) -> DataFrame:
     """``lang, kind, name, n`` over all documents: classes, words, their total."""
 
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*rows), (pa.string(),) * 3 + (pa.int64(),))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in columns], names=["lang", "kind", "name", "n"])
+
+    def counted(words: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, counter in words.items():
+            rows = [(lang, "word", w.decode("utf-8", "replace"), n) for w, n in counter.items() if _has_letter(w)]
+            for at in range(0, len(rows), 50_000):
+                yield sent(rows[at : at + 50_000])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = defaultdict(lambda: np.zeros(len(CLASSES) + 1, np.int64))
         words: dict[str, Counter] = defaultdict(Counter)
@@ -138,15 +148,15 @@ def histograms(documents: DataFrame) -> DataFrame:
                 classes[lang] += np.bincount(BYTE_CLASSES, weights=counts).astype(np.int64)
                 common = common_form(raw)
                 totals[lang] += len(common)
-                words[lang].update(word for word in common if len(word) <= COMMON_BYTES)
+                words[lang].update(common)
+            if sum(map(len, words.values())) > HELD_WORDS:
+                yield from counted(words)
+                words.clear()
         rows = [(lang, "class", name, int(n)) for lang, all_n in classes.items() for name, n in zip(CLASSES, all_n)]
         rows += [(lang, "total", "", n) for lang, n in totals.items()]
-        for lang, counter in words.items():
-            rows += [(lang, "word", w.decode("utf-8", "replace"), n) for w, n in counter.items() if _has_letter(w)]
-        names = ["lang", "kind", "name", "n"]
         if rows:
-            arrays = [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.string(),) * 3 + (pa.int64(),))]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield sent(rows)
+        yield from counted(words)
 
     small_batches(documents.sparkSession)
     rows = documents.where("lang is not null").select(
@@ -165,7 +175,7 @@ def language_references(documents: DataFrame) -> dict[str, Reference]:
     """References of the languages with enough words, by name."""
     counts = histograms(documents)
     large = counts.where((F.col("kind") == "total") & (F.col("n") >= REFERENCE_WORDS))
-    large = large.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).select("lang", F.col("n").alias("total"))
+    large = large.select("lang", F.col("n").alias("total"))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "name")
     top = counts.where("kind <> 'total'").withColumn("place", F.row_number().over(order))
     top = top.where(F.col("place") <= COMMON_WORDS).join(large, "lang")
@@ -264,4 +274,4 @@ def good_documents(documents: DataFrame, references: dict[str, Reference] | None
 
     small_batches(documents.sparkSession)
     text = F.col("text").cast("string").cast("binary")
-    return documents.where(kept(F.coalesce(text, F.lit(b"")), F.coalesce(F.col("lang").cast("string"), F.lit(""))))
+    return documents.where(kept(F.coalesce(text, F.lit(b"")), F.col("lang").cast("string")))

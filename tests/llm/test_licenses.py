@@ -61,3 +61,15 @@ def test_no_python_on_the_main_path(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = licenses.scan_licenses(rows, licenses.known_licenses(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_whole_licence_files_with_their_titles(spark):
+    rows, wanted = [], {}
+    for name, titles in licenses.TITLES.items():
+        for title in (*titles, ""):
+            at = len(rows)
+            wanted[at] = name
+            rows.append((at, f"{title}\n\nCopyright (c) 2021 Some Holder\n\n{licenses.KNOWN_TEXTS[name]}\n"))
+    got = scan(spark, rows)
+    assert {at: row.license_id for at, row in got.items()} == wanted
+    assert scan(spark, [(1, "MIT License")])[1].license_id is None

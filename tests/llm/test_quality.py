@@ -92,3 +92,31 @@ def test_low_quality_labels_are_told(spark, sf_dir):
     good = [row.kept for row in rows if row.quality == 1]
     bad = [row.kept for row in rows if row.quality == 0]
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.2
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрстуф", "กขคงจฉชซดตถทนบปผพมยร", "的一是不了在人有我他这个们中来上大为和国"])
+def test_noise_of_other_scripts_is_told_from_prose(spark, letters):
+    pick = random.Random(5)
+    words = ["".join(pick.choice(letters) for _ in range(pick.randint(4, 9))) for _ in range(60)]
+    shares = [1 / (at + 1) for at in range(len(words))]
+    rows = [(at, " ".join(pick.choices(words, shares, k=120)), "xx") for at in range(120)]
+    rows += [(500 + at, " ".join("".join(pick.choice(letters) for _ in range(5)) for _ in range(120)), "xx") for at in range(3)]
+    got = {row.doc_id: row for row in quality.score_quality(documents(spark, rows)).collect()}
+    assert all(got[500 + at].word_distance > 0.5 and not got[500 + at].kept for at in range(3))
+    assert sum(got[at].kept for at in range(120)) > 115
+
+
+def test_counts_handed_on_early_are_the_same(spark, monkeypatch):
+    docs = documents(spark, [(at, prose(at, 50), "en") for at in range(40)])
+    whole = sorted(map(tuple, quality.histograms(docs).collect()))
+    monkeypatch.setattr(quality, "HELD_WORDS", 3)
+    assert sorted(map(tuple, quality.histograms(docs).collect())) == whole
+
+
+def test_stage_and_query_treat_a_null_language_alike(spark, monkeypatch):
+    monkeypatch.setattr(quality, "REFERENCE_WORDS", 100)
+    rows = [(at, "one two three four " * 20, "") for at in range(20)] + [(100 + at, prose(at, 80), "en") for at in range(40)]
+    rows += [(200, prose(99, 80), None)]
+    docs = documents(spark, rows)
+    kept = {row.doc_id for row in quality.score_quality(docs).collect() if row.kept}
+    assert {row.doc_id for row in quality.good_documents(docs).collect()} == kept and 200 in kept
