@@ -29,8 +29,8 @@ SEED = 20260
 UNKNOWN = "und"
 # A prototype bundles about so many documents, chosen by a hash of their ids.
 TRAIN_PER_LANGUAGE = 2000
-# Prototypes reach the driver; only so many of the most frequent names are learned.
-MAX_LANGUAGES = 500
+# Names of fewer training documents are not learned: the driver holds a prototype each.
+LEAST_DOCUMENTS = 2
 # Texts are worked through in pieces, so that a long one needs no large arrays.
 PIECE = 1 << 20
 # Vectors of so many n-grams are kept by a worker before it starts anew.
@@ -41,7 +41,7 @@ GROUP = 64
 @once
 def _letters() -> np.ndarray:
     """Which code points are letters."""
-    return np.array([chr(code).isalpha() for code in range(0x30000)])
+    return np.array([chr(code).isalpha() for code in range(0x110000)])
 
 
 def _codes(text: str, before: np.ndarray) -> np.ndarray:
@@ -143,8 +143,7 @@ def training_share(documents: DataFrame, learn: object, per_language: int = TRAI
     """Share of each language's training documents that a prototype bundles."""
     rows = documents.where(learn & F.col("lang").isNotNull())
     sizes = rows.groupBy(F.col("lang").cast("string").alias("lang")).count()
-    top = sizes.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    return {row.lang: min(1.0, per_language / row["count"]) for row in top}
+    return {row.lang: min(1.0, per_language / row["count"]) for row in sizes.where(F.col("count") >= LEAST_DOCUMENTS).collect()}
 
 
 def prototypes(documents: DataFrame, learn: object, per_language: int = TRAIN_PER_LANGUAGE) -> dict[str, np.ndarray]:
@@ -154,7 +153,8 @@ def prototypes(documents: DataFrame, learn: object, per_language: int = TRAIN_PE
         return {}
     pairs = [F.lit(x) for name, share in shares.items() for x in (name, int(share * 1_000_000))]
     lang = F.col("lang").cast("string")
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), F.lit(1_000_000))
+    # By the text as well: ids may be null or equal.
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.lit(SEED)), F.lit(1_000_000))
     chosen = documents.where(learn & (draw < F.create_map(*pairs)[lang]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

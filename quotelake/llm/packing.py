@@ -36,6 +36,8 @@ END_TOKEN = 2
 SHARD_BYTES = 12_000_000
 # One task's share of the text; the tasks grow in number with the table.
 TASK_BYTES = 128_000_000
+# What a row costs besides its text: very many empty texts are a load as well.
+ROW_BYTES = 256
 QUERY_WORDS = 32
 K1, B = 1.2, 0.75
 LONG_WORD = 10
@@ -366,9 +368,11 @@ def signature(text: Column) -> Column:
 def deal_out(documents: DataFrame) -> DataFrame:
     """``doc_id, text`` (binary) dealt into tasks of like documents, like size."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    draw = F.pmod(F.xxhash64("doc_id", F.length("text"), F.lit(7)), F.lit(SIGNATURE_SAMPLE))
-    sample = rows.where(draw == 0).select(signature(F.col("text")).alias("sign"), F.octet_length("text").alias("bytes"))
+    # Null and equal ids tell no rows apart: their places in the table do.
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    draw = F.pmod(F.xxhash64("doc_id", "row", F.lit(7)), F.lit(SIGNATURE_SAMPLE))
+    cost = F.octet_length("text") + ROW_BYTES
+    sample = rows.where(draw == 0).select(signature(F.col("text")).alias("sign"), cost.alias("bytes"))
     sizes = settle(sample.groupBy("sign").agg(F.sum("bytes").alias("bytes")), "packing-signatures")
     total = (sizes.agg(F.sum("bytes")).first()[0] or 0) * SIGNATURE_SAMPLE
     tasks = max(1, rows.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
@@ -376,9 +380,9 @@ def deal_out(documents: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("bytes") * (4 * SIGNATURE_SAMPLE / TASK_BYTES)).alias("parts")
     hot = F.broadcast(sizes.select("sign", parts).where("parts > 1"))
     signed = rows.withColumn("sign", signature(F.col("text"))).join(hot, "sign", "left")
-    spread = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
+    spread = F.pmod(F.xxhash64("doc_id", "row"), F.coalesce("parts", F.lit(1)))
     dealt = signed.withColumn("spread", spread).repartition(tasks, "sign", "spread")
-    return dealt.sortWithinPartitions("sign", "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"))
+    return dealt.sortWithinPartitions("sign", "doc_id", "row").select("doc_id", F.col("text").cast("binary").alias("text"))
 
 
 def pack_documents(documents: DataFrame, tokenizer_path: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -400,7 +404,7 @@ def pack_documents(documents: DataFrame, tokenizer_path: str, shard_bytes: int =
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids.append(doc_id)
                 texts.append(text.as_py())
-                held += len(texts[-1]) + 1
+                held += len(texts[-1]) + ROW_BYTES
                 if held >= shard_bytes:
                     yield table(list(packer.pack(Shard(texts, tokens), ids)))
                     ids, texts, held = [], [], 0

@@ -57,3 +57,21 @@ def test_pieces_of_a_long_text_count_as_one(monkeypatch):
     monkeypatch.setattr(language, "PIECE", 7)
     parts = language.ngram_counts(text)
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+
+
+def test_many_null_or_equal_ids_are_learned_and_all_letters_count(spark):
+    rows = [(None, "the cat sat on the mat", "en")] * 40 + [(None, f"the dog {at} sat down", "en") for at in range(40)]
+    rows += [(7, f"der Hund {at} und die Katze", "de") for at in range(40)]
+    rows += [(at, "".join(map(chr, range(0x30000 + at, 0x30020 + at))), "zz") for at in range(100, 120)]
+    docs = documents(spark, rows)
+    models = language.prototypes(docs, F.lit(True), per_language=30)
+    assert set(models) == {"en", "de", "zz"}
+    got = language.identify(docs, models).collect()
+    assert all(row.lang_pred == "zz" for row in got if row.doc_id is not None and row.doc_id >= 100)
+
+
+def test_rare_languages_are_learned_however_many_there_are(spark):
+    pick = [chr(0x4E00 + at) for at in range(1400)]
+    rows = [(at, " ".join(pick[2 * (at // 3) : 2 * (at // 3) + 2]) * 3, f"l{at // 3:03}") for at in range(1800)]
+    models = language.prototypes(documents(spark, rows, clash=False), F.lit(True))
+    assert len(models) == 600

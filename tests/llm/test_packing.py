@@ -8,6 +8,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from quotelake.llm import packing
 from tests.llm.helpers import ODD_ROWS, documents, prose
 
@@ -102,3 +104,11 @@ def test_words_that_share_a_hash_are_told_apart():
     words = packing.find_words(buffer)
     first, term = packing._told_apart(buffer, words)
     assert term.tolist() == [0, 1, 0, 2] and first.tolist() == [0, 1, 3]
+
+
+def test_null_ids_and_empty_texts_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_BYTES", 40_000)
+    for rows in ([(None, "the same long wordings here " * 4)] * 3000, [(None, "")] * 6000):
+        dealt = packing.deal_out(documents(spark, rows, clash=False).repartition(4)).groupBy(F.spark_partition_id()).count().collect()
+        sizes = [row["count"] for row in dealt]
+        assert sum(sizes) == len(rows) and len(sizes) > 8 and max(sizes) < len(rows) / 4
