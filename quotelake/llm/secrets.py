@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from quotelake.llm.common import small_batches
 
 MAX_LAYER = 64 << 20
+# Compressed bytes are fed in steps, so that damage costs the step it lies in.
+STEP = 1 << 16
 MASK = "[SECRET]"
 
 # Fixed patterns of the base scan, in their order of kinds.
@@ -155,15 +157,31 @@ def _packer(raw: bytes):  # noqa: ANN202
 
 
 def _unpacked(raw: bytes) -> bytes | None:
-    """What a compressed run holds, None for other bytes or too large a result."""
-    packer = _packer(raw)
-    if packer is None:
-        return None
-    try:
-        plain = packer.decompress(raw, MAX_LAYER)
-    except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
-        return None
-    return plain if packer.eof and plain else None
+    """What a compressed run holds, None for other bytes.
+
+    Members that follow each other are one text. A run that is cut short or damaged
+    gives what decodes, and one that grows beyond ``MAX_LAYER`` nothing.
+    """
+    pieces, room = [], MAX_LAYER
+    while room > 0 and (packer := _packer(raw)) is not None:
+        at = 0
+        try:
+            while at < len(raw) and not packer.eof and room > 0:
+                plain = packer.decompress(raw[at : at + STEP], room)
+                at += STEP
+                # What did not fit is asked for again with no more input.
+                while plain:
+                    pieces.append(plain)
+                    room -= len(plain)
+                    more = getattr(packer, "unconsumed_tail", b"")
+                    waiting = more or not getattr(packer, "needs_input", True)
+                    plain = packer.decompress(more, room) if room > 0 and waiting and not packer.eof else b""
+        except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
+            break
+        if not packer.eof:
+            break
+        raw = packer.unused_data + raw[at:]
+    return b"".join(pieces) or None if room > 0 else None
 
 
 def _readable(raw: bytes) -> str | None:
@@ -226,11 +244,16 @@ def _unpacked_at(run: str, at: int) -> tuple[bytes, int] | None:
         size += len(plain)
         fed += len(raw)
         if packer.eof:
+            rest = packer.unused_data + (_decoded(run[low:]) if _packer(packer.unused_data + _decoded(run[low : low + 8])) else b"")
+            # Members that follow need not begin where characters do.
+            if (more := _unpacked(rest)) is not None:
+                return b"".join([*pieces, more]), len(run)
             used = fed - len(packer.unused_data)
             return b"".join(pieces), min(len(run), at + -(-used * 8 // 6))
         if size >= MAX_LAYER or (not size and low - at > longest and run[at] in "He"):
             return None
-    return None
+    # Cut short: what decoded so far.
+    return (b"".join(pieces), len(run)) if size else None
 
 
 def _shifted(layer: Layer) -> Iterator[Layer]:

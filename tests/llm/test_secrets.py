@@ -166,3 +166,22 @@ def test_rows(spark):
     masked = secrets.mask_secrets(docs)
     assert masked.columns == docs.columns
     assert [row.text for row in masked.orderBy("doc_id").collect()] == [None, prose(2, 50), f'a {secrets.MASK} b {secrets.MASK}"']
+
+
+HIDDEN = "password=abcdef123456789"
+
+
+@pytest.mark.parametrize("lead", ["", "x", "some prose before it "])
+def test_later_members_and_cut_short_runs_are_scanned(spark, lead):
+    def packed(*texts: str) -> bytes:
+        return b"".join(gzip.compress(text.encode(), mtime=0) for text in texts)
+
+    whole = base64.b64encode(packed("first part " * 3, HIDDEN + " of the second")).decode()
+    pick = random.Random(3)
+    noise = "".join(pick.choice("abcdefghij klm") for _ in range(4000))
+    cut = base64.b64encode(packed(f"{HIDDEN} {noise}")).decode()
+    cut = cut[: len(cut) // 8 * 4]
+    rows = [(1, f"{lead}{whole} after"), (2, f"{lead}{cut} after"), (3, f"{lead}{base64.b64encode(packed('nothing', 'here')).decode()} after")]
+    got = {row.doc_id: row.spans for row in secrets.scan_secrets(documents(spark, rows)).collect()}
+    kinds = {key: {span["kind"] for span in spans} for key, spans in got.items()}
+    assert "assign" in kinds[1] and "assign" in kinds[2] and "assign" not in kinds[3]
