@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quotelake.llm.common import settle, small_batches
+from quotelake.llm.common import give_back, settle, small_batches
 
 WINDOW = 4096
 END_TOKEN = 2
@@ -408,8 +408,11 @@ def pack_documents(documents: DataFrame, tokenizer_path: str, shard_bytes: int =
                 if held >= shard_bytes:
                     yield table(list(packer.pack(Shard(texts, tokens), ids)))
                     ids, texts, held = [], [], 0
+                    give_back()
         last = list(packer.pack(Shard(texts, tokens), ids)) if texts else []
         yield table(last + list(packer.finish()))
+        del tokens, packer, texts, last
+        give_back()
 
     small_batches(documents.sparkSession)
     return deal_out(documents).mapInArrow(run, ", ".join(f"{name} long" for name in Piece._fields))

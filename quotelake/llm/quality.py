@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotelake.llm.common import small_batches
+from quotelake.llm.common import give_back, small_batches
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -44,7 +44,7 @@ COMMON_WORDS = 30
 # A language with so many words has a reference, of some 40 rows on the driver.
 REFERENCE_WORDS = 10_000
 # A task hands its counts on when it holds so many words.
-HELD_WORDS = 500_000
+HELD_WORDS = 150_000
 
 CLASSES = ("lower", "upper", "digit", "space", "line", "punctuation", "symbol", "other")
 
@@ -152,11 +152,14 @@ def histograms(documents: DataFrame) -> DataFrame:
             if sum(map(len, words.values())) > HELD_WORDS:
                 yield from counted(words)
                 words.clear()
+                give_back()
         rows = [(lang, "class", name, int(n)) for lang, all_n in classes.items() for name, n in zip(CLASSES, all_n)]
         rows += [(lang, "total", "", n) for lang, n in totals.items()]
         if rows:
             yield sent(rows)
         yield from counted(words)
+        words.clear()
+        give_back()
 
     small_batches(documents.sparkSession)
     rows = documents.where("lang is not null").select(

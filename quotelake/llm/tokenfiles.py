@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-from quotelake.llm.common import batches_of
+from quotelake.llm.common import batches_of, give_back
 
 END_TOKEN = 2
 # Ids of one frame, bytes of one file and of one task's text.
@@ -354,12 +354,6 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_token: int
         files.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", ending).text(path)
 
 
-def give_back() -> None:
-    """Return what was freed to the machine: a worker stays for other tasks."""
-    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
-        pool.release_unused()
-
-
 Piece = tuple[int | None, bytes, bool]
 
 
