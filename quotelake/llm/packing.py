@@ -2,9 +2,12 @@
 
 Documents are dealt into shards by a lexical signature, the least hash of their
 long words, so that like documents tend to meet. Each shard has a BM25 inverted
-index. A window starts with a seed document, whose most telling words are the query;
-the unused neighbours fill the window in the order of their scores, the best that
-fit first, and the last is cut. What is left of it seeds the next window.
+index. A window starts with a seed document, all of whose words are the query; the
+unused neighbours fill the window in the order of their scores, and the one that does
+not fit any more is cut. What is left of it seeds the next window.
+
+Words of an eighth of a shard's documents or more have a dense row of their scores
+instead of postings: adding rows costs less than adding up long postings.
 
 A shard holds at most ``SHARD_BYTES`` of text (or one longer document), whatever
 share of the rows has one signature: hot signatures are spread by a hash of the id,
@@ -38,7 +41,10 @@ SHARD_BYTES = 12_000_000
 TASK_BYTES = 128_000_000
 # What a row costs besides its text: very many empty texts are a load as well.
 ROW_BYTES = 256
-QUERY_WORDS = 32
+# Neighbours that are put in order at first; the others only if a window needs more.
+BEST = 16
+# A word in one document of so many, or in more, has a dense row.
+DENSE = 8
 K1, B = 1.2, 0.75
 LONG_WORD = 10
 # One document in so many tells how the signatures are spread.
@@ -251,6 +257,13 @@ class Shard:
         length = np.diff(self.word_of_doc)
         norm = K1 * (1 - B + B * length / max(1.0, length.mean())) if self.count else length
         self.impact = (self.idf[term] * counts * (K1 + 1) / (counts + norm[self.doc])).astype(np.float32)
+        often = np.flatnonzero(self.among * DENSE >= max(2, self.count))
+        self.row = np.full(terms, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.count), np.float32)
+        for row, word in enumerate(often.tolist()):
+            span = slice(self.posting[word], self.posting[word + 1])
+            self.dense[row, self.doc[span]] = self.impact[span]
 
     def tokens(self, doc: int) -> np.ndarray:
         """Ids of one document, with the end token."""
@@ -259,20 +272,33 @@ class Shard:
         at = np.repeat(self.word_low[term] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         return np.append(self.flat[at], END_TOKEN).astype("<u4")
 
-    def neighbours(self, doc: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share telling words with one, best first."""
-        own = np.unique(self.term[self.word_of_doc[doc] : self.word_of_doc[doc + 1]])
-        # A word of this document alone finds nothing.
-        own = own[self.among[own] > 1]
-        query = own[np.argsort(-self.idf[own], kind="stable")[:QUERY_WORDS]]
-        spans = [slice(self.posting[term], self.posting[term + 1]) for term in query]
-        if not spans:
-            return np.zeros(0, np.int64)
-        docs = np.concatenate([self.doc[span] for span in spans])
-        scores = np.bincount(docs, weights=np.concatenate([self.impact[span] for span in spans]), minlength=self.count)
-        scores[~unused] = 0
-        found = np.flatnonzero(scores)
-        return found[np.argsort(-scores[found], kind="stable")]
+    def query(self, doc: int) -> np.ndarray:
+        """Words of a document that others have as well: one of its own finds nothing."""
+        own = np.sort(self.term[self.word_of_doc[doc] : self.word_of_doc[doc + 1]])
+        new = np.ones(len(own), bool)
+        new[1:] = own[1:] != own[:-1]
+        return own[new & (self.among[own] > 1)]
+
+    def scores(self, query: np.ndarray) -> np.ndarray:
+        """BM25 score of each document for the words."""
+        rows = self.row[query]
+        scores = np.add.reduce(self.dense[rows[rows >= 0]], axis=0, dtype=np.float64)
+        low = self.posting[query[rows < 0]]
+        size = self.among[query[rows < 0]]
+        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return scores + np.bincount(self.doc[at], weights=self.impact[at], minlength=self.count)
+
+    def neighbours(self, query: np.ndarray, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents with a word of the query, by score, ties by place.
+
+        Put in order as far as they are asked for; one that is used by then is left out.
+        """
+        scores = np.where(unused, self.scores(query), 0.0)
+        least = np.partition(scores, -BEST)[-BEST] if self.count > BEST else 0.0
+        for wanted in ((scores >= least) & (scores > 0), (scores < least) & (scores > 0)):
+            found = np.flatnonzero(wanted & unused)
+            found = found[np.argsort(-scores[found], kind="stable")]
+            yield from (int(doc) for doc in found if unused[doc])
 
 
 class Piece(NamedTuple):
@@ -314,6 +340,7 @@ class Packer:
         """All documents of a shard; the last window stays open."""
         unused = np.ones(shard.count, bool)
         first, seed = 0, None
+        asked, found = None, iter(())
         while True:
             if seed is None:
                 while first < shard.count and not unused[first]:
@@ -323,22 +350,24 @@ class Packer:
                 seed, unused[first] = first, False
                 yield from self.add(ids[seed], shard.tokens(seed))
             # A window without its seed's rest needs another seed.
-            room, cut = WINDOW - self.filled, None
-            for doc in shard.neighbours(seed, unused).tolist() if room < WINDOW else ():
+            room = WINDOW - self.filled
+            if room == WINDOW:
+                seed = None
+                continue
+            query = shard.query(seed)
+            # Seeds of the same words, such as copies, have the same neighbours: go on with them.
+            if asked is None or not np.array_equal(query, asked):
+                asked, found = query, shard.neighbours(query, unused)
+            seed = None
+            for doc in found:
                 size = int(shard.sizes[doc])
-                if size <= room:
-                    unused[doc] = False
-                    yield from self.add(ids[doc], shard.tokens(doc))
-                    room -= size
-                    if not room:
-                        break
-                elif cut is None:
-                    cut = doc
-            seed = cut if room else None
-            if seed is not None:
-                # It closes the window, and its rest is the seed of the next.
-                unused[seed] = False
-                yield from self.add(ids[seed], shard.tokens(seed))
+                unused[doc] = False
+                yield from self.add(ids[doc], shard.tokens(doc))
+                if size >= room:
+                    # It closes the window, and its rest is the seed of the next.
+                    seed = doc if size > room else None
+                    break
+                room -= size
 
     def finish(self) -> Iterator[Piece]:
         """The open window, as sequences of powers of two."""

@@ -83,9 +83,60 @@ def test_neighbours_are_those_of_brute_force():
     shard = packing.Shard([text.encode() for text in texts], packing.WordTokens(PATH))
     unused = np.ones(len(texts), bool)
     unused[3] = False
-    found = shard.neighbours(3, unused)
+    found = list(shard.neighbours(shard.query(3), unused))
     assert 3 not in found
-    assert set(found[:4].tolist()) == {10, 17, 24} | {found[3]}
+    assert set(found[:4]) == {10, 17, 24} | {found[3]}
+
+
+def bm25_order(shard, doc, unused):
+    """All unused documents with a word of one, by scores over all of its words."""
+    own = set(shard.term[shard.word_of_doc[doc] : shard.word_of_doc[doc + 1]].tolist())
+    lengths = np.diff(shard.word_of_doc)
+    scores = []
+    for other in range(shard.count):
+        words = shard.term[shard.word_of_doc[other] : shard.word_of_doc[other + 1]].tolist()
+        score = 0.0
+        for word in own & set(words):
+            if shard.among[word] > 1:
+                many = words.count(word)
+                norm = packing.K1 * (1 - packing.B + packing.B * lengths[other] / lengths.mean())
+                score += float(np.float32(shard.idf[word] * many * (packing.K1 + 1) / (many + norm)))
+        if score and unused[other]:
+            scores.append((-score, other))
+    return [other for _, other in sorted(scores)]
+
+
+@pytest.mark.parametrize("best", [2, 8, 32, 1000])
+def test_neighbours_of_long_seeds_are_by_all_words(monkeypatch, best):
+    monkeypatch.setattr(packing, "BEST", best)
+    rare = [" ".join(f"topic{(i * 7 + k) % 90}" for k in range(i % 60)) for i in range(150)]
+    texts = [prose(i % 50, 30 + 5 * (i % 41)) + " " + rare[i] for i in range(150)]
+    shard = packing.Shard([text.encode() for text in texts], packing.WordTokens(PATH))
+    unused = np.ones(len(texts), bool)
+    unused[::9] = False
+    for seed in (16, 40, 59, 119):
+        unused[seed] = False
+        assert len(shard.query(seed)) > 40
+        want = bm25_order(shard, seed, unused)
+        assert list(shard.neighbours(shard.query(seed), unused)) == want
+        # Documents that are used up meanwhile are left out of the rest.
+        left = unused.copy()
+        got = []
+        for doc in shard.neighbours(shard.query(seed), left):
+            got.append(doc)
+            left[doc] = False
+            left[want[5]] = False
+        assert got == [doc for doc in want if doc != want[5]]
+
+
+def test_windows_hold_the_best_neighbours_in_order():
+    texts = [prose(i, 200 + i) for i in range(60)]
+    shard = packing.Shard([text.encode() for text in texts], packing.WordTokens(PATH))
+    pieces = list(packing.Packer(0).pack(shard, list(range(60))))
+    unused = np.ones(60, bool)
+    unused[0] = False
+    first = [piece.doc_id for piece in pieces if piece.sequence_id == 0]
+    assert first == [0, *bm25_order(shard, 0, unused)[: len(first) - 1]]
 
 
 def test_one_window_takes_like_documents(spark):
