@@ -20,7 +20,7 @@ from quotelake.plans import build_gold, build_lake, build_silver, update_gold
 from quotelake.session import build_session
 from quotelake.sinks import publish_stream
 from quotelake.sources import stream_pages, stream_topic
-from quotelake.streaming import poll_events, start_lake, start_landing, start_rejects
+from quotelake.streaming import RunLog, poll_events, start_lake, start_landing, start_rejects
 
 SILVER = ("history", "latest")
 GOLD = ("quotes", "daily", "snapshot")
@@ -46,24 +46,25 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run_topic_job(spark: SparkSession, config: LakeConfig, chosen: argparse.Namespace) -> None:
-    """A job that reads or writes the topic; it runs until it is stopped."""
-    if chosen.job == "publish":
-        pages = stream_pages(spark, config.pages, files_per_batch=config.files_per_batch)
-        events = poll_events(pages, config, by_file_time=chosen.by_file_time)
-        checkpoint = config.checkpoint("publish")
-        publish_stream(
-            events, config.servers, config.topic, checkpoint, poll_seconds=config.poll_seconds
-        )
-    else:
-        records = stream_topic(spark, config.servers, config.topic)
-        keep = not chosen.no_quarantine
-        if chosen.job == "serve":
-            start_lake(spark, config, records, quarantine=keep)
+    """A job that reads or writes the topic; it runs until it is stopped, and is logged."""
+    with RunLog(spark, config):
+        if chosen.job == "publish":
+            pages = stream_pages(spark, config.pages, files_per_batch=config.files_per_batch)
+            events = poll_events(pages, config, by_file_time=chosen.by_file_time)
+            checkpoint = config.checkpoint("publish")
+            publish_stream(
+                events, config.servers, config.topic, checkpoint, poll_seconds=config.poll_seconds
+            )
         else:
-            start_landing(records, config)
-            if keep:
-                start_rejects(records, config)
-    spark.streams.awaitAnyTermination()
+            records = stream_topic(spark, config.servers, config.topic)
+            keep = not chosen.no_quarantine
+            if chosen.job == "serve":
+                start_lake(spark, config, records, quarantine=keep)
+            else:
+                start_landing(records, config)
+                if keep:
+                    start_rejects(records, config)
+        spark.streams.awaitAnyTermination()
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

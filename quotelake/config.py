@@ -135,6 +135,21 @@ class LakeConfig:
         """The snapshot after the last batch of its stream."""
         return self.path("staging/gold_snapshot")
 
+    @property
+    def check_states(self) -> str:
+        """The checks of the history, by day."""
+        return self.path("state/history_checks")
+
+    @property
+    def check_staging(self) -> str:
+        """Check states of the days the last batch touched."""
+        return self.path("staging/history_checks")
+
+    @property
+    def run_log(self) -> str:
+        """What every poll and batch did."""
+        return self.path("log/runs")
+
     @property
     def compacted(self) -> str:
         """History files that stand for many small ones, and the list of those."""

@@ -27,6 +27,7 @@ from quotelake.operators.deltas import (
     rank_changes,
     state_metrics,
 )
+from quotelake.operators.drift import record_fields, schema_drift
 from quotelake.operators.events import count_by_run, filter_ids, keyed_json, pages_to_events
 from quotelake.operators.latest import (
     current_snapshot,
@@ -38,18 +39,22 @@ from quotelake.operators.latest import (
 from quotelake.operators.metrics import daily_metrics
 from quotelake.operators.quality import (
     QualityError,
+    check_states,
     freshness,
+    merge_states,
     missing_columns,
     quality_failures,
     quality_metrics,
     quality_report,
     quality_summary,
+    states_summary,
     sum_metrics,
 )
 
 __all__ = [
     "QualityError",
     "added",
+    "check_states",
     "clean_events",
     "coin_bucket",
     "count_by_run",
@@ -70,6 +75,7 @@ __all__ = [
     "last_day",
     "latest_per_day",
     "merge_state",
+    "merge_states",
     "missing_columns",
     "pages_to_events",
     "parse_events",
@@ -80,7 +86,10 @@ __all__ = [
     "quarantined_events",
     "rank_changes",
     "ranked_page",
+    "record_fields",
+    "schema_drift",
     "state_metrics",
+    "states_summary",
     "sum_metrics",
     "tag_events",
     "touched_days",

@@ -75,6 +75,11 @@ def _by_time(quotes: DataFrame) -> list[str]:
     return [c for c in ("event_time_ts", "last_updated_ts") if c in quotes.columns]
 
 
+def total_order(names: Sequence[str], order: Sequence[Column]) -> list[Column]:
+    """``order``, then all columns: no two different rows tie."""
+    return [*order, *[F.col(c).asc_nulls_last() for c in sorted(names)]]
+
+
 def ranked_page(
     quotes: DataFrame,
     order: Sequence[Column],
@@ -89,11 +94,12 @@ def ranked_page(
     With keys, groups are cut before the shuffle for ranks up to the session's
     ``spark.sql.optimizer.windowGroupLimitThreshold``, which ``SESSION_SETTINGS``
     raises. Without keys, a page behind ``SORTED_LIMIT_ROWS`` is found by counts.
+    For many pages of one ranking, ``quotelake.plans.write_rank_index`` keeps it.
     """
     if page < 1 or per_page < 1:
         raise ValueError("page and per_page start at 1")
     before, last = (page - 1) * per_page, page * per_page
-    total = [*order, *[F.col(c).asc_nulls_last() for c in sorted(quotes.columns)]]
+    total = total_order(quotes.columns, order)
     if keys:
         ranked = quotes.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*total)))
         return ranked.where(F.col("_rank").between(before + 1, last)).drop("_rank")

@@ -55,6 +55,38 @@ def sum_metrics(parts: Sequence[Mapping[str, object]]) -> dict[str, object]:
     return total
 
 
+# A day's part of the checks, as it is stored.
+CHECK_STATE_SCHEMA = ", ".join(
+    [
+        "dt date",
+        "checked_rows long",
+        *[f"null_{c} long" for c in REQUIRED_COLUMNS],
+        f"{BAD_PRICE} long",
+        f"{NAN_PRICE} long",
+        "newest_event_time timestamp",
+    ]
+)
+
+
+def check_states(quotes: DataFrame) -> DataFrame:
+    """One row a day: its rows, the bad ones by check, its newest event time."""
+    return quotes.groupBy("dt").agg(F.count("*").alias("checked_rows"), *quality_metrics(reject_nan=True))
+
+
+def merge_states(states: DataFrame, more: DataFrame) -> DataFrame:
+    """The states of two sets of rows without a common one as those of both."""
+    both = states.unionByName(more.select(*states.columns))
+    counts = [c for c in states.columns if c not in ("dt", "newest_event_time")]
+    return both.groupBy("dt").agg(*[F.sum(c).alias(c) for c in counts], F.max("newest_event_time").alias("newest_event_time"))
+
+
+def states_summary(states: DataFrame, *, as_of: Column | None = None, reject_nan: bool = False) -> DataFrame:
+    """``quality_summary`` of the rows that the states are of."""
+    names = list(_row_checks(reject_nan))
+    counts = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
+    return _freshness(states, counts, as_of, "newest_event_time")
+
+
 def quality_summary(
     quotes: DataFrame, *, as_of: Column | None = None, reject_nan: bool = False
 ) -> DataFrame:
@@ -68,9 +100,11 @@ def freshness(quotes: DataFrame, *, as_of: Column | None = None) -> DataFrame:
     return _freshness(quotes, [], as_of)
 
 
-def _freshness(quotes: DataFrame, more: list[Column], as_of: Column | None) -> DataFrame:
+def _freshness(
+    quotes: DataFrame, more: list[Column], as_of: Column | None, time: str = "event_time_ts"
+) -> DataFrame:
     as_of = F.current_timestamp() if as_of is None else as_of
-    return quotes.agg(*more, F.max("event_time_ts").alias("newest_event_time")).withColumn(
+    return quotes.agg(*more, F.max(time).alias("newest_event_time")).withColumn(
         "lag_minutes", lag_minutes(F.col("newest_event_time"), as_of)
     )
 

@@ -99,7 +99,7 @@ def start_landing(
     ``records_per_file`` cuts files at a number of records, such as 50; small
     files cost more to list and open than to read, so there is no cut by default.
     """
-    lines = landed_records(records)
+    lines = landed_records(records).observe("landing", F.count(F.lit(1)).alias("landed"))
     writer = lines.writeStream.format("text")
     if "partition" in lines.columns:
         writer = writer.partitionBy("partition")
@@ -120,6 +120,7 @@ def start_rejects(
     """Keep the records that ``start_landing`` leaves out."""
     return (
         rejected_records(records)
+        .observe("rejects", F.count(F.lit(1)).alias("rejected"))
         .writeStream.format("parquet")
         .option("path", config.rejects)
         .option("checkpointLocation", config.checkpoint("rejects"))

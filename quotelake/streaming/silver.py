@@ -43,6 +43,7 @@ def start_history(
     cluster = config.cluster_history if cluster is None else cluster
     return (
         (cluster_by_day(cleaned) if cluster else cleaned)
+        .observe("history", F.count(F.lit(1)).alias("kept"))
         .writeStream.format("parquet")
         .partitionBy("dt")
         .option("path", config.history)
@@ -58,6 +59,7 @@ def start_quarantine(
     """Keep the records that the history leaves out."""
     return (
         quarantined_events(events)
+        .observe("quarantine", F.count(F.lit(1)).alias("quarantined"))
         .writeStream.format("parquet")
         .option("path", config.quarantine)
         .option("checkpointLocation", config.checkpoint("quarantine"))

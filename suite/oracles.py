@@ -147,6 +147,30 @@ faulty AS (
 ),
 checked AS ({_first("*", "faulty", _DEDUP_KEYS, _UPDATED)})"""
 
+# The records with changing fields, read by the kinds that JSON functions tell.
+_DRIFTING = """drifting AS (
+    SELECT dt AS day, CAST('{"id":"' || coin_id || '"'
+        || CASE WHEN day(dt) < 20 THEN ',"symbol":"' || symbol || '"' ELSE '' END
+        || ',"price":' || CASE WHEN day(dt) < 16 THEN CAST(CAST(market_cap_usd AS BIGINT) AS VARCHAR)
+                               ELSE '"about ' || CAST(market_cap_usd AS BIGINT) || '"' END
+        || ',"rank":' || CASE WHEN day(dt) <> 12 OR event_id % 7 <> 0
+                              THEN CAST(market_cap_rank AS VARCHAR) ELSE '"none"' END
+        || ',"volume":' || CASE WHEN day(dt) <> 5 THEN CAST(event_id % 777 AS VARCHAR) ELSE 'null' END
+        || CASE WHEN day(dt) >= 10 THEN ',"note":{"seen":true}' ELSE '' END || '}' AS JSON) AS record
+    FROM events_view WHERE event_id % 97 <> 0),
+named AS (SELECT day, record, unnest(json_keys(record)) AS field FROM drifting),
+kinds AS (
+    SELECT day, field, CASE json_type(record, '$.' || field)
+        WHEN 'VARCHAR' THEN 'text' WHEN 'NULL' THEN 'null' WHEN 'OBJECT' THEN 'object'
+        WHEN 'BOOLEAN' THEN 'flag' WHEN 'ARRAY' THEN 'list' ELSE 'number' END AS kind
+    FROM named),
+fields AS (
+    SELECT day, field,
+           CASE count(DISTINCT kind) FILTER (kind <> 'null') WHEN 0 THEN 'null'
+                WHEN 1 THEN max(kind) FILTER (kind <> 'null') ELSE 'mixed' END AS kind,
+           count(*) AS records, count(*) FILTER (kind = 'null') AS nulls
+    FROM kinds GROUP BY day, field)"""
+
 _BAD_PRICE = "price_usd IS NULL OR price_usd <= 0"
 _NEWEST = "(epoch_us(TIMESTAMP '2024-02-15 00:00:00') - epoch_us(max(event_time_ts))) / 60e6"
 
@@ -247,6 +271,14 @@ QUALIFY row_number() OVER (PARTITION BY coin_id
     "topn_page_global_deep": f"""WITH {_LINES}
 SELECT {_SILVER} FROM lines_view
 QUALIFY row_number() OVER (ORDER BY price_usd DESC, {_LINE_TOTAL}) BETWEEN 24951 AND 25000""",
+    "topn_page_indexed": f"""WITH {_LINES}, ranked AS (
+    SELECT {_SILVER}, row_number() OVER (ORDER BY price_usd DESC, {_LINE_TOTAL}) AS place FROM lines_view)
+SELECT {_SILVER}, (place - 1) // 50 + 1 AS page FROM ranked WHERE (place - 1) // 50 + 1 IN (2, 500)""",
+    "topn_page_indexed_keys": _events(
+        f"""SELECT {_SILVER} FROM events_view
+QUALIFY row_number() OVER (PARTITION BY coin_id
+    ORDER BY price_usd DESC, last_updated_ts DESC) BETWEEN 1151 AND 1200"""
+    ),
     "topn_page_ties": f"""WITH {_LINES}
 SELECT {_SILVER}, CAST((row_number() OVER (ORDER BY market_cap_usd DESC, {_LINE_TOTAL}) - 1)
     // CAST(ceil(count(*) OVER () / 4.0) AS BIGINT) + 1 AS BIGINT) AS page
@@ -300,6 +332,24 @@ SELECT max(event_time_ts) AS newest_event_time, {_NEWEST} AS lag_minutes,
        {_NEWEST} > 20000 AS is_stale
 FROM deduped""",
     "dq_gate_report": f"WITH {_EVENTS}, {_FAULTY} {_gate()}",
+    "dq_state_merge": f"""WITH {_EVENTS}, {_FAULTY}
+SELECT coalesce(strftime(dt, '%Y-%m-%d'), 'all') AS day, count(*) AS checked_rows,
+       count(*) FILTER (symbol IS NULL) AS null_symbol,
+       count(*) FILTER (market_cap_usd IS NULL) AS null_market_cap_usd,
+       count(*) FILTER ({_BAD_PRICE}) AS price_usd_null_or_non_positive,
+       max(event_time_ts) AS newest_event_time
+FROM faulty GROUP BY GROUPING SETS ((dt), ())""",
+    "record_fields": f"WITH {_EVENTS}, {_DRIFTING} SELECT * FROM fields",
+    "schema_drift": f"""WITH {_EVENTS}, {_DRIFTING},
+days AS (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT day FROM fields)),
+old AS (SELECT d.day, f.field, f.kind FROM fields f JOIN days d ON f.day = d.before),
+new AS (SELECT day, field, kind FROM fields JOIN days USING (day) WHERE before IS NOT NULL)
+SELECT day, field,
+       CASE WHEN old.kind IS NULL THEN 'new' WHEN new.kind IS NULL THEN 'lost' ELSE 'retyped' END AS change,
+       old.kind AS old_kind, new.kind AS new_kind
+FROM old FULL JOIN new USING (day, field)
+WHERE old.kind IS NULL OR new.kind IS NULL
+   OR (old.kind <> new.kind AND old.kind <> 'null' AND new.kind <> 'null')""",
     "sink_keyed_json": f"""WITH {_EVENTS}, {_raw(True, unreadable="kept")}
 SELECT {_KEY} AS key, {_VALUE} AS value FROM raw""",
     "sink_history_append": _events(f"SELECT {_SILVER} FROM events_view"),
@@ -333,6 +383,19 @@ SELECT {_SILVER} FROM lines_view WHERE coin_id IN ('7', '21', '133', 'no such pa
     "dedup_quotes_bucketed": f"WITH {_LINES} "
     + _first(_SILVER, "lines_view", _DEDUP_KEYS, "ingestion_run_id DESC"),
     "compact_history": _events(f"SELECT {_SILVER}, CAST(1 AS BIGINT) AS files_per_day FROM events_view"),
+    "run_log": f"""WITH {_EVENTS}, logged AS (
+    SELECT unnest([
+        {{'stream': 'landing', 'count_name': 'landed', 'records': count(*) FILTER (event_id % 97 <> 0)}},
+        {{'stream': 'rejects', 'count_name': 'rejected', 'records': count(*) FILTER (event_id % 97 = 0)}},
+        {{'stream': 'history', 'count_name': 'kept', 'records': count(*) FILTER ({_READABLE})}},
+        {{'stream': 'quarantine', 'count_name': 'quarantined',
+          'records': count(*) FILTER (event_id % 97 <> 0 AND NOT ({_READABLE}))}},
+        {{'stream': 'landing', 'count_name': 'failures', 'records': 0}},
+        {{'stream': 'rejects', 'count_name': 'failures', 'records': 0}},
+        {{'stream': 'history', 'count_name': 'failures', 'records': 0}},
+        {{'stream': 'quarantine', 'count_name': 'failures', 'records': 0}}]) AS line
+    FROM events_view)
+SELECT line.stream AS stream, line.count_name AS count_name, line.records AS records FROM logged""",
     "flow_events": f"""WITH {_EVENTS}, {_page_event("'2024-02-15T00:00:00.000000+00:00'", "'run'")}
 SELECT {_KEY} AS key, {_VALUE} AS value FROM raw""",
     "flow_silver": _events(_latest(_READABLE)),

@@ -18,6 +18,7 @@ from quotelake import operators as ops
 from quotelake import plans
 from quotelake.config import LakeConfig
 from quotelake.functions import record_key, utc_literal
+from quotelake.operators.quality import BAD_PRICE
 from quotelake.plans import build_gold, build_lake, build_silver
 from quotelake.plans.compact import live_files
 from quotelake.plans.gold import gold_quotes
@@ -41,11 +42,18 @@ from quotelake.sources import (
     stream_pages,
 )
 from quotelake.streaming import (
+    RunLog,
+    read_check_states,
+    read_run_log,
+    run_totals,
+    start_checks,
     start_gold,
     start_history,
     start_landing,
     start_latest,
     start_polls,
+    start_quarantine,
+    start_rejects,
     start_snapshot,
 )
 from suite import tables as t
@@ -178,6 +186,25 @@ def topn_page_global_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(ops.ranked_page(t.line_quotes(spark, sf_dir), order, page=500, per_page=50))
 
 
+def topn_page_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deep pages of one kept ranking."""
+    path = scratch_path(spark, "ranks") + "/by_price"
+    index = plans.write_rank_index(t.line_quotes(spark, sf_dir), [F.desc("price_usd")], path)
+    pages = [
+        _values(plans.indexed_page(spark, index, page=number, per_page=50)).withColumn("page", F.lit(number).cast("long"))
+        for number in (2, 500)
+    ]
+    return pages[0].union(pages[1])
+
+
+def topn_page_indexed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``topn_page_deep`` from a kept ranking of each coin."""
+    path = scratch_path(spark, "ranks") + "/of_coins"
+    order = [F.desc("price_usd"), F.desc("last_updated_ts")]
+    index = plans.write_rank_index(t.event_quotes(spark, sf_dir), order, path, ["coin_id"])
+    return _values(plans.indexed_page(spark, index, page=24, per_page=50))
+
+
 def topn_page_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four pages of a ranking with fifty values: together every row once."""
     quotes = t.line_quotes(spark, sf_dir)
@@ -294,9 +321,9 @@ def run_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Quality
 
 
-def _faulty_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _faulty_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id = F.col("event_id")
-    return ops.dedup_quotes(
+    return (
         t.event_quotes(spark, sf_dir)
         .withColumns(
             {
@@ -307,10 +334,13 @@ def _faulty_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ),
             }
         )
-        .drop("event_id")
     )
 
 
+def _faulty_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.dedup_quotes(_faulty_history(spark, sf_dir).drop("event_id"))
+
+
 def dq_required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotes = t.event_quotes(spark, sf_dir).drop("symbol", "total_volume_usd")
     missing = ops.missing_columns(quotes)
@@ -348,6 +378,32 @@ def dq_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(reasons, 1)), "position int, reason string")
 
 
+def dq_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks by day of two deliveries, the second with late rows for each day, and of all."""
+    lake = _lake(spark, "check-states")
+    history = _faulty_history(spark, sf_dir)
+    for half in range(2):
+        append_days(_silver(history.where(F.col("event_id") % 2 == half)), lake.history)
+        start_checks(spark, lake, available_now=True).awaitTermination()
+    states = read_check_states(spark, lake)
+    counts = ["checked_rows", "null_symbol", "null_market_cap_usd", BAD_PRICE]
+    days = states.select(F.date_format("dt", "yyyy-MM-dd").alias("day"), *counts, "newest_event_time")
+    checked = states.agg(F.sum("checked_rows")).first()[0]
+    whole = ops.states_summary(states, as_of=utc_literal(AS_OF)).withColumn("checked_rows", F.lit(checked))
+    whole = whole.select(F.lit("all").alias("day"), *counts, "newest_event_time")
+    return t.comparable(days.union(whole))
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the raw records of each day against the day before."""
+    records = t.drifting_records(spark, sf_dir)
+    return ops.schema_drift(ops.record_fields(records, "value", "day"))
+
+
+def record_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.record_fields(t.drifting_records(spark, sf_dir), "value", "day")
+
+
 # Sinks
 
 
@@ -521,6 +577,19 @@ def compact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("files_per_day", F.lit(files.first()[0]))
 
 
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log holds of landing, rejects, history and quarantine of faulty records."""
+    lake = _landed(spark, sf_dir, "run-log", faulty=True)
+    records = spark.readStream.schema("key string, value string, partition int").parquet(lake.records)
+    with RunLog(spark, lake) as log:
+        for name, start in (("landing", start_landing), ("rejects", start_rejects)):
+            log.finish(log.watch(start(records, lake, available_now=True), name))
+        events = stream_events(spark, lake.bronze)
+        for name, start in (("history", start_history), ("quarantine", start_quarantine)):
+            log.finish(log.watch(start(events, lake, available_now=True), name))
+    return run_totals(read_run_log(spark, lake))
+
+
 # Whole runs
 
 
@@ -624,6 +693,8 @@ QUERIES: dict[str, Query] = {
         topn_page_global,
         topn_page_deep,
         topn_page_global_deep,
+        topn_page_indexed,
+        topn_page_indexed_keys,
         topn_page_ties,
         silver_clean,
         quarantine_bad_records,
@@ -644,6 +715,9 @@ QUERIES: dict[str, Query] = {
         dq_price_positive,
         dq_freshness,
         dq_gate_report,
+        dq_state_merge,
+        record_fields,
+        schema_drift,
         sink_keyed_json,
         sink_history_append,
         sink_dynamic_overwrite,
@@ -661,6 +735,7 @@ QUERIES: dict[str, Query] = {
         src_parquet_lookup,
         dedup_quotes_bucketed,
         compact_history,
+        run_log,
         flow_events,
         flow_silver,
         flow_gold,

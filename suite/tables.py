@@ -123,6 +123,36 @@ def topic_records(
     return records
 
 
+def drifting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records with their ``day``, in which fields come, go and change their kind.
+
+    From the 10th a note is there, from the 16th prices are texts, from the 20th there is
+    no symbol; every 7th rank of the 12th is a text, and on the 5th no volume is known.
+    """
+    day = F.dayofmonth("dt")
+    fields = {
+        "id": F.col("coin_id"),
+        "symbol": F.when(day < 20, F.col("symbol")),
+        "price": F.when(day < 16, F.col("market_cap_usd").cast("long").cast("string")),
+        "price_text": F.when(day >= 16, F.concat(F.lit("about "), F.col("market_cap_usd").cast("long"))),
+        "rank": F.when((day != 12) | (F.col("event_id") % 7 != 0), F.col("market_cap_rank").cast("string")),
+        "volume": F.when(day != 5, (F.col("event_id") % 777).cast("string")),
+    }
+    rows = event_quotes(spark, sf_dir).withColumns(fields)
+    shown = [
+        F.concat(F.lit('"id":"'), "id", F.lit('"')),
+        F.concat(F.lit('"symbol":"'), "symbol", F.lit('"')),
+        F.concat(F.lit('"price":'), F.coalesce("price", F.concat(F.lit('"'), "price_text", F.lit('"')))),
+        F.concat(F.lit('"rank":'), F.coalesce("rank", F.lit('"none"'))),
+        F.concat(F.lit('"volume":'), F.coalesce("volume", F.lit("null"))),
+        F.when(day >= 10, F.lit('"note":{"seen":true}')),
+    ]
+    return rows.select(
+        F.col("dt").alias("day"),
+        F.when(F.col("event_id") % 97 == 0, "not json").otherwise(F.concat(F.lit("{"), F.concat_ws(",", *shown), F.lit("}"))).alias("value"),
+    )
+
+
 def api_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as the objects of API pages, with their poll's time and run id."""
     quotes = event_quotes(spark, sf_dir)
