@@ -217,6 +217,7 @@ class Shard:
         texts = [lowered(text) for text in texts]
         buffer = np.frombuffer(b"\n".join(texts), np.uint8)
         bounds = np.cumsum([len(text) + 1 for text in texts])
+        del texts
         # Hashes are made in pieces that end between words, to need no large arrays.
         at = 0
         while at < len(buffer):
@@ -246,7 +247,10 @@ class Shard:
         sizes = self.word_size[self.term]
         self.tokens_before = np.concatenate([[0], np.cumsum(sizes)])
         self.sizes = np.diff(self.tokens_before[self.word_of_doc]) + 1
-        self._index(doc, len(first))
+        terms = len(first)
+        # Before the index, which needs room of its own.
+        del buffer, words, start, end_, first, rows
+        self._index(doc, terms)
 
     def _index(self, doc: np.ndarray, terms: int) -> None:
         pairs, counts = np.unique(self.term.astype(np.int64) * self.count + doc, return_counts=True)
