@@ -50,7 +50,8 @@ LONG_WORD = 10
 # One document in so many tells how the signatures are spread.
 SIGNATURE_SAMPLE = 32
 KEPT_WORDS = 1_500_000
-CHUNK = 1 << 20
+# Words are found in pieces of so many bytes: what a piece needs beside them is 100 times as much.
+CHUNK = 1 << 18
 
 # Multipliers of two polynomial hashes of words, modulo 2**64.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -187,9 +188,9 @@ class WordTokens:
                 self._restart()
                 return self.look_up(text, words, first)
         if new.any():
-            raw = text.tobytes()
+            raw = memoryview(text)
             spans = zip(words.start[first][new].tolist(), words.end[first][new].tolist())
-            lows, sizes, flat = self._encode([raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            lows, sizes, flat = self._encode([str(raw[a:b], "utf-8", "replace") for a, b in spans])
             lows += len(self.flat)
             self.flat = np.concatenate([self.flat, flat])
             order = np.argsort(np.concatenate([self.one, one[new]]), kind="stable")
@@ -208,59 +209,101 @@ def _told_apart(buffer: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarra
     return np.unique(term, return_index=True)[1], term
 
 
+def _pieces(buffer: np.ndarray) -> Iterator[tuple[int, Words]]:
+    """Words of a buffer in pieces that end between words, to need no large arrays; where each begins."""
+    at = 0
+    while at < len(buffer):
+        end = min(len(buffer), at + CHUNK)
+        while end < len(buffer) and not _BLANK[buffer[end - 1]]:
+            gap = np.flatnonzero(_BLANK[buffer[end : end + CHUNK]])
+            end = end + int(gap[0]) + 1 if len(gap) else min(len(buffer), end + CHUNK)
+        yield at, find_words(buffer[at:end])
+        at = end
+
+
+def _distinct(words: Words) -> tuple[Words, np.ndarray, bool]:
+    """The distinct words by hash, the number of each word, and whether two words share a hash."""
+    _, first, term = np.unique(words.one, return_index=True, return_inverse=True)
+    clash = bool((words.two != words.two[first][term]).any())
+    return Words(*(column[first] for column in words)), term.astype(np.int32), clash
+
+
 class Shard:
-    """Tokens of some documents, and the inverted index of their words."""
+    """Tokens of some documents, and the inverted index of their words.
+
+    Of every word only its number is held, and the hashes of the distinct ones.
+    """
 
     def __init__(self, texts: list[bytes], tokens: WordTokens):
-        ones, twos, docs, places = [], [], [], []
         self.count = len(texts)
         texts = [lowered(text) for text in texts]
         buffer = np.frombuffer(b"\n".join(texts), np.uint8)
-        bounds = np.cumsum([len(text) + 1 for text in texts])
+        begins = np.cumsum([0, *(len(text) + 1 for text in texts)])
         del texts
-        # Hashes are made in pieces that end between words, to need no large arrays.
-        at = 0
-        while at < len(buffer):
-            end = min(len(buffer), at + CHUNK)
-            while end < len(buffer) and not _BLANK[buffer[end - 1]]:
-                gap = np.flatnonzero(_BLANK[buffer[end : end + CHUNK]])
-                end = end + int(gap[0]) + 1 if len(gap) else min(len(buffer), end + CHUNK)
-            words = find_words(buffer[at:end])
-            ones.append(words.one)
-            twos.append(words.two)
-            places.append(np.stack([words.start + at, words.end + at]).astype(np.int32 if len(buffer) < 1 << 31 else np.int64))
-            docs.append(np.searchsorted(bounds, words.start + at, "right").astype(np.int32))
-            at = end
-        joined = [np.concatenate([np.zeros(0, kind), *each]) for each, kind in ((ones, np.uint64), (twos, np.uint64), (docs, np.int32))]
-        start, end_ = np.concatenate([np.zeros((2, 0), np.int32), *places], axis=1)
-        words, doc = Words(start, end_, joined[0], joined[1]), joined[2]
-        del ones, twos, docs, places, joined
-        _, first, self.term = np.unique(words.one, return_index=True, return_inverse=True)
-        if (words.two != words.two[first][self.term]).any():
-            first, self.term = _told_apart(buffer, words)
+        found, numbers, clash = [], [], False
+        self.word_of_doc = np.zeros(self.count + 1, np.int64)
+        for at, words in _pieces(buffer):
+            self.word_of_doc += np.searchsorted(words.start + at, begins)
+            own, term, shared = _distinct(words)
+            found.append(own._replace(start=own.start + at, end=own.end + at))
+            numbers.append(term)
+            clash = clash or shared
+        kinds = (np.int64, np.int64, np.uint64, np.uint64)
+        every = Words(*(np.concatenate([np.zeros(0, kind), *columns]) for kind, columns in zip(kinds, zip(*found) if found else [()] * 4)))
+        words, place, shared = _distinct(every)
+        if clash or shared:
+            spans = [np.stack([piece.start + at, piece.end + at]) for at, piece in _pieces(buffer)]
+            start, end = np.concatenate(spans, axis=1)
+            first, self.term = _told_apart(buffer, Words(start, end, start, end))
+            self.term = self.term.astype(np.int32)
+            names = np.arange(len(first), dtype=np.uint64)
+            words = Words(start[first], end[first], names, names)
             tokens = WordTokens(tokens.path)
-            rows = tokens.look_up(buffer, words._replace(one=self.term.astype(np.uint64)), first)
+            del spans, start, end, first
         else:
-            rows = tokens.look_up(buffer, words, first)
+            # Numbers in a piece become numbers in the shard.
+            low = 0
+            for number, own in enumerate(found):
+                numbers[number] = place[low : low + len(own.one)][numbers[number]]
+                low += len(own.one)
+            self.term = np.concatenate([np.zeros(0, np.int32), *numbers])
+        rows = tokens.look_up(buffer, words, np.arange(len(words.one)))
         self.word_low, self.word_size, self.flat = tokens.low[rows], tokens.size[rows], tokens.flat
-        self.word_of_doc = np.searchsorted(doc, np.arange(self.count + 1))
-        sizes = self.word_size[self.term]
-        self.tokens_before = np.concatenate([[0], np.cumsum(sizes)])
-        self.sizes = np.diff(self.tokens_before[self.word_of_doc]) + 1
-        terms = len(first)
         # Before the index, which needs room of its own.
-        del buffer, words, start, end_, first, rows
-        self._index(doc, terms)
+        del buffer, words, found, numbers, every, place, rows
+        before = np.zeros(len(self.term) + 1, np.int64)
+        np.cumsum(self.word_size[self.term], out=before[1:])
+        self.sizes = np.diff(before[self.word_of_doc]) + 1
+        del before
+        give_back()
+        self._index(len(self.word_size))
+        give_back()
 
-    def _index(self, doc: np.ndarray, terms: int) -> None:
-        pairs, counts = np.unique(self.term.astype(np.int64) * self.count + doc, return_counts=True)
-        term, self.doc = pairs // max(1, self.count), (pairs % max(1, self.count)).astype(np.int32)
+    def _index(self, terms: int) -> None:
+        length = np.diff(self.word_of_doc)
+        pairs = self.term.astype(np.int64)
+        pairs *= self.count
+        pairs += np.repeat(np.arange(self.count, dtype=np.int32), length)
+        pairs.sort()
+        new = np.ones(len(pairs), bool)
+        new[1:] = pairs[1:] != pairs[:-1]
+        first = np.flatnonzero(new)
+        counts = np.diff(first, append=len(pairs)).astype(np.int32)
+        term = pairs[first]
+        del pairs, new, first
+        self.doc = np.empty(len(term), np.int32)
+        np.remainder(term, max(1, self.count), out=self.doc, casting="unsafe")
+        term //= max(1, self.count)
         self.posting = np.searchsorted(term, np.arange(terms + 1))
         self.among = np.diff(self.posting)
         self.idf = np.log(1 + (self.count - self.among + 0.5) / (self.among + 0.5))
-        length = np.diff(self.word_of_doc)
         norm = K1 * (1 - B + B * length / max(1.0, length.mean())) if self.count else length
-        self.impact = (self.idf[term] * counts * (K1 + 1) / (counts + norm[self.doc])).astype(np.float32)
+        self.impact = np.empty(len(term), np.float32)
+        for at in range(0, len(term), CHUNK):
+            part = slice(at, at + CHUNK)
+            many = counts[part]
+            self.impact[part] = self.idf[term[part]] * many * (K1 + 1) / (many + norm[self.doc[part]])
+        del term, counts
         often = np.flatnonzero(self.among * DENSE >= max(2, self.count))
         self.row = np.full(terms, -1, np.int32)
         self.row[often] = np.arange(len(often))

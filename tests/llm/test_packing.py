@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -163,3 +164,35 @@ def test_null_ids_and_empty_texts_are_spread_over_tasks(spark, monkeypatch):
         dealt = packing.deal_out(documents(spark, rows, clash=False).repartition(4)).groupBy(F.spark_partition_id()).count().collect()
         sizes = [row["count"] for row in dealt]
         assert sum(sizes) == len(rows) and len(sizes) > 8 and max(sizes) < len(rows) / 4
+
+
+def test_a_shard_needs_little_beside_its_text():
+    texts = [prose(i, 3000).encode() for i in range(200)]
+    size = sum(map(len, texts))
+    tokens = packing.WordTokens(PATH)
+    packing.Shard(texts[:100], tokens)  # words and powers are kept from then on
+    tracemalloc.start()
+    packing.Shard(texts, tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size > 3_000_000 and peak < 7 * size, peak / size
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_shards_of_small_pieces_and_of_shared_hashes_are_the_same(monkeypatch, clash):
+    texts = [(prose(i % 9, 40 + i) + f" only{i} éü").encode() for i in range(40)] + [b"", b"x" * 300, b""]
+    whole = packing.Shard(texts, packing.WordTokens(PATH))
+    find = packing.find_words
+
+    def find_alike(text):
+        words = find(text)
+        return words._replace(one=words.one % np.uint64(5))
+
+    monkeypatch.setattr(packing, "CHUNK", 64)
+    if clash:
+        monkeypatch.setattr(packing, "find_words", find_alike)
+    shard = packing.Shard(texts, packing.WordTokens(PATH))
+    assert shard.sizes.tolist() == whole.sizes.tolist() == [len(expected_ids(text.decode())) for text in texts]
+    for doc in range(len(texts)):
+        assert shard.tokens(doc).tolist() == whole.tokens(doc).tolist()
+        assert len(shard.query(doc)) == len(whole.query(doc))
