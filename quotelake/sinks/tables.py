@@ -8,6 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# A task that sorts a bucket holds its rows, some 250 bytes each, at once.
+BUCKET_ROWS = 400_000
+LEAST_BUCKETS = 8
+# Spark's own limit, unless ``spark.sql.sources.bucketing.maxBuckets`` is raised.
+MOST_BUCKETS = 100_000
+
 
 def cluster_by_day(table: DataFrame) -> DataFrame:
     """Gather each day in few files; adaptive execution splits a large day."""
@@ -49,13 +55,18 @@ def append_days_for_lookup(
     writer.parquet(path)
 
 
-def save_bucketed(table: DataFrame, name: str, path: str, *, buckets: int, keys: tuple[str, ...] = ("coin_id",)) -> DataFrame:
+def save_bucketed(
+    table: DataFrame, name: str, path: str, *, buckets: int | None = None, keys: tuple[str, ...] = ("coin_id",)
+) -> DataFrame:
     """A table of the session's catalog, in ``buckets`` by the keys and sorted by them.
 
     Rankings, aggregates and joins by the keys, or by more columns with them, need no
-    shuffle: each bucket is one task's. Choose so many buckets that one fits a task;
-    rows of one key are in one bucket, so this is for keys of like size.
+    shuffle: each bucket is one task's. Without a number the rows are counted first, and
+    there are as many buckets as hold ``BUCKET_ROWS`` each; rows of one key are in one
+    bucket, so this is for keys of like size.
     """
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-table.count() // BUCKET_ROWS)))
     rows = table.repartition(buckets, *keys)
     rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(name)
     return table.sparkSession.table(name)

@@ -561,7 +561,7 @@ def dedup_quotes_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bucketed")
     name = f"history_{uuid.uuid4().hex}"
     quotes = _silver(t.line_quotes(spark, sf_dir))
-    return _values(ops.dedup_quotes(save_bucketed(quotes, name, f"{path}/history", buckets=8)))
+    return _values(ops.dedup_quotes(save_bucketed(quotes, name, f"{path}/history")))
 
 
 def compact_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quotelake.operators import current_snapshot, dedup_quotes, latest_per_day
 from quotelake.plans import build_gold, compact, compact_history, read_history, update_gold
 from quotelake.schemas import GOLD_DAILY_SCHEMA, SILVER_SCHEMA
-from quotelake.sinks import append_days, append_days_for_lookup, replace_days, save_bucketed
+from quotelake.sinks import append_days, append_days_for_lookup, replace_days, save_bucketed, tables
 from quotelake.sources import read_table, stream_events
 from quotelake.streaming import snapshot, start_history, start_snapshot
 from tests.conftest import at, event, plan_of, rows_of, silver, write_lines
@@ -121,6 +121,24 @@ def test_rankings_of_bucketed_quotes_do_not_shuffle(spark, tmp_path, operator):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_buckets_grow_in_number_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 20)
+    for coins, buckets in ((0, 8), (40, 8), (600, 60)):
+        quotes = silver(spark, {}).crossJoin(spark.range(2 * coins)).withColumn("coin_id", F.format_string("c%05d", F.col("id") % max(1, coins))).drop("id")
+        name = f"bucketed_{coins}"
+        try:
+            table = save_bucketed(quotes, name, str(tmp_path / name))
+            described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+            assert int(described["Num Buckets"]) == buckets
+            deduplicated = dedup_quotes(table)
+            assert "Exchange" not in plan_of(deduplicated)
+            assert rows_of(deduplicated) == rows_of(dedup_quotes(quotes))
+            sizes = [row["count"] for row in deduplicated.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes, default=0) < 40 or buckets == 8
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 # Compaction
 
 
