@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotelake.schemas import SILVER_SCHEMA
-from quotelake.session import scratch_path
+from quotelake.session import KEPT, scratch_path
 
 # Rows that tie in the order of a ranking are told apart by where they come from.
 LINEAGE_ORDER = ("ingestion_time", "ingestion_run_id", "source_file")
@@ -93,8 +93,9 @@ def ranked_page(
     Ties are told apart by all columns, so the pages together are every row once.
     With keys, groups are cut before the shuffle for ranks up to the session's
     ``spark.sql.optimizer.windowGroupLimitThreshold``, which ``SESSION_SETTINGS``
-    raises. Without keys, a page behind ``SORTED_LIMIT_ROWS`` is found by counts.
-    For many pages of one ranking, ``quotelake.plans.write_rank_index`` keeps it.
+    raises. Without keys, a page behind ``SORTED_LIMIT_ROWS`` is found by counts in a sorted
+    copy, which is made once for all pages of one DataFrame object: they are of the rows
+    that it had then. ``quotelake.plans.write_rank_index`` keeps a ranking for later.
     """
     if page < 1 or per_page < 1:
         raise ValueError("page and per_page start at 1")
@@ -111,18 +112,15 @@ def ranked_page(
 def _counted_page(quotes: DataFrame, total: Sequence[Column], before: int, last: int) -> DataFrame:
     """The rows of ranks behind ``before`` up to ``last``, by way of sorted slices.
 
-    The rows are written in slices by range of the order, each with its place in
-    its slice; the counts of the slices tell which hold the wanted ranks, and only
-    those rows are read again. No task holds more than a slice.
+    The counts of the slices tell which hold the wanted ranks, and only those rows are
+    read again. Further pages of the same DataFrame and order read the same slices.
     """
-    path = scratch_path(quotes.sparkSession, "page")
-    # Behind the number of the partition, the id counts the rows of one task.
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    slices = quotes.repartitionByRange(*total).sortWithinPartitions(*total)
-    slices = slices.withColumns({"_place": place, "_slice": F.spark_partition_id()})
-    slices.write.partitionBy("_slice").parquet(path)
-    stored = quotes.sparkSession.read.schema(slices.schema).parquet(path)
-    counts = sorted((row["_slice"], row["count"]) for row in stored.groupBy("_slice").count().collect())
+    kept, ranking = KEPT.setdefault(quotes, []), quotes.orderBy(*total)
+    slices = next((slices for known, slices in kept if known.sameSemantics(ranking)), None)
+    if slices is None:
+        slices = _sorted_slices(quotes, total)
+        kept.append((ranking, slices))
+    stored, counts = slices
     wanted, at = F.lit(False), 0
     for number, count in counts:
         if at < last and at + count > before:
@@ -130,3 +128,18 @@ def _counted_page(quotes: DataFrame, total: Sequence[Column], before: int, last:
             wanted = wanted | ((F.col("_slice") == number) & inside)
         at += count
     return stored.where(wanted).select(*quotes.columns)
+
+
+def _sorted_slices(quotes: DataFrame, total: Sequence[Column]) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The rows written in slices by range of the order, and how many each slice has.
+
+    Every row has its place in its slice. No task holds more than a slice.
+    """
+    path = scratch_path(quotes.sparkSession, "page")
+    # Behind the number of the partition, the id counts the rows of one task.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    slices = quotes.repartitionByRange(*total).sortWithinPartitions(*total)
+    slices = slices.withColumns({"_place": place, "_slice": F.spark_partition_id()})
+    slices.write.partitionBy("_slice").parquet(path)
+    stored = quotes.sparkSession.read.schema(slices.schema).parquet(path)
+    return stored, sorted((row["_slice"], row["count"]) for row in stored.groupBy("_slice").count().collect())

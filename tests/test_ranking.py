@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import weakref
 from datetime import timedelta
 
 import pytest
@@ -17,7 +19,9 @@ from quotelake.operators import (
     latest_per_day,
     ranked_page,
 )
+from quotelake.operators import latest
 from quotelake.plans.gold import gold_quotes
+from quotelake.session import remove_scratch, scratch_path
 from tests.conftest import at, plan_of, rows_of, silver
 
 START = at("2024-01-01T00:00:00")
@@ -135,6 +139,30 @@ def test_pages_equal_slices_of_the_sorted_list(spark, page, per_page, keys):
     assert {r.id for r in got} == want and len(got) == len(want)
 
 
+def test_deep_pages_of_a_table_sort_it_once(spark, monkeypatch):
+    monkeypatch.setattr(latest, "SORTED_LIMIT_ROWS", 5)
+    made = []
+    monkeypatch.setattr(latest, "scratch_path", lambda *args: made.append(scratch_path(*args)) or made[-1])
+    rows = spark.range(0, 100, 1, 3).select("id", (F.col("id") % 4).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("y"))
+    twice = rows.union(rows).where("true")
+    orders = [[F.desc("x")], [F.asc("x")], [F.desc("x"), F.asc_nulls_first("y")], [F.desc(F.lit("x"))]]
+    for number, order in enumerate(orders, 1):
+        pages = [ranked_page(twice, order, page=n, per_page=70).collect() for n in (1, 2, 3, 4)]
+        assert [len(page) for page in pages] == [70, 70, 60, 0] and len(made) == number
+        got = [row for page in pages for row in page]
+        assert sorted(map(repr, got)) == sorted(map(repr, twice.collect()))
+        want = twice.orderBy(*latest.total_order(twice.columns, order)).collect()
+        assert [sorted(map(repr, page)) for page in pages] == [sorted(map(repr, want[at : at + 70])) for at in (0, 70, 140, 210)]
+    # Another DataFrame is sorted on its own, and the slices are forgotten with theirs.
+    assert ranked_page(twice.where("x > 0"), [F.desc("x")], page=2, per_page=70).count() == 70 and len(made) == 5
+    remove_scratch()
+    assert ranked_page(twice, [F.desc("x")], page=3, per_page=70).count() == 60 and len(made) == 6
+    held = weakref.ref(twice)
+    del twice
+    gc.collect()
+    assert held() is None
+
+
 def test_page_numbers_start_at_one(spark):
     with pytest.raises(ValueError):
         ranked_page(spark.range(3), [F.asc("id")], page=0)
