@@ -1,17 +1,19 @@
 """Silver to gold: stage, check, publish.
 
 The deduplicated quotes are written to a staging table in the layout of the
-published one: history is read once and shuffled twice, for the deduplication and
-to gather days in few files. The checks are taken as the rows are staged, so the
-gate needs no read of its own, and nothing is published that was not checked.
-Publishing copies the staged quotes, without a shuffle, and the daily metrics read
-nine of their columns: two more reads, one of them a whole copy, for that gate.
+published one. Every key holds the day and the coin, and history lies by day: days are
+deduplicated where they lie, without a shuffle, but for very large ones and packed
+histories. The checks are taken as the rows are staged, so the gate needs no read of its
+own, and nothing is published that was not checked. Publishing copies the staged quotes,
+and the daily metrics read nine of their columns, both without a shuffle: two more reads,
+one of them a whole copy, for that gate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,7 @@ from quotelake.operators import (
 )
 from quotelake.operators.days import DayRange
 from quotelake.plans.compact import is_packed, read_history
+from quotelake.plans.days import day_jobs
 from quotelake.schemas import GOLD_QUOTES_SCHEMA
 from quotelake.session import shuffle_partitions
 from quotelake.sinks import append_days, cluster_by_day, replace_days, replace_table
@@ -59,14 +62,15 @@ def stage_quotes(
 ) -> tuple[DataFrame, Mapping[str, object]]:
     """Write the deduplicated quotes to staging; what is staged, and its checks.
 
-    ``days_per_job`` bounds each job's shuffle: every key holds the day, so
-    the days can be deduplicated one after another.
+    ``days_per_job`` bounds each job: every key holds the day, so the days can
+    be deduplicated one after another.
     """
     history = read_table(spark, config.history)
     missing = missing_columns(history)
     if missing:
         raise QualityError([f"missing_columns:{missing}"])
 
+    packed = False
     listed = touched_days(history) if config.days_per_job and days is None else days
     if config.days_per_job and listed:
         wanted = [is_in_days(group) for group in cut_ranges(listed, config.days_per_job)]
@@ -78,15 +82,17 @@ def stage_quotes(
         packed = is_packed(spark, config)
         parts = [read_history(spark, config, days) if packed else in_days(history, days)]
     metrics = []
-    for number, part in enumerate(parts):
-        seen = Observation()
-        # Behind the shuffles: a task that runs again there is not counted twice.
-        quotes = cluster_by_day(gold_quotes(part)).observe(seen, *quality_metrics(config.reject_nan))
-        if number:
-            append_days(quotes, config.staging, cluster=False)
-        else:
-            replace_table(quotes, config.staging, by_day=True, cluster=False)
-        metrics.append(seen.get)
+    for part in parts:
+        # Packed files lie by run, not by day.
+        for quotes in [cluster_by_day(gold_quotes(part))] if packed else day_jobs(part, gold_quotes):
+            seen = Observation()
+            # Behind the shuffles: a task that runs again there is not counted twice.
+            quotes = quotes.observe(seen, *quality_metrics(config.reject_nan))
+            if metrics:
+                append_days(quotes, config.staging, cluster=False)
+            else:
+                replace_table(quotes, config.staging, by_day=True, cluster=False)
+            metrics.append(seen.get)
     return read_table(spark, config.staging, GOLD_QUOTES_SCHEMA), sum_metrics(metrics)
 
 
@@ -131,7 +137,8 @@ def publish_quotes(
         check_quotes(spark, config, metrics, days, as_of)
         # Staging holds each day in few files already: no shuffle is needed here.
         write(staged, config.quotes, cluster=False)
-        write(daily_metrics(staged, unique_times=True), config.daily)
+        for daily in day_jobs(staged, partial(daily_metrics, unique_times=True)):
+            write(daily, config.daily, cluster=False)
 
 
 def build_snapshot(spark: SparkSession, config: LakeConfig) -> None:

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from quotelake.config import LakeConfig
-from quotelake.sources import stream_events
+from quotelake.operators import latest_per_day
+from quotelake.plans.days import day_jobs
+from quotelake.schemas import SILVER_SCHEMA
+from quotelake.sinks import replace_days
+from quotelake.sources import read_table, stream_events
 from quotelake.streaming.silver import start_history, start_latest, start_quarantine
 
 
@@ -33,6 +37,12 @@ def build_history(
         start_quarantine(events, config, available_now=True).awaitTermination()
 
 
+def build_latest(spark: SparkSession, config: LakeConfig) -> None:
+    """The latest rows of every day of the history, made anew where the days lie."""
+    for latest in day_jobs(read_table(spark, config.history, SILVER_SCHEMA), latest_per_day):
+        replace_days(latest, config.latest, cluster=False)
+
+
 def build_silver(
     spark: SparkSession,
     config: LakeConfig,

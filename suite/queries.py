@@ -19,7 +19,7 @@ from quotelake import plans
 from quotelake.config import LakeConfig
 from quotelake.functions import record_key, utc_literal
 from quotelake.operators.quality import BAD_PRICE
-from quotelake.plans import build_gold, build_lake, build_silver
+from quotelake.plans import build_gold, build_lake, build_latest, build_silver
 from quotelake.plans.compact import live_files
 from quotelake.plans.gold import gold_quotes
 from quotelake.schemas import (
@@ -619,7 +619,7 @@ def flow_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "flow-gold")
     quotes = _silver(t.event_quotes(spark, sf_dir))
     append_days(quotes, lake.history)
-    replace_days(ops.latest_per_day(quotes), lake.latest)
+    build_latest(spark, lake)
     for _run in range(2):
         build_gold(spark, lake)
     return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
@@ -629,7 +629,7 @@ def flow_gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "flow-snapshot")
     quotes = _silver(t.event_quotes(spark, sf_dir))
     append_days(quotes, lake.history)
-    replace_days(ops.latest_per_day(quotes), lake.latest)
+    build_latest(spark, lake)
     build_gold(spark, lake)
     columns = [c for c in SILVER_VALUES if c != "dt"]
     return t.comparable(read_table(spark, lake.snapshot).select(*columns))
@@ -640,7 +640,7 @@ def flow_gold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "flow-lines")
     quotes = _silver(t.line_quotes(spark, sf_dir))
     append_days(quotes, lake.history)
-    replace_days(ops.latest_per_day(quotes), lake.latest)
+    build_latest(spark, lake)
     build_gold(spark, lake)
     return _rounded(read_table(spark, lake.daily, GOLD_DAILY_SCHEMA))
 
