@@ -12,7 +12,7 @@ counts twice. The first batch of a checkpoint starts anew, whatever an earlier o
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,10 +110,22 @@ def check_changes(
     return many
 
 
+def _missing_in_history(spark: SparkSession, config: LakeConfig) -> list[str]:
+    """Required columns the history lacks, as the one file tells that Spark opens for it."""
+    try:
+        return missing_columns(read_table(spark, config.history))
+    except AnalysisException:
+        raise
+    except PySparkException:
+        # An old file that cannot be read is not needed; a column that the batch lacks is
+        # null in it, and fails the checks.
+        return []
+
+
 def publish_changes(batch: DataFrame, config: LakeConfig, batch_id: int, *, as_of: Column | None = None) -> None:
     """Bring quotes and daily metrics up to date with a batch of new history rows."""
     spark = batch.sparkSession
-    missing = missing_columns(read_table(spark, config.history))
+    missing = _missing_in_history(spark, config)
     if missing:
         raise QualityError([f"missing_columns:{missing}"])
     first = batch_id == 0

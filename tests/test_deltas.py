@@ -6,6 +6,7 @@ from datetime import timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quotelake.operators import QualityError, daily_metrics
@@ -176,3 +177,20 @@ def test_days_without_rows_do_not_fail_freshness(spark, lake):
     build_gold(spark, lake, days=[at("2024-01-02T00:00:00").date(), at("2024-02-02T00:00:00").date()])
     assert read_table(spark, lake.daily, GOLD_DAILY_SCHEMA).count() == 1
     build_gold(spark, lake, days=[at("2024-03-02T00:00:00").date()])
+
+
+def test_old_history_that_cannot_be_read_stops_no_update(spark, delta_lake, monkeypatch):
+    deliver(spark, delta_lake, {"price_usd": 1.0})
+    read = delta.read_table
+
+    def damaged(session, path, *schema):
+        if path == delta_lake.history:
+            raise PySparkException("CANNOT_READ_FILE_FOOTER")
+        return read(session, path, *schema)
+
+    monkeypatch.setattr(delta, "read_table", damaged)
+    deliver(spark, delta_lake, {"coin_id": "b", "price_usd": 2.0})
+    daily = read_table(spark, delta_lake.daily, GOLD_DAILY_SCHEMA).collect()
+    assert sorted((r.coin_id, r.max_price_usd) for r in daily) == [("a", 1.0), ("b", 2.0)]
+    with pytest.raises(QualityError, match="null_symbol"):
+        deliver(spark, delta_lake, {"coin_id": "c", "symbol": None})
