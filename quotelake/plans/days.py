@@ -7,7 +7,7 @@ of a large one, and writes its result to the same days.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +24,14 @@ MOST_READS = 8
 # Each task of a job is a part of its plan.
 MOST_TASKS = 100
 
-Work = Callable[[DataFrame], DataFrame]
+Work = Callable[..., DataFrame]
 
 
-def day_jobs(table: DataFrame, work: Work) -> Iterator[DataFrame]:
+def day_jobs(table: DataFrame, work: Work, *beside: DataFrame) -> Iterator[DataFrame]:
     """``work`` on a table in folders by day, as one or more tables of different days.
 
+    Tables ``beside`` it, in folders by day as well and no larger, are given to ``work`` after
+    it, with the same days and coins; only days of ``table`` are worked on.
     ``work`` has to be by ``dt`` and ``coin_id``, or by more columns with them. Each day is
     in few partitions, so it is written without a further shuffle. Rows are counted first,
     which reads no column. Days too large for ``MOST_READS`` tasks are shuffled, where
@@ -40,17 +42,17 @@ def day_jobs(table: DataFrame, work: Work) -> Iterator[DataFrame]:
     if large or not counts:
         known = [day for day in large if day is not None]
         rest = _day().isNull() if None in large else F.lit(False)
-        yield cluster_by_day(work(table.where(_day().isin(known) | rest) if large else table))
+        yield cluster_by_day(work(*[t.where(_day().isin(known) | rest) if large else t for t in (table, *beside)]))
     near = {day: rows for day, rows in counts.items() if day not in large}
     tasks: list[Column] = []
     for together in _day_tasks(near, table.sparkSession.sparkContext.defaultParallelism):
         # The tasks of a day stay in one job: a later one would replace the day.
         if tasks and len(tasks) + len(together) > MOST_TASKS:
-            yield _in_tasks(table, work, tasks)
+            yield _in_tasks((table, *beside), work, tasks)
             tasks = []
         tasks += together
     if tasks:
-        yield _in_tasks(table, work, tasks)
+        yield _in_tasks((table, *beside), work, tasks)
 
 
 def _day_tasks(counts: dict[int | None, int], cores: int) -> Iterator[list[Column]]:
@@ -84,8 +86,8 @@ def _share(shares: int) -> Column:
     return F.pmod(F.xxhash64(F.col("coin_id").cast("string")), F.lit(shares))
 
 
-def _in_tasks(table: DataFrame, work: Work, tasks: list[Column]) -> DataFrame:
+def _in_tasks(tables: Sequence[DataFrame], work: Work, tasks: list[Column]) -> DataFrame:
     """``work`` on the rows of each task; one partition suits whatever it groups by."""
     # The second number keeps the parts apart: Spark may lay single partitions together.
-    parts = [work(table.where(rows).coalesce(1)).coalesce(2) for rows in tasks]
+    parts = [work(*[t.where(rows).coalesce(1) for t in tables]).coalesce(2) for rows in tasks]
     return reduce(DataFrame.union, parts)

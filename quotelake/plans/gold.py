@@ -13,10 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake.config import LakeConfig
 from quotelake.functions import lag_minutes
@@ -41,13 +44,19 @@ from quotelake.operators import (
 from quotelake.operators.days import DayRange
 from quotelake.plans.compact import is_packed, read_history
 from quotelake.plans.days import day_jobs
-from quotelake.schemas import GOLD_QUOTES_SCHEMA
-from quotelake.session import shuffle_partitions
+from quotelake.schemas import GOLD_QUOTES_SCHEMA, SILVER_SCHEMA
+from quotelake.session import gathered_joins, shuffle_partitions
 from quotelake.sinks import append_days, cluster_by_day, replace_days, replace_table
 from quotelake.sources import read_table
 
 Days = Sequence[DayRange] | None
 
+# The snapshot shuffles so many rows whole: they are some 70 bytes each.
+SHUFFLED_ROWS = 5_000_000
+# The first columns that rank the rows of a coin, and with them the day they lie in.
+LAST_TIMES = ("event_time_ts", "last_updated_ts")
+LAST_TIMES_SCHEMA = T.StructType([SILVER_SCHEMA[c] for c in ("dt", "coin_id", *LAST_TIMES)])
+
 
 def gold_quotes(history: DataFrame) -> DataFrame:
     """Deduplicated quotes of a history, with the columns of the fact table.
@@ -142,11 +151,49 @@ def publish_quotes(
 
 
 def build_snapshot(spark: SparkSession, config: LakeConfig) -> None:
-    """Replace the snapshot by the last row per coin of the daily latest rows."""
+    """Replace the snapshot by the last row per coin of the daily latest rows.
+
+    Of many rows only those at the last times of their coin are shuffled, see ``_last_rows``.
+    """
     latest = enforce_contract(read_table(spark, config.latest))
+    count = latest.count()
+    if count > SHUFFLED_ROWS:
+        latest = _last_rows(spark, config, latest, count)
     replace_table(current_snapshot(latest).drop("dt"), config.snapshot)
 
 
+def _last_rows(spark: SparkSession, config: LakeConfig, latest: DataFrame, count: int) -> DataFrame:
+    """The rows of ``latest`` at the last times of their coin, or all ``count`` if those are most.
+
+    When and on which day a coin was last seen is found from four narrow columns. The rows
+    of these days and times are then taken where their days lie, without a shuffle. Several
+    of a coin may tie in time: what ranks them further is left to ``current_snapshot``.
+    """
+    times, rows = f"{config.snapshot_staging}-times", f"{config.snapshot_staging}-rows"
+    order = [F.col(c).desc_nulls_last() for c in LAST_TIMES]
+    place = F.rank().over(W.partitionBy("coin_id").orderBy(*order))
+    ranked = latest.select("dt", "coin_id", *LAST_TIMES).withColumn("_rank", place)
+    replace_table(ranked.where(F.col("_rank") == 1).drop("_rank"), times, by_day=True)
+    last = read_table(spark, times, LAST_TIMES_SCHEMA)
+    if last.count() > count // 2:
+        return latest
+    with gathered_joins(spark):
+        for number, part in enumerate(day_jobs(latest, _at_times, last)):
+            if number:
+                append_days(part, rows, cluster=False)
+            else:
+                replace_table(part, rows, by_day=True, cluster=False)
+    return read_table(spark, rows, latest.schema)
+
+
+def _at_times(latest: DataFrame, last: DataFrame) -> DataFrame:
+    # Spark would move a semi-join below the gathering in one partition, and shuffle.
+    last = last.distinct()
+    same = [latest[c].eqNullSafe(last[c]) for c in last.columns]
+    # A hash of the few rows: neither side is sorted, and no table goes through the driver.
+    return latest.join(last.hint("shuffle_hash"), reduce(and_, same)).select(*[latest[c] for c in latest.columns])
+
+
 def build_gold(
     spark: SparkSession,
     config: LakeConfig,

@@ -6,8 +6,14 @@ before the new ones are complete.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import nullcontext
 
+from pyspark.sql import DataFrame, DataFrameWriter
+
+from quotelake.session import dropped_shuffles, short_splits
+
+# Most rows of a lake are in several tables; Spark's own choice takes half as much again.
+COMPRESSION = "zstd"
 # A task that sorts a bucket holds its rows, some 250 bytes each, at once.
 BUCKET_ROWS = 400_000
 LEAST_BUCKETS = 8
@@ -20,17 +26,23 @@ def cluster_by_day(table: DataFrame) -> DataFrame:
     return table.hint("rebalance", "dt")
 
 
+def _save(table: DataFrame, writer: DataFrameWriter, path: str, *, shuffles: bool = True) -> None:
+    spark = table.sparkSession
+    with dropped_shuffles(spark), short_splits(spark) if shuffles else nullcontext():
+        writer.parquet(path, compression=COMPRESSION)
+
+
 def append_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     """Add rows to a table partitioned by ``dt``."""
     rows = cluster_by_day(table) if cluster else table
-    rows.write.mode("append").partitionBy("dt").parquet(path)
+    _save(table, rows.write.mode("append").partitionBy("dt"), path, shuffles=cluster)
 
 
 def replace_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     """Replace the days that occur in ``table``; other days stay as they are."""
     rows = cluster_by_day(table) if cluster else table
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("dt").parquet(path)
+    _save(table, writer.partitionBy("dt"), path, shuffles=cluster)
 
 
 def append_days_for_lookup(
@@ -78,7 +90,7 @@ def replace_folders(table: DataFrame, path: str, *below: str, all_of_it: bool =
     rows = table.hint("rebalance", "dt", *below)
     mode = "static" if all_of_it else "dynamic"
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    writer.partitionBy("dt", *below).parquet(path)
+    _save(table, writer.partitionBy("dt", *below), path)
 
 
 def replace_table(
@@ -89,4 +101,4 @@ def replace_table(
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if by_day:
         writer = writer.partitionBy("dt")
-    writer.parquet(path)
+    _save(table, writer, path, shuffles=cluster)
