@@ -6,8 +6,6 @@ before the new ones are complete.
 
 from __future__ import annotations
 
-from contextlib import nullcontext
-
 from pyspark.sql import DataFrame, DataFrameWriter
 
 from quotelake.session import dropped_shuffles, short_splits
@@ -26,23 +24,22 @@ def cluster_by_day(table: DataFrame) -> DataFrame:
     return table.hint("rebalance", "dt")
 
 
-def _save(table: DataFrame, writer: DataFrameWriter, path: str, *, shuffles: bool = True) -> None:
-    spark = table.sparkSession
-    with dropped_shuffles(spark), short_splits(spark) if shuffles else nullcontext():
+def _save(table: DataFrame, writer: DataFrameWriter, path: str) -> None:
+    with dropped_shuffles(table.sparkSession), short_splits(table.sparkSession):
         writer.parquet(path, compression=COMPRESSION)
 
 
 def append_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     """Add rows to a table partitioned by ``dt``."""
     rows = cluster_by_day(table) if cluster else table
-    _save(table, rows.write.mode("append").partitionBy("dt"), path, shuffles=cluster)
+    _save(table, rows.write.mode("append").partitionBy("dt"), path)
 
 
 def replace_days(table: DataFrame, path: str, *, cluster: bool = True) -> None:
     """Replace the days that occur in ``table``; other days stay as they are."""
     rows = cluster_by_day(table) if cluster else table
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    _save(table, writer.partitionBy("dt"), path, shuffles=cluster)
+    _save(table, writer.partitionBy("dt"), path)
 
 
 def append_days_for_lookup(
@@ -101,4 +98,4 @@ def replace_table(
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if by_day:
         writer = writer.partitionBy("dt")
-    _save(table, writer, path, shuffles=cluster)
+    _save(table, writer, path)
